@@ -287,7 +287,8 @@ def q_resolve_duplicates(spark, sf_dir):
 @query(
     "annotator_lead_times",
     CLEAN + """
-SELECT student_code, avg(lead_time_seconds) AS mean_lead_time, median(lead_time_seconds) AS median_lead_time,
+SELECT student_code, round(avg(lead_time_seconds), 6) AS mean_lead_time,
+       round(quantile_cont(lead_time_seconds, 0.5), 6) AS median_lead_time,
        count(lead_time_seconds) AS n_lead_times, count(*) AS n_rows
 FROM long_enough GROUP BY student_code""",
 )

@@ -30,4 +30,5 @@ def load_all() -> None:
     # Importing the modules fills the registry.
     from annolytics.plans import (  # noqa: F401
         cleaning,
+        profiling,
     )
