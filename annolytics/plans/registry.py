@@ -31,4 +31,6 @@ def load_all() -> None:
     from annolytics.plans import (  # noqa: F401
         cleaning,
         profiling,
+        metrics,
+        annotators,
     )
