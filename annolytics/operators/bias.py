@@ -10,7 +10,7 @@ the per-label shares, no annotator x label grid.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from annolytics.functions.stats import chi2_sf, ratio
@@ -31,8 +31,11 @@ SIGNIFICANCE = 0.05
 def overall_label_share(df: DataFrame, label: str = LABEL) -> DataFrame:
     """B1: share of each label among non-NULL labels."""
     g = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = df.filter(F.col(label).isNotNull()).agg(F.count(F.lit(1))).scalar()
-    return g.select(label, "n", (F.col("n") / total).alias("share"))
+    everything = Window.partitionBy()  # over the per-label rows only
+    return g.select(
+        label, "n", (F.col("n") / F.sum("n").over(everything)).alias("share"),
+        (F.count(F.lit(1)).over(everything) - 1).alias("dof"),
+    )
 
 
 def annotator_chi_square(df: DataFrame, label: str = LABEL, alpha: float = SIGNIFICANCE) -> DataFrame:
@@ -40,18 +43,29 @@ def annotator_chi_square(df: DataFrame, label: str = LABEL, alpha: float = SIGNI
     against the overall label shares, p-value (dof = #labels - 1) and
     ``significant`` (p < alpha).  Rows without a label are excluded."""
     d = df.filter(F.col(label).isNotNull())
-    shares = overall_label_share(d, label).select(label, "share")
-    dof = shares.agg(F.count(F.lit(1)) - 1).scalar()
-    cells = d.groupBy(ANNOTATOR, label).agg(F.count(F.lit(1)).alias("o"))
-    per = d.groupBy(ANNOTATOR).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(label).alias("mean_label"),
-        F.stddev_samp(label).alias("std_label"),
+    shares = overall_label_share(d, label).select(label, "share", "dof")
+    # One aggregate gives the per-annotator label counts; everything after
+    # runs on (annotator, label) cells.
+    cells = d.groupBy(ANNOTATOR, label).agg(
+        F.count(F.lit(1)).alias("o"), F.sum(F.col(label).cast("double")).alias("_s1"),
+        F.sum(F.col(label).cast("double") ** 2).alias("_s2"),
+    )
+    per = cells.join(shares, label).groupBy(ANNOTATOR).agg(
+        F.sum("o").alias("n"),
+        F.sum("_s1").alias("_s1"),
+        F.sum("_s2").alias("_s2"),
+        F.sum(F.col("o") * F.col("o") / F.col("share")).alias("_q"),
+        F.max("dof").alias("dof"),
+    )
+    n = F.col("n")
+    mean = F.col("_s1") / n
+    var = F.try_divide(F.col("_s2") - n * mean * mean, n - 1)
+    chi = per.select(
+        ANNOTATOR, "n", "dof", mean.alias("mean_label"),
+        F.sqrt(F.greatest(var, F.lit(0.0))).alias("std_label"),
+        F.greatest(F.col("_q") / n - n, F.lit(0.0)).alias("chi2"),
     )
-    sq = cells.join(shares, label).groupBy(ANNOTATOR).agg(F.sum(F.col("o") * F.col("o") / F.col("share")).alias("_q"))
-    chi = per.join(sq, ANNOTATOR).withColumn("chi2", F.col("_q") / F.col("n") - F.col("n"))
-    chi = chi.withColumn("chi2", F.greatest(F.col("chi2"), F.lit(0.0)))
-    p = chi2_sf(F.col("chi2"), dof)
+    p = chi2_sf(F.col("chi2"), F.col("dof"))
     out = chi.select(
         ANNOTATOR,
         "n",

@@ -286,6 +286,10 @@ def histogram(
     key = by if by else ["_k"]
     if not by:
         d = d.withColumn("_k", F.lit(1))
+    # One scan of the input: reduce to (group, distinct value, count) with a
+    # partial aggregate; ranges and bins are then computed on that table,
+    # whose shuffle Spark reuses for both consumers.
+    d = d.groupBy(*key, "_v").agg(F.count(F.lit(1)).alias("_c"))
     rng = d.groupBy(*key).agg(F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
     rng = rng.select(
         *key,
@@ -296,7 +300,7 @@ def histogram(
     b = F.least(F.lit(bins - 1), F.floor((F.col("_v") - F.col("_lo")) / w).cast("int"))
     # Global: the range is one row (broadcast, size proven).  Per group: one
     # row per group, AQE broadcasts it when it is small.
-    counts = d.join(F.broadcast(rng) if not by else rng, key).groupBy(*key, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = d.join(F.broadcast(rng) if not by else rng, key).groupBy(*key, b.alias("bin")).agg(F.sum("_c").alias("n"))
     grid = rng.select(*key, "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     out = grid.join(counts, [*key, "bin"], "left").select(
         *key,

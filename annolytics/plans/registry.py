@@ -33,4 +33,5 @@ def load_all() -> None:
         profiling,
         metrics,
         annotators,
+        textual,
     )

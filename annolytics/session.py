@@ -37,7 +37,13 @@ def get_session(
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
+    cores = int(master[master.index("[") + 1 : -1]) if master.startswith("local[") and master[6:-1].isdigit() else 8
+    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 2 * cores)
+    # Rows here are whole texts and the per-row work (regexes) is CPU-heavy:
+    # let AQE coalesce small shuffle outputs only down to ~256 KB partitions,
+    # so a few MB of text still spread over the cores.  (At cluster scale the
+    # advisory 64 MB size governs and this floor never binds.)
+    conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "256k"
     # Results over ~1 MB are fetched from the advertised driver address;
     # in a container without a resolvable host name that must be loopback.
     conf["spark.driver.host"] = "127.0.0.1"
@@ -69,6 +75,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def ensure_parallelism(df, factor: int = 2):
+    """Spread a CPU-heavy *scan* that arrives in fewer partitions than the
+    cluster has cores (e.g. one large parquet row group) over
+    ``factor * defaultParallelism`` tasks.  On a big input (many splits)
+    this is a no-op, so no shuffle is added at scale.  Only call it on a
+    plain scan: asking a plan with shuffles for its partition count would
+    run those shuffles."""
+    sc = df.sparkSession.sparkContext
+    want = max(1, sc.defaultParallelism * factor)
+    if df.rdd.getNumPartitions() * 2 <= sc.defaultParallelism:
+        return df.repartition(want)
+    return df
+
+
 def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint folder.
 
