@@ -35,4 +35,5 @@ def load_all() -> None:
         annotators,
         textual,
         ingest,
+        training,
     )
