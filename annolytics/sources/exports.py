@@ -123,9 +123,11 @@ def scan_exports(
 def quarantine_bad_files(tasks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """S3: (good task rows, one row per unreadable file).  A file that fails
     to parse contributes no rows; the others go on."""
-    bad_flag = F.col(CORRUPT).isNotNull()
-    # Spark refuses a raw-JSON query that reads only the corrupt-record
-    # column; counting parsed task ids (0 for an unreadable file) reads one.
+    # A file that fails to parse yields one row: all fields NULL and the raw
+    # text in the corrupt-record column.  Testing ``id`` as well keeps a data
+    # column in every plan (Spark refuses raw-JSON plans that read only the
+    # corrupt-record column, e.g. a bare count of either frame).
+    bad_flag = F.col(CORRUPT).isNotNull() & F.col("id").isNull()
     bad_files = (
         tasks.filter(bad_flag)
         .groupBy("student_code", "json_filename", "_file_path")
