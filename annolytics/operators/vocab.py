@@ -1,10 +1,9 @@
 """Vocabulary, bag-of-words and fixed-length token encodings.
 
 The vocabulary is bounded by ``max_features`` (default 500).  That bound is
-what makes it safe to ship to every task: as a broadcast side in
-``bag_of_words`` and as a map literal (scalar subquery) in
-``encode_fixed_length``.  Texts themselves are never shuffled: tokenising,
-looking up and padding are per-row expressions.
+what makes it safe to ship to every task as the broadcast side of a hash
+join (``bag_of_words``, ``encode_fixed_length``).  Texts themselves are never
+shuffled: only (key, token index, count / position) rows are.
 """
 
 from __future__ import annotations
@@ -111,15 +110,30 @@ def vocabulary_map(vocab: DataFrame) -> Column:
     return vocab.agg(F.map_from_entries(F.collect_list(F.struct("token", "idx")))).scalar()
 
 
-def encode_fixed_length(df: DataFrame, vocab: DataFrame, text: str = "text", max_length: int = MAX_LENGTH) -> DataFrame:
-    """V6: ``input_ids`` (vocabulary index + 2, unknown 1) truncated or padded
-    with 0 to ``max_length``, and the 0/1 ``attention_mask``."""
-    # The map is projected as a column first (a subquery may not sit inside
-    # a lambda); it is computed once and is at most max_features entries.
-    d = df.withColumn("_vmap", vocabulary_map(vocab))
-    ids = F.transform(word_tokens(text), lambda t: F.coalesce(F.try_element_at(F.col("_vmap"), t) + ID_OFFSET, F.lit(UNK_ID)))
-    d = d.withColumn("_ids", F.slice(ids, 1, max_length)).drop("_vmap")
+def encode_fixed_length(
+    df: DataFrame, vocab: DataFrame, key: str, text: str = "text", max_length: int = MAX_LENGTH, keep: Sequence[str] = ()
+) -> DataFrame:
+    """V6: per ``key``: ``input_ids`` (vocabulary index + 2, unknown 1)
+    truncated or padded with 0 to ``max_length``, and the 0/1
+    ``attention_mask``; ``keep`` columns are carried along.
+
+    Only the first ``max_length`` tokens of a text are looked up: they are
+    exploded with their position, matched by a broadcast hash join against
+    the vocabulary (at most max_features rows), and regrouped per key — a
+    shuffle of small (key, position, id) rows that never moves the text and
+    never holds more than ``max_length`` entries per group."""
+    keep = [c for c in keep if c != key]
+    d = df.select(key, *keep, F.slice(word_tokens(text), 1, max_length).alias("_t"))
+    ex = d.select(key, *keep, F.posexplode_outer("_t").alias("_pos", "token"))
+    hit = ex.join(F.broadcast(vocab.select("token", "idx")), "token", "left")
+    entry = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce(F.col("idx") + ID_OFFSET, F.lit(UNK_ID)).alias("id")))
+    g = hit.groupBy(key, *keep).agg(F.array_sort(F.collect_list(entry)).alias("_s"))
+    ids = F.transform("_s", lambda s: s.getField("id"))
+    g = g.select(key, *keep, ids.alias("_ids"))
     pad = F.greatest(F.lit(0), F.lit(max_length) - F.size("_ids"))
-    return d.withColumn("input_ids", F.concat("_ids", F.array_repeat(F.lit(PAD_ID), pad))).withColumn(
-        "attention_mask", F.concat(F.array_repeat(F.lit(1), F.size("_ids")), F.array_repeat(F.lit(0), pad))
-    ).drop("_ids")
+    return g.select(
+        key,
+        *keep,
+        F.concat("_ids", F.array_repeat(F.lit(PAD_ID), pad)).alias("input_ids"),
+        F.concat(F.array_repeat(F.lit(1), F.size("_ids")), F.array_repeat(F.lit(0), pad)).alias("attention_mask"),
+    )

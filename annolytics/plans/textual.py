@@ -305,7 +305,7 @@ FROM cut""",
 )
 def q_encode_fixed_length(spark, sf_dir):
     d = _docs(spark, sf_dir)
-    e = V.encode_fixed_length(d, V.build_vocabulary(d), max_length=256)
+    e = V.encode_fixed_length(d, V.build_vocabulary(d), key="doc_id", max_length=256)
     return e.select(
         "doc_id",
         F.array_join("input_ids", ",").alias("input_ids"),

@@ -37,12 +37,14 @@ def model_data(spark, sf_dir):
     from annolytics.plans.cleaning import cleaned
 
     c = cleaned(spark, sf_dir)
-    tr = T.text_features(c.train.select(*KEEP, "text"))
-    te = T.text_features(c.test.filter(F.col("label_numeric").isNotNull()).select(*KEEP, "text"))
+    # The regex features are the expensive part: materialise them once;
+    # statistics, fold ranks and class weights then read the checkpoint.
+    tr = cut_lineage(T.text_features(c.train.select(*KEEP, "text")))
+    te = cut_lineage(T.text_features(c.test.filter(F.col("label_numeric").isNotNull()).select(*KEEP, "text")))
     ztr, zte = FE.standardise_features(tr, te, keep=KEEP)
     folds = W.stratified_folds(ztr, key="annotation_id")
     train = cut_lineage(M.with_ml_columns(folds))
-    test = cut_lineage(M.with_ml_columns(zte, weighted=False))
+    test = M.with_ml_columns(zte, weighted=False)
     return train, test
 
 
@@ -154,7 +156,7 @@ def _score_documents(spark, sf_dir):
     from annolytics.plans.cleaning import cleaned
 
     c = cleaned(spark, sf_dir)
-    tr = T.text_features(c.train.select(*KEEP, "text"))
+    tr = cut_lineage(T.text_features(c.train.select(*KEEP, "text")))
     docs = read_table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     dfe = T.text_features(docs, keep_text=True)
     ztr, zdoc = FE.standardise_features(tr, dfe, keep=KEEP, keep_other=["doc_id", "text"])
