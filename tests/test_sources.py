@@ -87,3 +87,19 @@ def test_csv_empty_writes_nothing(spark, tmp_path):
     df = spark.createDataFrame([], "a string")
     assert TB.write_annotations_csv(df, str(tmp_path / "none")) is False
     assert not (tmp_path / "none").exists()
+
+
+def test_streaming_ingest_is_incremental(spark, tmp_path):
+    from annolytics.streaming.ingest import ingest_new_exports
+
+    root = tmp_path / "landing"
+    (root / "AAA").mkdir(parents=True)
+    (root / "AAA" / "a.json").write_text(json.dumps([task(1, "one", [ann(11, "3-x")])]), encoding="utf-8")
+    out = str(tmp_path / "table")
+    ck = str(tmp_path / "ck")
+    ingest_new_exports(spark, str(root), out, checkpoint=ck)
+    assert spark.read.parquet(out).count() == 1
+    (root / "AAA" / "b.json").write_text(json.dumps(task(2, "two", [ann(21, "4-x"), ann(22, "5-x")])), encoding="utf-8")
+    ingest_new_exports(spark, str(root), out, checkpoint=ck)
+    got = sorted(r.annotation_id for r in spark.read.parquet(out).collect())
+    assert got == [11, 21, 22]
