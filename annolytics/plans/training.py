@@ -43,7 +43,7 @@ def model_data(spark, sf_dir):
     te = cut_lineage(T.text_features(c.test.filter(F.col("label_numeric").isNotNull()).select(*KEEP, "text")))
     ztr, zte = FE.standardise_features(tr, te, keep=KEEP)
     folds = W.stratified_folds(ztr, key="annotation_id")
-    train = cut_lineage(M.with_ml_columns(folds))
+    train = M.right_size(cut_lineage(M.with_ml_columns(folds)))
     test = M.with_ml_columns(zte, weighted=False)
     return train, test
 
@@ -93,13 +93,21 @@ def _candidates(train):
     }
 
 
+def _cv_all(train) -> dict[str, dict]:
+    """M5 for every candidate; the candidates' fold fits run concurrently
+    (small fits are bound by per-job latency, not by cores)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    cands = _candidates(train)
+    with ThreadPoolExecutor(max_workers=len(cands)) as pool:
+        futs = {n: pool.submit(M.cross_validate, e, train) for n, e in cands.items()}
+        return {n: f.result() for n, f in futs.items()}
+
+
 @query("cross_validate_models")
 def q_cross_validate_models(spark, sf_dir):
     train, _ = model_data(spark, sf_dir)
-    rows = []
-    for name, est in _candidates(train).items():
-        r = M.cross_validate(est, train)
-        rows.append((name, float(r["mean_accuracy"]), float(r["std_accuracy"])))
+    rows = [(n, float(r["mean_accuracy"]), float(r["std_accuracy"])) for n, r in _cv_all(train).items()]
     best = max(rows, key=lambda r: r[1])[0]
     return spark.createDataFrame(
         [(n, m, s, n == best) for n, m, s in rows], "model string, mean_accuracy double, std_accuracy double, best boolean"
@@ -130,7 +138,7 @@ def q_train_bow_mlp(spark, sf_dir):
     te = c.test.filter(F.col("label_numeric").isNotNull()).select(*KEEP, "text")
     vocab = V.build_vocabulary(tr)
     tokens = [r["token"] for r in vocab.orderBy("idx").collect()]  # <= max_features rows
-    vtr = cut_lineage(V.bag_of_words_vectors(tr, tokens).withColumn("label0", (F.col("label_numeric") - 1).cast("double")))
+    vtr = M.right_size(cut_lineage(V.bag_of_words_vectors(tr, tokens).withColumn("label0", (F.col("label_numeric") - 1).cast("double"))))
     vte = V.bag_of_words_vectors(te, tokens).withColumn("label0", (F.col("label_numeric") - 1).cast("double"))
     model = M.bow_mlp(len(tokens)).fit(vtr)
     return _report([("train", M.predict(model, vtr, KEEP)), ("test", M.predict(model, vte, KEEP))])
@@ -140,7 +148,7 @@ def q_train_bow_mlp(spark, sf_dir):
 def q_fit_predict_report(spark, sf_dir):
     train, test = model_data(spark, sf_dir)
     cands = _candidates(train)
-    scores = {n: M.cross_validate(e, train)["mean_accuracy"] for n, e in cands.items()}
+    scores = {n: r["mean_accuracy"] for n, r in _cv_all(train).items()}
     best = max(scores, key=scores.get)
     model = cands[best].fit(train)
     p = M.predict(model, train, KEEP).withColumn("split", F.lit("train")).unionByName(
@@ -160,7 +168,7 @@ def _score_documents(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     dfe = T.text_features(docs, keep_text=True)
     ztr, zdoc = FE.standardise_features(tr, dfe, keep=KEEP, keep_other=["doc_id", "text"])
-    train = cut_lineage(M.with_ml_columns(ztr))
+    train = M.right_size(cut_lineage(M.with_ml_columns(ztr)))
     model = M.logistic_regression(train.count()).fit(train)
     return _scored(model, M.assemble(zdoc), ["doc_id", "text"])
 

@@ -89,12 +89,20 @@ def ensure_parallelism(df, factor: int = 2):
     return df
 
 
-def cut_lineage(df, eager: bool = True):
+def cut_lineage(df):
     """Reliable checkpoint into the shared checkpoint folder.
 
-    Used by the composite jobs after the expensive shuffle stages (the
-    duplicate resolution) so a lost executor does not replay the whole
-    lineage, and so several consumers read one materialised copy.
+    Used after expensive stages (duplicate resolution, text features) so a
+    lost executor does not replay the whole lineage and several consumers
+    (statistics, folds, every model fit) read one materialised copy.  An
+    eager checkpoint of an uncached frame runs the plan twice (the count,
+    then the checkpoint write job); persisting first makes the write read
+    the cached blocks, and the cache is dropped once the files exist.
     """
+    from pyspark import StorageLevel
+
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
