@@ -285,7 +285,10 @@ class Cleaned:
     """Frames produced by the cleaning pipeline, all lazy (J2 order:
     hold-out -> select -> duplicates -> length -> short filter -> annotators)."""
 
-    def __init__(self, raw, working, test, selected, deduped, long_enough, train):
+    def __init__(self, raw, working, test, selected, deduped, long_enough, train, rules=DEFAULT_HOLDOUT_RULES,
+                 min_len=MIN_TEXT_LENGTH):
+        self.rules = rules
+        self.min_len = min_len
         self.raw = raw
         self.working = working
         self.test = test
@@ -307,33 +310,30 @@ def clean(
     deduped = add_text_length(resolve_duplicates(selected))
     long_enough = filter_short_texts(deduped, min_len)
     train = remove_rushed_annotators(long_enough, min_mean_lead)
-    return Cleaned(df, working, test, selected, deduped, long_enough, train)
+    return Cleaned(df, working, test, selected, deduped, long_enough, train, rules, min_len)
 
 
 def cleaning_funnel(c: Cleaned) -> DataFrame:
     """Per step the rows before/after, removed and % removed, then the
     final train/test/total counts.
 
-    The five counts are one union of global aggregates over nested plans;
-    Spark reuses the shared shuffle (duplicate resolution) across branches.
-    Callers that run more than this report should cut the lineage after the
-    duplicate step (``annolytics.session.cut_lineage``) first.
+    Three global aggregates: a flagged pass over the raw rows (initial,
+    hold-out, test), one over the de-duplicated rows (duplicates, short
+    texts) and one over the final rows; the duplicate-resolution shuffle is
+    shared by the last two.  Callers that run more than this report should
+    cut the lineage after the duplicate step first.
     """
-
-    def cnt(frame, name):
-        return frame.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
-
-    counts = (
-        cnt(c.raw, "initial")
-        .unionByName(cnt(c.working, "holdout"))
-        .unionByName(cnt(c.deduped, "duplicates"))
-        .unionByName(cnt(c.long_enough, "short_texts"))
-        .unionByName(cnt(c.train, "rushed_annotators"))
-        .unionByName(cnt(c.test, "test"))
+    flag = holdout_flag(c.rules)
+    a = c.raw.agg(
+        F.count(F.lit(1)).alias("initial"), F.count_if(~flag).alias("holdout"), F.count_if(flag).alias("test")
+    )
+    b = c.deduped.agg(
+        F.count(F.lit(1)).alias("duplicates"), F.count_if(F.col("text_length") >= c.min_len).alias("short_texts")
     )
-    wide = counts.groupBy().pivot(
-        "stage", ["initial", "holdout", "duplicates", "short_texts", "rushed_annotators", "test"]
-    ).agg(F.first("n"))
+    t = c.train.agg(F.count(F.lit(1)).alias("rushed_annotators"))
+    # three one-row results side by side
+    one = F.lit(1)
+    wide = a.withColumn("_k", one).join(b.withColumn("_k", one), "_k").join(t.withColumn("_k", one), "_k")
     steps = [("holdout", "initial"), ("duplicates", "holdout"), ("short_texts", "duplicates"),
              ("rushed_annotators", "short_texts")]
     parts = []

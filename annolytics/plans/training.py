@@ -229,7 +229,7 @@ def q_pipeline_clean(spark, sf_dir):
     train = C.remove_rushed_annotators(long_enough)
     P.dataset_stats(train, "train")  # G1 (reported by the caller)
     TB.write_train_test(train, test, X.scratch_path(spark, "processed"))
-    return C.cleaning_funnel(C.Cleaned(raw, working, test, selected, deduped, long_enough, train))
+    return C.cleaning_funnel(C.Cleaned(raw, working, test, selected, deduped, long_enough, train, rules=DRIVER_RULES))
 
 
 @query(
