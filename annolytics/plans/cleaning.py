@@ -299,10 +299,11 @@ def q_annotator_lead_times(spark, sf_dir):
 @query(
     "removed_annotators",
     CLEAN + """
-SELECT student_code, mean_lead_time, n_rows FROM rushed""",
+SELECT student_code, round(mean_lead_time, 6) AS mean_lead_time, n_rows FROM rushed""",
 )
 def q_removed_annotators(spark, sf_dir):
-    return C.removed_annotators(cleaned(spark, sf_dir).long_enough)
+    r = C.removed_annotators(cleaned(spark, sf_dir).long_enough)
+    return r.select("student_code", F.round("mean_lead_time", 6).alias("mean_lead_time"), "n_rows")
 
 
 @query(
