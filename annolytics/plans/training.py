@@ -193,7 +193,7 @@ def q_score_texts(spark, sf_dir):
 
 
 @query(
-    "pipeline_clean",
+    "clean_job",
     CLEAN + """,
 c AS (SELECT (SELECT count(*) FROM ann) AS initial, (SELECT count(*) FROM working) AS holdout,
              (SELECT count(*) FROM deduped) AS duplicates, (SELECT count(*) FROM long_enough) AS short_texts,
@@ -212,7 +212,7 @@ SELECT CAST(step_no AS INTEGER) AS step_no, step, CAST(records_before AS BIGINT)
        CASE WHEN step_no <= 4 THEN round((records_before - records_after) * 100.0 / records_before, 6) END AS pct_removed
 FROM s""",
 )
-def q_pipeline_clean(spark, sf_dir):
+def q_clean_job(spark, sf_dir):
     """CSV export (S6) -> read (S5) -> hold-out -> select -> duplicates
     (checkpointed: every later step reads it) -> length -> short filter ->
     rushed annotators -> statistics -> write train/test (S7) -> funnel."""
@@ -233,7 +233,7 @@ def q_pipeline_clean(spark, sf_dir):
 
 
 @query(
-    "pipeline_bias",
+    "bias_job",
     CHI + """,
 mx AS (SELECT student_code,
        round(count(*) FILTER (WHERE label_numeric = 1) * 100.0 / count(*), 6) AS pct_label_1,
@@ -247,7 +247,7 @@ SELECT res.*, mx.pct_label_1, mx.pct_label_2, mx.pct_label_3, mx.pct_label_4, mx
             WHEN res.mean_label < 4.0 THEN '3.5-4.0' WHEN res.mean_label < 4.5 THEN '4.0-4.5' ELSE '>= 4.5' END AS band
 FROM res JOIN mx ON mx.student_code = res.student_code""",
 )
-def q_pipeline_bias(spark, sf_dir):
+def q_bias_job(spark, sf_dir):
     """Cleaned set -> B1 -> B2 -> B4 -> B5 as one annotator table."""
     from annolytics.operators import bias as B
     from annolytics.plans.cleaning import cleaned
@@ -260,8 +260,8 @@ def q_pipeline_bias(spark, sf_dir):
     return chi.join(mat, "student_code").withColumn("band", band)
 
 
-@query("pipeline_features_train")
-def q_pipeline_features_train(spark, sf_dir):
+@query("features_train_job")
+def q_features_train_job(spark, sf_dir):
     """Features -> standardise -> weights -> LR / RF / GBT / ridge ->
     evaluation per model and split."""
     train, test = model_data(spark, sf_dir)
@@ -275,8 +275,8 @@ def q_pipeline_features_train(spark, sf_dir):
     return out.unionByName(_report(rp).withColumn("model", F.lit("ridge")))
 
 
-@query("pipeline_score_evaluate")
-def q_pipeline_score_evaluate(spark, sf_dir):
+@query("score_evaluate_job")
+def q_score_evaluate_job(spark, sf_dir):
     """Fit on the training rows, score the hold-out texts in batches
     (I3 -> I1 -> I2), summarise the predictions (I4) and evaluate them
     against the annotators' labels (E1, E2, E5, E7, E8): one row."""
