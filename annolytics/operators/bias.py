@@ -62,7 +62,8 @@ def annotator_chi_square(df: DataFrame, label: str = LABEL, alpha: float = SIGNI
     var = F.try_divide(F.col("_s2") - n * mean * mean, n - 1)
     chi = per.select(
         ANNOTATOR, "n", "dof", mean.alias("mean_label"),
-        F.sqrt(F.greatest(var, F.lit(0.0))).alias("std_label"),
+        # one row -> NULL sample std (greatest() would turn NULL into 0)
+        F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias("std_label"),
         F.greatest(F.col("_q") / n - n, F.lit(0.0)).alias("chi2"),
     )
     p = chi2_sf(F.col("chi2"), F.col("dof"))
