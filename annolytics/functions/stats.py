@@ -82,6 +82,28 @@ def quantiles_sorted(df: DataFrame, value: str, probs: Sequence[float], by: Sequ
     return g.select(*by, "q", p.alias("p"), (F.col("_lo") + frac * (F.col("_hi") - F.col("_lo"))).alias("value"))
 
 
+def running_sum_sorted(df: DataFrame, order: str, weight: str, out: str = "cum", total: str = "total") -> DataFrame:
+    """Running sum of ``weight`` in ascending ``order`` (unique, non-NULL
+    values), plus the grand total, without a single-partition window.
+
+    Plan: one range-partitioned sort; a window per sort partition gives the
+    running sum inside it; a one-row-per-partition table (broadcast, bounded
+    by the partition count) adds the totals of all earlier partitions.
+    """
+    s = df.orderBy(order).withColumn("_pid", F.spark_partition_id())
+    inside = Window.partitionBy("_pid").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    s = s.withColumn("_run", F.sum(weight).over(inside))
+    blocks = s.groupBy("_pid").agg(F.sum(weight).alias("_bs"))
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(
+        "_pid",
+        F.coalesce(F.sum("_bs").over(earlier), F.lit(0)).alias("_off"),
+        F.sum("_bs").over(Window.partitionBy()).alias(total),
+    )
+    r = s.join(F.broadcast(blocks), "_pid").withColumn(out, F.col("_off") + F.col("_run"))
+    return r.drop("_pid", "_run", "_off")
+
+
 def grouped_stats(
     df: DataFrame,
     by: Sequence[str],

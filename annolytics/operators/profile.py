@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from annolytics.functions.stats import grouped_stats, quantiles_sorted, ratio
+from annolytics.functions.stats import grouped_stats, quantiles_sorted, ratio, running_sum_sorted
 from annolytics.operators.clean import ANNOTATOR, LABEL, LEAD, SOURCE, TEXT
 
 LENGTH_PERCENTILES = (1, 5, 10, 25, 50, 75, 90, 95, 99)
@@ -345,11 +345,12 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
 
 def ecdf(df: DataFrame, value: str = "text_length") -> DataFrame:
     """Cumulative % at each distinct value.  Aggregates to distinct
-    values first; the running sum runs over that (small) result."""
+    values first (map-side combine); the running sum over them is range
+    partitioned, so a continuous column with many distinct values is never
+    ordered in one task."""
     g = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-    run = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    total = F.sum("n").over(Window.partitionBy())
-    return g.select(value, "n", F.sum("n").over(run).alias("cum_n"), F.round(F.sum("n").over(run) * 100.0 / total, 6).alias("cum_pct"))
+    r = running_sum_sorted(g, value, "n", out="cum_n", total="_total")
+    return r.select(value, "n", "cum_n", F.round(F.col("cum_n") * 100.0 / F.col("_total"), 6).alias("cum_pct"))
 
 
 def correlation(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from annolytics.functions.stats import hash_order, hashed_rank, quantiles_sorted
+from annolytics.functions.stats import hash_order, hashed_rank, quantiles_sorted, running_sum_sorted
 from annolytics.operators import split as W
 
 
@@ -59,3 +59,17 @@ def test_folds_balanced(spark):
     for lab in (1, 2):
         counts = [r["count"] for r in f if r.label_numeric == lab]
         assert max(counts) - min(counts) <= 1
+
+
+def test_running_sum_sorted_matches_cumsum(spark):
+    rng = np.random.default_rng(7)
+    v = np.unique(np.round(rng.exponential(50, 4000), 3))  # continuous, many distinct values
+    n = rng.integers(1, 20, len(v))
+    df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(v, n)], "v double, n long").repartition(7)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep several sort partitions
+    try:
+        got = running_sum_sorted(df, "v", "n").orderBy("v").toPandas()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert list(got["cum"]) == list(np.cumsum(n))
+    assert set(got["total"]) == {int(n.sum())}
