@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -58,23 +59,41 @@ def get_session(
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder named by the cluster, if any."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    return spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder the cluster names in ``spark.checkpoint.dir`` (or
+    the one already set on the context), if any."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (local runs and tests) fall back to a fresh scratch folder."""
+    """The shared scratch folder, the same on every call.
+
+    A cluster must name it in ``spark.checkpoint.dir``.  Only a ``local``
+    session, where driver and executors are one process, gets a fresh folder
+    of its own; anything else is an error, because each executor would write
+    to its own disk."""
+    sc = spark.sparkContext
     d = checkpoint_dir(spark)
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="annolytics-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
+def materialize(df, name: str):
+    """Write ``df`` once to a table in the shared folder and read it back.
+
+    Cuts the lineage (a lost executor rereads files instead of replaying the
+    plan), gives the optimiser the real size, and makes every later reader
+    see the same rows."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ensure_parallelism(df, factor: int = 2):
     """Spread a CPU-heavy *scan* that arrives in fewer partitions than the
     cluster has cores (e.g. one large parquet row group) over
