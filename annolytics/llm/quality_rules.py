@@ -141,7 +141,7 @@ def certify_cutoffs(
     good: str,
     rules: Sequence[str] = RULES,
     grid: Sequence[float] = GRID,
-    alpha: float = 0.03,
+    alpha: float = 0.05,
     delta: float = 0.05,
 ) -> DataFrame:
     """(stratum, rule, cutoff) for every certified choice.
