@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annolytics.llm import chat_format, mixing, quality_rules, url_filter
+from annolytics.llm import chat_format, mixing, quality_rules, sentencepiece_codec, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -179,3 +179,28 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules"
     )
+
+
+# --- 8 SentencePiece encoding and decoding --------------------------------------
+
+
+def piece_model() -> str:
+    """Place of the public model file on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op8_sentencepiece")
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids and the text decoded from them, as digests."""
+    model = piece_model()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = sentencepiece_codec.encode(docs, model).select("doc_id", "ids")
+    out = sentencepiece_codec.decode(coded, model)
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
