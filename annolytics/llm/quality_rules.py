@@ -45,35 +45,39 @@ RULES = ("symbol_ratio", "dup_line_ratio", "repeat_ratio")
 
 def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_lines (lines with a word),
-    n_dup_lines and n_repeat_words, all long."""
+    n_dup_lines and n_repeat_words, all long.
+
+    A window is one long: the high bits of the hash of its three words, and
+    its place in as many low bits as the text's number of words needs.  Equal
+    windows are neighbours after a primitive sort; neighbours that agree in
+    the hash bits are compared word by word.
+    """
     t = F.coalesce(F.col(text), F.lit(""))
     d = docs.withColumn("_w", words(F.col(text)))
-    # line by line: one with a word has a code point that is no space
-    d = d.withColumn("_lines", F.filter(F.split(t, "\n"), lambda x: F.translate(x, " \t\x0b\x0c\r", "") != ""))
-    n = F.size("_w")
-    windows = F.when(n < 3, F.array().cast("array<struct<h:bigint,i:int>>")).otherwise(
+    d = d.withColumn("_lines", F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+    d = d.withColumn("_low", F.expr("shiftleft(1L, length(bin(size(_w)))) - 1"))  # place bits
+
+    def word(i):
+        return F.get(F.col("_w"), i)
+
+    windows = F.when(F.size("_w") < 3, F.array().cast("array<bigint>")).otherwise(
         F.transform(
-            F.sequence(F.lit(0), F.greatest(n - 3, F.lit(0))),
-            lambda i: F.struct(
-                F.xxhash64(F.get(F.col("_w"), i), F.get(F.col("_w"), i + 1), F.get(F.col("_w"), i + 2)).alias("h"),
-                i.alias("i"),
-            ),
+            F.sequence(F.lit(0), F.greatest(F.size("_w") - 3, F.lit(0))),
+            lambda i: F.xxhash64(word(i), word(i + 1), word(i + 2)).bitwiseAND(F.bitwise_not("_low")).bitwiseOR(i.cast("long")),
         )
     )
-    d = d.withColumn("n_words", n.cast("long")).withColumn("_s", F.array_sort(windows))
-    # equal windows are neighbours now; keep the places of those with a twin
-    d = d.withColumn(
-        "_p",
-        F.array_sort(
-            F.transform(
-                F.filter(
-                    F.col("_s"),
-                    lambda x, j: (F.get(F.col("_s"), j - 1)["h"] == x["h"]) | F.coalesce(F.get(F.col("_s"), j + 1)["h"] == x["h"], F.lit(False)),
-                ),
-                lambda x: x["i"],
-            )
-        ),
+    d = d.withColumn("_s", F.sort_array(windows))
+    low = F.col("_low")
+
+    def twins(x, y):
+        i, j = x.bitwiseAND(low).cast("int"), y.bitwiseAND(low).cast("int")
+        same_hash = F.bitwise_not(low).bitwiseAND(x.bitwiseXOR(y)) == 0
+        return F.coalesce(same_hash & (word(i) == word(j)) & (word(i + 1) == word(j + 1)) & (word(i + 2) == word(j + 2)), F.lit(False))
+
+    repeated = F.filter(
+        F.col("_s"), lambda x, k: twins(x, F.get(F.col("_s"), k - 1)) | twins(x, F.get(F.col("_s"), k + 1))
     )
+    d = d.withColumn("_p", F.sort_array(F.transform(repeated, lambda x: x.bitwiseAND(low))))
     # a window covers three words, or fewer up to the next one's start
     covered = F.aggregate(
         F.zip_with("_p", F.slice("_p", 2, F.greatest(F.size("_p"), F.lit(1))), lambda a, b: F.least(F.coalesce(b - a, F.lit(3)), F.lit(3))),
@@ -82,9 +86,9 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     return d.select(
         *docs.columns,
-        "n_words",
-        F.length(F.translate(t, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
-        (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.size("_w").cast("long").alias("n_words"),
+        F.length(F.concat_ws("", "_w")).cast("long").alias("word_chars"),
+        (F.length(t) - F.length(F.regexp_replace(t, "[" + SYMBOLS + "]", ""))).cast("long").alias("n_symbols"),
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         covered.alias("n_repeat_words"),

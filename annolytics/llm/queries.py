@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annolytics.llm import chat_format, mixing, quality_rules, sentencepiece_codec, url_filter
+from annolytics.llm import chat_format, mixing, pii, quality_rules, sentencepiece_codec, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -204,3 +204,25 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+# --- 4 personal data --------------------------------------------------------------
+
+#: Key of the surrogates; a deployment passes its own secret.
+SURROGATE_KEY = "annolytics surrogates"
+
+
+@query("op4_pii_surrogates")
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with personal data replaced by surrogates."""
+    return pii.replace_pii(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
+# --- 7 toxicity ---------------------------------------------------------------------
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the chain's probabilities and verdict."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.detect(docs, table(spark, sf_dir, "labels")).drop("text")
