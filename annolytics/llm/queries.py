@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annolytics.llm import chat_format, mixing, pii, quality_rules, sentencepiece_codec, toxicity, url_filter
+from annolytics.llm import chat_format, hyperminhash, mixing, pii, quality_rules, sentencepiece_codec, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -226,3 +226,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the chain's probabilities and verdict."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.detect(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
+# --- 10 MinHash near-dedup ---------------------------------------------------------
+
+
+@query("op10_hyperminhash")
+def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its group of near copies (three words, 85 %)."""
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
