@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annolytics.llm import chat_format, hyperminhash, mixing, pii, quality_rules, sentencepiece_codec, toxicity, url_filter
+from annolytics.llm import chat_format, hyperminhash, mixing, pii, quality_rules, sentencepiece_codec, toxicity, url_filter, vector_graph
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -235,3 +235,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its group of near copies (three words, 85 %)."""
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+# --- 5 approximate nearest neighbours --------------------------------------------------
+
+
+@query("op5_vector_graph")
+def op5_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows found for every row whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return vector_graph.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
