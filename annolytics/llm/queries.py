@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annolytics.llm import chat_format, hyperminhash, mixing, pii, quality_rules, sentencepiece_codec, toxicity, url_filter, vector_graph
+from annolytics.llm import chat_format, hyperminhash, mixing, pii, quality_rules, sentencepiece_codec, toxicity, url_filter, vector_graph, warc_revisits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -245,3 +245,84 @@ def op5_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows found for every row whose id is divisible by 20."""
     vectors = table(spark, sf_dir, "embeddings")
     return vector_graph.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+# --- 2 WARC -------------------------------------------------------------------------------
+
+#: Crawl records of the pages table, for SQL of either engine.  Every page is
+#: captured in full and revisited later under a variant of its URL; every
+#: page's crawl also touches its site's root, once in full (the root's state
+#: is the length of the page modulo 3) and once as a revisit.
+PAGE_RECORDS = """
+SELECT page_id * 4 AS record_id, url AS uri, page_id * 1000 AS time, 'response' AS record_type, 200 AS http_status,
+       concat('"', md5(html), '"') AS etag, 'text/html' AS ctype, CAST(length(html) AS {S}) AS clen, 'stored' AS cache, md5(html) AS digest
+FROM pages
+UNION ALL
+SELECT page_id * 4 + 1, concat(url, CASE WHEN {HASQ} THEN '&' ELSE '?' END, 'utm_medium=crawl'),
+       page_id * 1000 + 250 * (length(html) % 9) - 100, 'revisit', 304,
+       CASE WHEN length(html) % 5 = 0 THEN concat('"', md5(url), '"') ELSE concat('W/"', md5(html), '"') END, 'text/plain', '0', 'fresh', NULL
+FROM pages WHERE NOT {HASF}
+UNION ALL
+SELECT page_id * 4 + 2, {ROOT}, page_id * 1000 + 1, 'response', 200,
+       concat('"', CAST(length(html) % 3 AS {S}), '"'), 'text/html', '1', 'stored', md5(CAST(length(html) % 3 AS {S}))
+FROM pages
+UNION ALL
+SELECT page_id * 4 + 3, upper({ROOT}), page_id * 1000 + 2 + length(html) % 5000, 'revisit', 304,
+       concat('"', CAST(length(html) % 3 AS {S}), '"'), 'text/plain', '0', 'fresh', NULL
+FROM pages
+"""
+
+
+def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Response and revisit records of the pages table."""
+    sql = PAGE_RECORDS.format(
+        S="STRING", HASQ="instr(url, '?') > 0", HASF="instr(url, '#') > 0", ROOT="regexp_extract(url, '^[a-z]+://[^/?#]*', 0)"
+    )
+    records = spark.sql(sql.replace("FROM pages", "FROM {pages}"), pages=table(spark, sf_dir, "pages"))
+    header = F.create_map(
+        F.lit("ETag"), "etag", F.lit("Content-Type"), "ctype", F.lit("Content-Length"), "clen", F.lit("X-Cache"), "cache"
+    )
+    return records.withColumn("headers", header).withColumnRenamed("digest", "payload_digest")
+
+
+WARC_SQL = """
+WITH rec AS ({RECORDS}),
+b AS (SELECT *, regexp_replace(regexp_replace(uri, '#.*$', '', 's'), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM rec),
+c AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^[^/?]*', 0)), '^www\\.', ''), ':(80|443)$', '')
+         || regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '')
+         || CASE WHEN len(q) = 0 THEN '' ELSE '?' || array_to_string(q, '&') END AS curl
+  FROM (SELECT *, list_sort(list_filter(string_split(regexp_extract(rest, '\\?(.*)$', 1), '&'),
+          lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|gclid|fbclid)(=|$)'))) AS q FROM b)),
+full_ AS (
+  SELECT curl, time, max(record_id) AS id, arg_max(etag, record_id) AS etag, arg_max(ctype, record_id) AS ctype,
+         arg_max(clen, record_id) AS clen, arg_max(digest, record_id) AS digest
+  FROM c WHERE record_type = 'response' GROUP BY curl, time),
+j AS (
+  SELECT v.record_id, v.curl, v.time, v.cache, v.etag AS vtag, f.id, f.etag, f.ctype, f.clen, f.digest,
+         regexp_replace(v.etag, '^W/', '') = f.etag AS ok
+  FROM (SELECT * FROM c WHERE record_type = 'revisit') v ASOF LEFT JOIN full_ f ON v.curl = f.curl AND v.time > f.time)
+SELECT record_id, curl AS url, time,
+       CASE WHEN id IS NULL THEN 'no_earlier' WHEN ok THEN 'resolved' ELSE 'validator_mismatch' END AS status,
+       CASE WHEN ok THEN id END AS source_id,
+       CASE WHEN ok THEN digest END AS payload_digest,
+       CASE WHEN ok THEN 'content-length: ' || clen || chr(10) || 'content-type: ' || ctype || chr(10)
+            || 'etag: ' || vtag || chr(10) || 'x-cache: ' || cache END AS headers
+FROM j
+"""
+
+
+@query(
+    "op2_warc_revisits",
+    WARC_SQL.replace(
+        "{RECORDS}",
+        PAGE_RECORDS.format(
+            S="VARCHAR", HASQ="contains(url, '?')", HASF="contains(url, '#')", ROOT="regexp_extract(url, '^[a-z]+://[^/?#]*', 0)"
+        ),
+    ),
+)
+def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every revisit of the crawl records of all pages."""
+    out = warc_revisits.resolve_revisits(page_records(spark, sf_dir))
+    lines = F.transform(F.sort_array(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return out.withColumn("headers", F.array_join(lines, "\n"))
