@@ -7,12 +7,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from annolytics.session import materialize
+
 
 def ratio(num, den) -> Column:
     """num / den, NULL when den is 0 or NULL (never an ANSI error)."""
@@ -26,56 +30,70 @@ def ratio0(num, den) -> Column:
 
 # --- exact quantiles -------------------------------------------------------------
 
+#: Slices that the values of a group are cut into for sorting.
+SLICES = 64
+
 
-def _is_integral(df: DataFrame, col: str) -> bool:
-    return isinstance(df.schema[col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+def _sliced(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """Adds ``_slice``: the number of the group's cut points that are <= the
+    value.  The cut points (approximate quantiles, ``SLICES`` - 1 numbers per
+    group) are written once, so every reader cuts alike."""
+    cuts = df.groupBy(*by).agg(
+        F.percentile_approx(F.col(value).cast("double"), [i / SLICES for i in range(1, SLICES)], 1000).alias("_cuts")
+    )
+    cuts = materialize(cuts.select(*[F.col(c).alias(f"_by_{c}") for c in by], "_cuts"), "quantile-cuts")
+    if by:
+        cond = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+        j = df.join(cuts, reduce(and_, cond), "left").drop(*cuts.columns[:-1])
+    else:
+        j = df.join(F.broadcast(cuts), F.lit(True), "left")  # one row
+    v = F.col(value).cast("double")
+    return j.withColumn("_slice", F.size(F.filter("_cuts", lambda c: c <= v))).drop("_cuts")
+
+
+def _with_running(df: DataFrame, value: str, weight: str, by: Sequence[str], out: str, total: str) -> DataFrame:
+    """Running sum of ``weight`` in ascending order of the group's distinct
+    values, and the group's total.  Sums per (group, slice) give what lies
+    before a slice; a window runs only inside a slice."""
+    s = _sliced(df, value, by)
+    sums = s.groupBy(*by, "_slice").agg(F.sum(weight).alias("_s"))
+    earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(
+        *[F.col(c).alias(f"_by_{c}") for c in by],
+        F.col("_slice").alias("_by_slice"),
+        F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_off"),
+        F.sum("_s").over(Window.partitionBy(*by)).alias(total),
+    )
+    inside = Window.partitionBy(*by, "_slice").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    cond = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by] + [F.col("_slice") == F.col("_by_slice")]
+    r = s.withColumn("_run", F.sum(weight).over(inside)).join(sums, reduce(and_, cond))
+    return r.withColumn(out, F.col("_off") + F.col("_run")).drop("_off", "_run", "_slice", "_by_slice", *[f"_by_{c}" for c in by])
 
 
 def quantiles_sorted(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Exact linearly interpolated quantiles (numpy/pandas default, DuckDB
-    ``quantile_cont``) of ``value`` per group, without holding a group in one
-    task.
-
-    Plan: one range-partitioned sort on (group, value, salt); a small table
-    of per-partition block sizes gives every row its rank inside its group;
-    only the <= 2 rows per requested quantile survive the filter.  The salt
-    (a row id) spreads a hot value or a hot group over many partitions.
-    Returns (by..., q, p, value) with q the index into ``probs``.
+    ``quantile_cont``) of ``value`` per group (null groups included), without
+    holding a group in one task.
+
+    Plan: rows become (group, distinct value, count) before the shuffle; the
+    running count over slices of the values tells which value holds a rank.
+    Every step depends on the data alone, never on partition numbers or the
+    order of rows, so re-evaluated stages agree.  Returns (by..., q, p,
+    value) with q the index into ``probs``.
     """
     by = list(by)
     probs = [float(p) for p in probs]
     v = F.col(value).cast("double")
     base = df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    base = base.withColumn("_salt", F.monotonically_increasing_id())
-    s = base.orderBy(*by, "_v", "_salt").select(
-        *by, "_v", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")
-    )
-    blocks = s.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_m0"))
-    w_prev = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*by)
-    blocks = blocks.select(
-        "_pid",
-        *by,
-        "_m0",
-        F.coalesce(F.sum("_cnt").over(w_prev), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(w_all).alias("_n"),
-    )
-    ranked = s.join(blocks, ["_pid", *by]).select(
-        *by, "_v", (F.col("_off") + F.col("_mid") - F.col("_m0")).alias("_r"), "_n"
-    )
+    counts = base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    r = _with_running(counts, "_v", "_c", by, "_upto", "_n")
     parr = F.array(*[F.lit(p) for p in probs])
-
-    def lo(i):
-        return F.floor((F.col("_n") - 1) * F.element_at(parr, i + 1))
-
-    hits = F.filter(
-        F.sequence(F.lit(0), F.lit(len(probs) - 1)),
-        lambda i: (F.col("_r") == lo(i)) | (F.col("_r") == lo(i) + 1),
-    )
-    sel = ranked.select(*by, "_v", "_r", "_n", F.explode(hits).alias("q"))
-    g = sel.groupBy(*by, "q").agg(
-        F.min_by("_v", "_r").alias("_lo"), F.max_by("_v", "_r").alias("_hi"), F.max("_n").alias("_n")
-    )
+    # ranks from 0; a value with count c holds the ranks upto - c .. upto - 1
+    lo = lambda i: F.floor((F.col("_n") - 1) * F.element_at(parr, i + 1))
+    holds = lambda k: (F.col("_upto") - F.col("_c") <= k) & (k < F.col("_upto"))
+    hits = F.filter(F.sequence(F.lit(0), F.lit(len(probs) - 1)), lambda i: holds(lo(i)) | holds(lo(i) + 1))
+    sel = r.select(*by, "_v", "_n", F.explode(hits).alias("q"))
+    g = sel.groupBy(*by, "q").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.max("_n").alias("_n"))
     p = F.element_at(parr, F.col("q") + 1)
     h = (F.col("_n") - 1) * p
     frac = h - F.floor(h)
@@ -84,24 +102,8 @@ def quantiles_sorted(df: DataFrame, value: str, probs: Sequence[float], by: Sequ
 
 def running_sum_sorted(df: DataFrame, order: str, weight: str, out: str = "cum", total: str = "total") -> DataFrame:
     """Running sum of ``weight`` in ascending ``order`` (unique, non-NULL
-    values), plus the grand total, without a single-partition window.
-
-    Plan: one range-partitioned sort; a window per sort partition gives the
-    running sum inside it; a one-row-per-partition table (broadcast, bounded
-    by the partition count) adds the totals of all earlier partitions.
-    """
-    s = df.orderBy(order).withColumn("_pid", F.spark_partition_id())
-    inside = Window.partitionBy("_pid").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    s = s.withColumn("_run", F.sum(weight).over(inside))
-    blocks = s.groupBy("_pid").agg(F.sum(weight).alias("_bs"))
-    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(
-        "_pid",
-        F.coalesce(F.sum("_bs").over(earlier), F.lit(0)).alias("_off"),
-        F.sum("_bs").over(Window.partitionBy()).alias(total),
-    )
-    r = s.join(F.broadcast(blocks), "_pid").withColumn(out, F.col("_off") + F.col("_run"))
-    return r.drop("_pid", "_run", "_off")
+    values), plus the grand total, without a single-partition window."""
+    return _with_running(df, order, weight, [], out, total)
 
 
 def grouped_stats(
@@ -112,25 +114,24 @@ def grouped_stats(
 ) -> DataFrame:
     """Plain aggregates plus exact quantiles in one result per group.
 
-    ``quantile_specs`` = [(column, p, alias)].  Integral columns (lengths,
-    counts: bounded domains) use the ``percentile`` aggregate inside the same
-    hash aggregate; fractional columns go through ``quantiles_sorted`` and
-    are joined back on the group key.
+    ``quantile_specs`` = [(column, p, alias)]; the quantiles of a column come
+    from ``quantiles_sorted`` and are joined back on the group, null group
+    included.
     """
     by = list(by)
-    inline, sorted_specs = [], {}
-    for col, p, alias in quantile_specs:
-        if _is_integral(df, col):
-            inline.append(F.percentile(F.col(col), F.lit(float(p))).alias(alias))
-        else:
-            sorted_specs.setdefault(col, []).append((p, alias))
     key = by if by else ["_k"]
     src = df if by else df.withColumn("_k", F.lit(1))
-    out = src.groupBy(*key).agg(*(list(aggs) + inline))
-    for col, specs in sorted_specs.items():
-        q = quantiles_sorted(src, col, [p for p, _ in specs], key)
-        wide = q.groupBy(*key).agg(*[F.max(F.when(F.col("q") == i, F.col("value"))).alias(a) for i, (_, a) in enumerate(specs)])
-        out = out.join(wide, key, "left")
+    out = src.groupBy(*key).agg(*aggs)
+    specs: dict[str, list[tuple[float, str]]] = {}
+    for col, p, alias in quantile_specs:
+        specs.setdefault(col, []).append((p, alias))
+    for col, wanted in specs.items():
+        q = quantiles_sorted(src, col, [p for p, _ in wanted], key)
+        wide = q.groupBy(*[F.col(c).alias(f"_q_{c}") for c in key]).agg(
+            *[F.max(F.when(F.col("q") == i, F.col("value"))).alias(a) for i, (_, a) in enumerate(wanted)]
+        )
+        cond = [F.col(c).eqNullSafe(F.col(f"_q_{c}")) for c in key]
+        out = out.join(wide, reduce(and_, cond), "left").drop(*[f"_q_{c}" for c in key])
     return out.drop("_k") if not by else out
 
 

@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from annolytics.session import materialize
+
 # Column names of the aggregated annotation table (FIXTURES A2).
 ANNOTATOR = "student_code"
 SOURCE = "source_file"
@@ -31,9 +33,6 @@ LEAD = "lead_time_seconds"
 ORDER_KEY = ("annotation_id",)
 
 # --- fixed values (the source project's cleaning configuration) -------------
-# Hold-out rules: all rows of annotator K3I7DL; rows of annotator BCLHKC whose
-# source file contains "otp" (case-insensitive regular expression).
-DEFAULT_HOLDOUT_RULES = (("K3I7DL", None), ("BCLHKC", "otp"))
 # Columns kept for training, with annotation_created_at renamed to labeled_at.
 TRAINING_COLUMNS = (
     "student_code",
@@ -57,7 +56,7 @@ LEAD_TIME_BUCKETS = (
 # -----------------------------------------------------------------------------
 
 
-def holdout_flag(rules: Sequence[tuple[str, str | None]] = DEFAULT_HOLDOUT_RULES) -> Column:
+def holdout_flag(rules: Sequence[tuple[str, str | None]]) -> Column:
     """True for hold-out rows.  A rule is (annotator, optional source regex);
     a NULL source never matches a pattern."""
     cond = F.lit(False)
@@ -69,7 +68,7 @@ def holdout_flag(rules: Sequence[tuple[str, str | None]] = DEFAULT_HOLDOUT_RULES
     return cond
 
 
-def holdout_split(df: DataFrame, rules=DEFAULT_HOLDOUT_RULES) -> tuple[DataFrame, DataFrame]:
+def holdout_split(df: DataFrame, rules) -> tuple[DataFrame, DataFrame]:
     """(working, test) — P3.  Runs before any cleaning; test rows are untouched."""
     flagged = df.withColumn("_is_test", holdout_flag(rules))
     working = flagged.filter(~F.col("_is_test")).drop("_is_test")
@@ -77,7 +76,7 @@ def holdout_split(df: DataFrame, rules=DEFAULT_HOLDOUT_RULES) -> tuple[DataFrame
     return working, test
 
 
-def holdout_rule_counts(df: DataFrame, rules=DEFAULT_HOLDOUT_RULES) -> DataFrame:
+def holdout_rule_counts(df: DataFrame, rules) -> DataFrame:
     """Rows taken by each hold-out rule, plus the total, in one pass (P3 report)."""
     aggs = []
     for i, (annotator, pattern) in enumerate(rules):
@@ -285,10 +284,11 @@ class Cleaned:
     """Frames produced by the cleaning pipeline, all lazy (J2 order:
     hold-out -> select -> duplicates -> length -> short filter -> annotators)."""
 
-    def __init__(self, raw, working, test, selected, deduped, long_enough, train, rules=DEFAULT_HOLDOUT_RULES,
-                 min_len=MIN_TEXT_LENGTH):
+    def __init__(self, raw, working, test, selected, deduped, long_enough, train, rules,
+                 min_len=MIN_TEXT_LENGTH, min_mean_lead=MIN_MEAN_LEAD_TIME):
         self.rules = rules
         self.min_len = min_len
+        self.min_mean_lead = min_mean_lead
         self.raw = raw
         self.working = working
         self.test = test
@@ -300,7 +300,7 @@ class Cleaned:
 
 def clean(
     df: DataFrame,
-    rules=DEFAULT_HOLDOUT_RULES,
+    rules: Sequence[tuple[str, str | None]],
     min_len: int = MIN_TEXT_LENGTH,
     min_mean_lead: float = MIN_MEAN_LEAD_TIME,
     columns: Sequence[str] = TRAINING_COLUMNS,
@@ -310,27 +310,27 @@ def clean(
     deduped = add_text_length(resolve_duplicates(selected))
     long_enough = filter_short_texts(deduped, min_len)
     train = remove_rushed_annotators(long_enough, min_mean_lead)
-    return Cleaned(df, working, test, selected, deduped, long_enough, train, rules, min_len)
+    return Cleaned(df, working, test, selected, deduped, long_enough, train, rules, min_len, min_mean_lead)
 
 
 def cleaning_funnel(c: Cleaned) -> DataFrame:
     """Per step the rows before/after, removed and % removed, then the
     final train/test/total counts.
 
-    Three global aggregates: a flagged pass over the raw rows (initial,
-    hold-out, test), one over the de-duplicated rows (duplicates, short
-    texts) and one over the final rows; the duplicate-resolution shuffle is
-    shared by the last two.  Callers that run more than this report should
-    cut the lineage after the duplicate step first.
+    Two passes over the input: a flagged one over the raw rows (initial,
+    hold-out, test) and the duplicate resolution, whose result is written
+    once without the texts; the later steps are counted on that table.
     """
     flag = holdout_flag(c.rules)
     a = c.raw.agg(
         F.count(F.lit(1)).alias("initial"), F.count_if(~flag).alias("holdout"), F.count_if(flag).alias("test")
     )
-    b = c.deduped.agg(
+    narrow = materialize(c.deduped.select(ANNOTATOR, LEAD, "text_length"), "funnel-rows")
+    b = narrow.agg(
         F.count(F.lit(1)).alias("duplicates"), F.count_if(F.col("text_length") >= c.min_len).alias("short_texts")
     )
-    t = c.train.agg(F.count(F.lit(1)).alias("rushed_annotators"))
+    final = remove_rushed_annotators(narrow.filter(F.col("text_length") >= c.min_len), c.min_mean_lead)
+    t = final.agg(F.count(F.lit(1)).alias("rushed_annotators"))
     # three one-row results side by side
     one = F.lit(1)
     wide = a.withColumn("_k", one).join(b.withColumn("_k", one), "_k").join(t.withColumn("_k", one), "_k")

@@ -124,13 +124,14 @@ def records_per_annotator(df: DataFrame) -> DataFrame:
 def records_per_annotator_summary(df: DataFrame) -> DataFrame:
     """Mean / median / min / max / sample std of rows per annotator."""
     per = df.groupBy(ANNOTATOR).agg(F.count(F.lit(1)).alias("n_rows"))
-    return per.agg(
+    aggs = [
         F.round(F.avg("n_rows"), 6).alias("mean_rows"),
-        F.round(F.percentile("n_rows", F.lit(0.5)), 6).alias("median_rows"),
         F.min("n_rows").alias("min_rows"),
         F.max("n_rows").alias("max_rows"),
         F.round(F.stddev_samp("n_rows"), 6).alias("std_rows"),
-    )
+    ]
+    s = grouped_stats(per, [], aggs, [("n_rows", 0.5, "median_rows")])
+    return s.select("mean_rows", F.round("median_rows", 6).alias("median_rows"), "min_rows", "max_rows", "std_rows")
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] = ("text_length", LEAD)) -> DataFrame:

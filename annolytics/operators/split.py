@@ -37,7 +37,7 @@ def class_weights(df: DataFrame, label: str = "label_numeric") -> DataFrame:
 def inverse_frequency_weights(df: DataFrame, key: str, label: str = "label_numeric") -> DataFrame:
     """Per-row sampling weight 1 / n_c."""
     c = class_counts(df, label)
-    return df.filter(F.col(label).isNotNull()).join(c, label).select(key, label, (F.lit(1.0) / F.col("n_c")).alias("weight"))
+    return df.filter(F.col(label).isNotNull()).join(F.broadcast(c), label).select(key, label, (F.lit(1.0) / F.col("n_c")).alias("weight"))
 
 
 def _ranked(df: DataFrame, key: str, label: str, seed: int) -> DataFrame:
@@ -67,7 +67,7 @@ def stratified_split(
     """Adds ``split`` in {train, validation}: the n_val rows of each class
     with the smallest seeded digest go to validation."""
     q = split_quotas(df, label, val_fraction)
-    r = _ranked(df, key, label, seed).join(q.select(label, "n_val"), label)
+    r = _ranked(df, key, label, seed).join(F.broadcast(q.select(label, "n_val")), label)
     out = r.withColumn("split", F.when(F.col("rank") <= F.col("n_val"), "validation").otherwise("train"))
     return out.drop("_h", "rank", "group_size", "n_val")
 
@@ -104,26 +104,43 @@ def capped_class_sample(
     to ``batch_size`` rows; a frame of at most ``batch_size`` rows is taken
     whole.  The limit is the feature (a fixed-size batch)."""
     cap = batch_size // 5 + 1
-    r = _ranked(df, key, label, seed).filter(F.col("rank") <= cap)
-    picked = r.orderBy(label, "rank").limit(batch_size).drop("_h", "rank", "group_size")
-    small = df.limit(batch_size + 1).count() <= batch_size
-    return df if small else picked
+    r = _ranked(df, key, label, seed)
+    # the total of all rows, unlabelled ones included, from one row
+    total = df.agg(F.count(F.lit(1)).alias("_total")).withColumn("_one", F.lit(1))
+    picked = r.filter(F.col("rank") <= cap).orderBy(label, "rank").limit(batch_size).select(key)
+    picked = picked.distinct().withColumn("_picked", F.lit(True))
+    d = df.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one").join(F.broadcast(picked), key, "left")
+    return d.filter((F.col("_total") <= batch_size) | F.col("_picked")).select(*df.columns)
 
 
 def balanced_resample(
-    df: DataFrame, label: str = "label_numeric", n: int | None = None, seed: int = SEED
+    df: DataFrame, key: str, label: str = "label_numeric", n: int | None = None, seed: int = SEED
 ) -> DataFrame:
-    """Draw rows with replacement, probability proportional to 1/n_c:
-    each class gets an expected n/k rows via Poisson sampling per class
-    (``sample(withReplacement=True)``), one sample per class, unioned."""
-    counts = class_counts(df, label).collect()  # one row per class
-    if not counts:
-        return df
-    total = n if n is not None else sum(r["n_c"] for r in counts)
-    k = len(counts)
-    out = None
-    for i, r in enumerate(sorted(counts, key=lambda r: r[label])):
-        frac = total / (k * r["n_c"])
-        part = df.filter(F.col(label) == r[label]).sample(withReplacement=True, fraction=frac, seed=seed + i)
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Draw rows with replacement, probability proportional to 1/n_c.
+
+    Every row is repeated a Poisson number of times with the mean
+    n / (k * n_c), so each class gets an expected n / k rows.  The number
+    comes from a seeded digest of the row's key (the inverse of the Poisson
+    distribution at a uniform number), in one pass and independent of
+    partitioning: the same seed gives the same sample."""
+    c = class_counts(df, label)
+    everything = Window.partitionBy()
+    total = F.lit(n).cast("long") if n is not None else F.sum("n_c").over(everything)
+    # one row per class
+    mean = c.select(label, (total / (F.count(F.lit(1)).over(everything) * F.col("n_c"))).cast("double").alias("_mean"))
+    d = df.join(F.broadcast(mean), label)
+    u = F.conv(F.substring(hash_order(seed, F.col(key)), 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
+    # steps of the distribution function until it passes u
+    cap = F.ceil(F.col("_mean") + 12.0 * F.sqrt("_mean") + 24.0).cast("int")
+    draw = F.aggregate(
+        F.sequence(F.lit(1), cap),
+        F.struct(F.exp(-F.col("_mean")).alias("p"), F.exp(-F.col("_mean")).alias("upto"), F.lit(0).alias("k")),
+        lambda acc, i: F.struct(
+            (acc["p"] * F.col("_mean") / i).alias("p"),
+            (acc["upto"] + acc["p"] * F.col("_mean") / i).alias("upto"),
+            F.when(F.col("_u") >= acc["upto"], i).otherwise(acc["k"]).alias("k"),
+        ),
+        lambda acc: acc["k"],
+    )
+    d = d.withColumn("_u", u).withColumn("_times", draw)
+    return d.select(*df.columns, F.explode(F.array_repeat(F.lit(0), F.col("_times"))).alias("_copy")).select(*df.columns)

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annolytics.functions.stats import grouped_stats
 from annolytics.functions.text import word_tokens
 
 MAX_FEATURES = 500
@@ -77,15 +78,17 @@ def token_counts(df: DataFrame, text: str = "text", special: int = SPECIAL_TOKEN
 
 def token_length_stats(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """V4: mean, min, max and exact 50/75/90/95/99/100 percentiles of
-    ``n_tokens`` (integral, so the percentile aggregate's value map is
-    bounded by the longest text)."""
-    ps = (0.5, 0.75, 0.9, 0.95, 0.99, 1.0)
-    return df.groupBy(*by).agg(
+    ``n_tokens``."""
+    specs = [("n_tokens", p, f"p{int(round(p * 100))}") for p in (0.5, 0.75, 0.9, 0.95, 0.99, 1.0)]
+    aggs = [
         F.count(F.lit(1)).alias("n"),
         F.round(F.avg("n_tokens"), 6).alias("mean_tokens"),
         F.min("n_tokens").alias("min_tokens"),
         F.max("n_tokens").alias("max_tokens"),
-        *[F.round(F.percentile("n_tokens", F.lit(p)), 6).alias(f"p{int(round(p * 100))}") for p in ps],
+    ]
+    s = grouped_stats(df, list(by), aggs, specs)
+    return s.select(
+        *by, "n", "mean_tokens", "min_tokens", "max_tokens", *[F.round(a, 6).alias(a) for _, _, a in specs]
     )
 
 

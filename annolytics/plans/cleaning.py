@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from annolytics.functions import labels as L
 from annolytics.operators import clean as C
 from annolytics.plans.oracle import ANN, CLEAN
-from annolytics.plans.registry import DRIVER_RULES, query
+from annolytics.plans.registry import DRIVER_MIN_MEAN_LEAD, DRIVER_RULES, query
 from annolytics.sources.views import annotations_v, scored_v
 
 
 def cleaned(spark, sf_dir):
-    return C.clean(annotations_v(spark, sf_dir), rules=DRIVER_RULES)
+    return C.clean(annotations_v(spark, sf_dir), DRIVER_RULES, min_mean_lead=DRIVER_MIN_MEAN_LEAD)
 
 
 def working(spark, sf_dir):
@@ -272,13 +272,26 @@ def q_duplicate_label_variation(spark, sf_dir):
 
 @query(
     "resolve_duplicates",
-    CLEAN + """
-SELECT annotation_id, student_code, label_numeric, lead_time_seconds, text_length FROM deduped""",
+    CLEAN + """,
+own AS (
+  SELECT *, count(*) OVER w AS c, count(label_numeric) OVER w AS l, min(label_numeric) OVER w AS lo, max(label_numeric) OVER w AS hi
+  FROM selected WHERE text IS NOT NULL WINDOW w AS (PARTITION BY text, student_code))
+SELECT 'by_text' AS groups, annotation_id, student_code, label_numeric, lead_time_seconds FROM deduped
+UNION ALL
+SELECT 'by_text_and_annotator', annotation_id, student_code, label_numeric, lead_time_seconds FROM own
+QUALIFY row_number() OVER (
+  PARTITION BY text, student_code
+  ORDER BY CASE WHEN c = 2 AND l = 2 AND lo = hi THEN 0 ELSE coalesce(lead_time_seconds, -1e308) END DESC, annotation_id) = 1""",
 )
 def q_resolve_duplicates(spark, sf_dir):
-    return cleaned(spark, sf_dir).deduped.select(
-        "annotation_id", "student_code", "label_numeric", "lead_time_seconds", "text_length"
-    )
+    """Groups of one text, and the smaller groups of one text and annotator
+    (mostly one or two rows, so that the rule for two equal labels bites)."""
+    c = cleaned(spark, sf_dir)
+    own = c.selected.withColumn("text", F.concat("student_code", F.lit(": "), "text"))
+    keep = ["annotation_id", "student_code", "label_numeric", "lead_time_seconds"]
+    by_text = c.deduped.select(F.lit("by_text").alias("groups"), *keep)
+    by_both = C.resolve_duplicates(own).select(F.lit("by_text_and_annotator").alias("groups"), *keep)
+    return by_text.unionByName(by_both)
 
 
 # --- annotator quality + funnel -------------------------------------------------
@@ -302,7 +315,7 @@ def q_annotator_lead_times(spark, sf_dir):
 SELECT student_code, round(mean_lead_time, 6) AS mean_lead_time, n_rows FROM rushed""",
 )
 def q_removed_annotators(spark, sf_dir):
-    r = C.removed_annotators(cleaned(spark, sf_dir).long_enough)
+    r = C.removed_annotators(cleaned(spark, sf_dir).long_enough, DRIVER_MIN_MEAN_LEAD)
     return r.select("student_code", F.round("mean_lead_time", 6).alias("mean_lead_time"), "n_rows")
 
 

@@ -29,7 +29,7 @@ ann AS (
 
 # Cleaning chain on the view: hold-out (U07; U03 with SRC1 in the source),
 # column selection, duplicate resolution (window form), length >= 50,
-# annotators with mean lead < 10 s removed.
+# annotators with mean lead < 80 s removed (registry.DRIVER_MIN_MEAN_LEAD).
 CLEAN = (
     ANN
     + """,
@@ -58,7 +58,7 @@ deduped AS (
 long_enough AS (SELECT * FROM deduped WHERE text_length >= 50),
 rushed AS (
   SELECT student_code, avg(lead_time_seconds) AS mean_lead_time, count(*) AS n_rows
-  FROM long_enough GROUP BY student_code HAVING avg(lead_time_seconds) < 10),
+  FROM long_enough GROUP BY student_code HAVING avg(lead_time_seconds) < 80),
 train AS (
   SELECT * FROM long_enough l
   WHERE NOT EXISTS (SELECT 1 FROM rushed r WHERE r.student_code = l.student_code))"""

@@ -96,7 +96,7 @@ def _spark_cols(names):
 
 
 def _doc_features(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return T.text_features(docs)
 
 
@@ -218,7 +218,7 @@ v AS (SELECT token, n AS count, CAST(row_number() OVER (ORDER BY n DESC, token)
 
 
 def _docs(spark, sf_dir):
-    return read_table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
+    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 @query(

@@ -11,23 +11,18 @@ from annolytics.operators import clean as C
 from annolytics.operators import evaluate as E
 from annolytics.operators import features as FE
 from annolytics.operators import models as M
-from annolytics.operators import profile as P
 from annolytics.operators import score as S
 from annolytics.operators import split as W
 from annolytics.operators import vocab as V
 from annolytics.plans.annotators import CHI
 from annolytics.plans.oracle import CLEAN
-from annolytics.plans.registry import DRIVER_RULES, query
+from annolytics.plans.registry import DRIVER_MIN_MEAN_LEAD, DRIVER_RULES, query
 from annolytics.session import cut_lineage
 from annolytics.sources import exports as X
 from annolytics.sources import tables as TB
 from annolytics.sources.views import annotations_v, read_table
 
 KEEP = ["annotation_id", "label_numeric"]
-# Boosting rounds for the driver's run of the one-vs-rest GBT: 5 classes x
-# 200 sequential rounds is far beyond a smoke-run budget; the library default
-# stays at the source's 200 (models.BOOST_ROUNDS).
-DRIVER_BOOST_ROUNDS = 20
 
 
 def model_data(spark, sf_dir):
@@ -43,7 +38,7 @@ def model_data(spark, sf_dir):
     te = cut_lineage(T.text_features(c.test.filter(F.col("label_numeric").isNotNull()).select(*KEEP, "text")))
     ztr, zte = FE.standardise_features(tr, te, keep=KEEP)
     folds = W.stratified_folds(ztr, key="annotation_id")
-    train = M.right_size(cut_lineage(M.with_ml_columns(folds)))
+    train = M.training_table(M.with_ml_columns(folds))
     test = M.with_ml_columns(zte, weighted=False)
     return train, test
 
@@ -82,14 +77,14 @@ def q_train_random_forest(spark, sf_dir):
 
 @query("train_gradient_boosting")
 def q_train_gradient_boosting(spark, sf_dir):
-    return _fit_report(lambda tr: M.gradient_boosting(rounds=DRIVER_BOOST_ROUNDS), spark, sf_dir)
+    return _fit_report(lambda tr: M.gradient_boosting(), spark, sf_dir)
 
 
-def _candidates(train):
+def _candidates():
     return {
-        "logistic_regression": M.logistic_regression(train.count()),
-        "random_forest": M.random_forest(),
-        "gradient_boosting": M.gradient_boosting(rounds=DRIVER_BOOST_ROUNDS),
+        "logistic_regression": lambda rows: M.logistic_regression(rows.count()),
+        "random_forest": lambda rows: M.random_forest(),
+        "gradient_boosting": lambda rows: M.gradient_boosting(),
     }
 
 
@@ -98,7 +93,7 @@ def _cv_all(train) -> dict[str, dict]:
     (small fits are bound by per-job latency, not by cores)."""
     from concurrent.futures import ThreadPoolExecutor
 
-    cands = _candidates(train)
+    cands = _candidates()
     with ThreadPoolExecutor(max_workers=len(cands)) as pool:
         futs = {n: pool.submit(M.cross_validate, e, train) for n, e in cands.items()}
         return {n: f.result() for n, f in futs.items()}
@@ -138,7 +133,7 @@ def q_train_bow_mlp(spark, sf_dir):
     te = c.test.filter(F.col("label_numeric").isNotNull()).select(*KEEP, "text")
     vocab = V.build_vocabulary(tr)
     tokens = [r["token"] for r in vocab.orderBy("idx").collect()]  # <= max_features rows
-    vtr = M.right_size(cut_lineage(V.bag_of_words_vectors(tr, tokens).withColumn("label0", (F.col("label_numeric") - 1).cast("double"))))
+    vtr = M.training_table(V.bag_of_words_vectors(tr, tokens).withColumn("label0", (F.col("label_numeric") - 1).cast("double")))
     vte = V.bag_of_words_vectors(te, tokens).withColumn("label0", (F.col("label_numeric") - 1).cast("double"))
     model = M.bow_mlp(len(tokens)).fit(vtr)
     return _report([("train", M.predict(model, vtr, KEEP)), ("test", M.predict(model, vte, KEEP))])
@@ -147,10 +142,10 @@ def q_train_bow_mlp(spark, sf_dir):
 @query("fit_predict_report")
 def q_fit_predict_report(spark, sf_dir):
     train, test = model_data(spark, sf_dir)
-    cands = _candidates(train)
+    cands = _candidates()
     scores = {n: r["mean_accuracy"] for n, r in _cv_all(train).items()}
     best = max(scores, key=scores.get)
-    model = cands[best].fit(train)
+    model = cands[best](train).fit(train)
     p = M.predict(model, train, KEEP).withColumn("split", F.lit("train")).unionByName(
         M.predict(model, test, KEEP).withColumn("split", F.lit("test"))
     )
@@ -165,10 +160,10 @@ def _score_documents(spark, sf_dir):
 
     c = cleaned(spark, sf_dir)
     tr = cut_lineage(T.text_features(c.train.select(*KEEP, "text")))
-    docs = read_table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     dfe = T.text_features(docs, keep_text=True)
     ztr, zdoc = FE.standardise_features(tr, dfe, keep=KEEP, keep_other=["doc_id", "text"])
-    train = M.right_size(cut_lineage(M.with_ml_columns(ztr)))
+    train = M.training_table(M.with_ml_columns(ztr))
     model = M.logistic_regression(train.count()).fit(train)
     return _scored(model, M.assemble(zdoc), ["doc_id", "text"])
 
@@ -215,7 +210,7 @@ FROM s""",
 def q_clean_job(spark, sf_dir):
     """CSV export (S6) -> read (S5) -> hold-out -> select -> duplicates
     (checkpointed: every later step reads it) -> length -> short filter ->
-    rushed annotators -> statistics -> write train/test (S7) -> funnel."""
+    rushed annotators -> write train/test (S7) -> funnel."""
     from annolytics.plans.ingest import VIEW_COLUMNS
 
     a = annotations_v(spark, sf_dir).select(*VIEW_COLUMNS)
@@ -226,10 +221,9 @@ def q_clean_job(spark, sf_dir):
     selected = C.select_training_columns(working)
     deduped = cut_lineage(C.add_text_length(C.resolve_duplicates(selected)))
     long_enough = C.filter_short_texts(deduped)
-    train = C.remove_rushed_annotators(long_enough)
-    P.dataset_stats(train, "train")  # G1 (reported by the caller)
+    train = C.remove_rushed_annotators(long_enough, DRIVER_MIN_MEAN_LEAD)
     TB.write_train_test(train, test, X.scratch_path(spark, "processed"))
-    return C.cleaning_funnel(C.Cleaned(raw, working, test, selected, deduped, long_enough, train, rules=DRIVER_RULES))
+    return C.cleaning_funnel(C.Cleaned(raw, working, test, selected, deduped, long_enough, train, DRIVER_RULES, min_mean_lead=DRIVER_MIN_MEAN_LEAD))
 
 
 @query(
@@ -266,8 +260,8 @@ def q_features_train_job(spark, sf_dir):
     evaluation per model and split."""
     train, test = model_data(spark, sf_dir)
     out = None
-    for name, est in _candidates(train).items():
-        m = est.fit(train)
+    for name, est in _candidates().items():
+        m = est(train).fit(train)
         r = _report([("train", M.predict(m, train, KEEP)), ("test", M.predict(m, test, KEEP))]).withColumn("model", F.lit(name))
         out = r if out is None else out.unionByName(r)
     ridge = M.ridge_regression(train)

@@ -25,6 +25,8 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # text tables are CPU-heavy to scan: small splits spread them
+    "spark.sql.files.maxPartitionBytes": "8m",
 }
 
 
@@ -94,34 +96,7 @@ def materialize(df, name: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ensure_parallelism(df, factor: int = 2):
-    """Spread a CPU-heavy *scan* that arrives in fewer partitions than the
-    cluster has cores (e.g. one large parquet row group) over
-    ``factor * defaultParallelism`` tasks.  On a big input (many splits)
-    this is a no-op, so no shuffle is added at scale.  Only call it on a
-    plain scan: asking a plan with shuffles for its partition count would
-    run those shuffles."""
-    sc = df.sparkSession.sparkContext
-    want = max(1, sc.defaultParallelism * factor)
-    if df.rdd.getNumPartitions() * 2 <= sc.defaultParallelism:
-        return df.repartition(want)
-    return df
-
-
 def cut_lineage(df):
-    """Reliable checkpoint into the shared checkpoint folder.
-
-    Used after expensive stages (duplicate resolution, text features) so a
-    lost executor does not replay the whole lineage and several consumers
-    (statistics, folds, every model fit) read one materialised copy.  An
-    eager checkpoint of an uncached frame runs the plan twice (the count,
-    then the checkpoint write job); persisting first makes the write read
-    the cached blocks, and the cache is dropped once the files exist.
-    """
-    from pyspark import StorageLevel
-
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+    """``materialize`` for expensive stages (duplicate resolution, text
+    features) that several consumers (statistics, folds, fits) read."""
+    return materialize(df, "stage")

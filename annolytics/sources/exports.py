@@ -25,31 +25,27 @@ log = logging.getLogger(__name__)
 # --- fixed values -------------------------------------------------------------------
 # Annotator folders skipped at ingest (compared lower-cased).
 EXCLUDED_FOLDERS = ("sample", "consensus")
-# Column order of the aggregated table (FIXTURES A2).
-AGGREGATED_COLUMNS = (
-    "student_code", "source_file", "json_filename", "task_id", "task_inner_id", "annotation_id", "text",
-    "label_text", "label_numeric", "completed_by", "annotation_created_at", "annotation_updated_at",
-    "task_created_at", "task_updated_at", "lead_time_seconds",
-)
 # -------------------------------------------------------------------------------------
 CORRUPT = "_corrupt_record"
 
+# Ids and numbers are read as text and cast row by row: a field of another
+# type then costs that field, not its task or file.
 CHOICES = T.StructType([T.StructField("choices", T.ArrayType(T.StringType()))])
 RESULT = T.StructType([T.StructField("value", CHOICES)])
 ANNOTATION = T.StructType(
     [
-        T.StructField("id", T.LongType()),
-        T.StructField("completed_by", T.LongType()),
+        T.StructField("id", T.StringType()),
+        T.StructField("completed_by", T.StringType()),
         T.StructField("created_at", T.StringType()),
         T.StructField("updated_at", T.StringType()),
-        T.StructField("lead_time", T.DoubleType()),
+        T.StructField("lead_time", T.StringType()),
         T.StructField("result", T.ArrayType(RESULT)),
     ]
 )
 TASK = T.StructType(
     [
-        T.StructField("id", T.LongType()),
-        T.StructField("inner_id", T.LongType()),
+        T.StructField("id", T.StringType()),
+        T.StructField("inner_id", T.StringType()),
         T.StructField("file_upload", T.StringType()),
         T.StructField("created_at", T.StringType()),
         T.StructField("updated_at", T.StringType()),
@@ -106,6 +102,10 @@ def scan_exports(
     )
     df = reader.json(f"{root.rstrip('/')}/*/{pattern}")
     path = F.col("_metadata.file_path")
+    if exclude:
+        # below the row ids, on the file path alone: Spark applies it when it
+        # lists the files, and excluded ones are never opened
+        df = df.filter(~F.lower(_folder_of(path)).isin([e.lower() for e in exclude]))
     # A multi-line JSON file is one split, read in file order, so the row id
     # orders tasks within their file (only ever compared inside one file).
     df = df.select(
@@ -115,19 +115,20 @@ def scan_exports(
         path.alias("_file_path"),
         F.monotonically_increasing_id().alias("task_pos"),
     )
-    if exclude:
-        df = df.filter(~F.lower(F.col("student_code")).isin([e.lower() for e in exclude]))
     return df
 
 
+def unreadable() -> Column:
+    """Whether a scanned row stands for a file that does not parse: the raw
+    text in the corrupt-record column and no field of a task."""
+    return F.col(CORRUPT).isNotNull() & F.col("id").isNull() & F.col("data").isNull() & F.col("annotations").isNull()
+
+
 def quarantine_bad_files(tasks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """S3: (good task rows, one row per unreadable file).  A file that fails
-    to parse contributes no rows; the others go on."""
-    # A file that fails to parse yields one row: all fields NULL and the raw
-    # text in the corrupt-record column.  Testing ``id`` as well keeps a data
-    # column in every plan (Spark refuses raw-JSON plans that read only the
-    # corrupt-record column, e.g. a bare count of either frame).
-    bad_flag = F.col(CORRUPT).isNotNull() & F.col("id").isNull()
+    to parse contributes no rows; the others go on.  A task with a field of
+    an unexpected type is no reason to drop anything else of it."""
+    bad_flag = unreadable()
     bad_files = (
         tasks.filter(bad_flag)
         .groupBy("student_code", "json_filename", "_file_path")
@@ -151,18 +152,20 @@ def flatten_annotations(tasks: DataFrame, order_columns: bool = True) -> DataFra
     first_choice = F.get(F.col("a.result"), 0).getField("value").getField("choices")
     label_text = F.get(first_choice, 0)
     x = x.filter(F.size(F.col("a.result")) > 0).filter(label_text.isNotNull())
-    lead = F.col("a.lead_time")
+    lead = F.col("a.lead_time").try_cast("double")
     out = x.select(
         F.col("student_code"),
         F.col("file_upload").alias("source_file"),
         F.col("json_filename"),
-        F.col("id").alias("task_id"),
-        F.col("inner_id").alias("task_inner_id"),
-        F.col("a.id").alias("annotation_id"),
+        F.col("id").try_cast("long").alias("task_id"),
+        F.col("inner_id").try_cast("long").alias("task_inner_id"),
+        F.col("a.id").try_cast("long").alias("annotation_id"),
         F.col("data.text").alias("text"),
         label_text.alias("label_text"),
         parse_label(label_text).alias("label_numeric"),
-        F.col("a.completed_by").alias("completed_by"),
+        F.coalesce(
+            F.col("a.completed_by").try_cast("long"), F.get_json_object("a.completed_by", "$.id").try_cast("long")
+        ).alias("completed_by"),
         F.col("a.created_at").alias("annotation_created_at"),
         F.col("a.updated_at").alias("annotation_updated_at"),
         F.col("created_at").alias("task_created_at"),

@@ -18,15 +18,9 @@ from pyspark.sql import functions as F
 TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Parquet table of the shared folder.  ``spread`` re-balances a text
-    table that arrives in too few splits for CPU-heavy per-row work."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread:
-        from annolytics.session import ensure_parallelism
-
-        df = ensure_parallelism(df)
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet table of the shared folder."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _doc_slot(event_id: Column, user_id: Column, n: Column) -> Column:

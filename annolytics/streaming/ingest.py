@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annolytics.sources.exports import CORRUPT, EXCLUDED_FOLDERS, TASK_WITH_CORRUPT, _folder_of, flatten_annotations
+from annolytics.sources.exports import CORRUPT, EXCLUDED_FOLDERS, TASK_WITH_CORRUPT, _folder_of, flatten_annotations, unreadable
 
 
 def export_stream(spark: SparkSession, root: str, pattern: str = "*.json", exclude=EXCLUDED_FOLDERS) -> DataFrame:
@@ -33,7 +33,7 @@ def export_stream(spark: SparkSession, root: str, pattern: str = "*.json", exclu
         F.col("_metadata.file_name").alias("json_filename"),
         # streams have no row ids: the task id (increasing in an export)
         # is the within-file order key
-        F.col("id").alias("task_pos"),
+        F.col("id").try_cast("long").alias("task_pos"),
     )
     if exclude:
         df = df.filter(~F.lower(F.col("student_code")).isin([e.lower() for e in exclude]))
@@ -50,13 +50,12 @@ def ingest_new_exports(
     """Append the flattened rows of every not-yet-seen export file to
     ``out_path`` (Parquet) and stop when nothing is pending.  Unreadable
     files are dropped here exactly as in the batch path (they have no tasks);
-    ``checkpoint`` defaults to a folder under the shared checkpoint dir."""
-    from annolytics.session import ensure_checkpoint_dir
-
+    ``checkpoint`` defaults to a hidden folder inside ``out_path``, so every
+    run that appends to one output continues one query, in any session."""
     if checkpoint is None:
-        checkpoint = ensure_checkpoint_dir(spark).rstrip("/") + "/stream-ingest-" + out_path.strip("/").replace("/", "_")
+        checkpoint = out_path.rstrip("/") + "/_ingest_checkpoint"
     tasks = export_stream(spark, root, pattern)
-    good = tasks.filter(F.col(CORRUPT).isNull() | F.col("id").isNotNull()).drop(CORRUPT)
+    good = tasks.filter(~unreadable()).drop(CORRUPT)
     rows = flatten_annotations(good)
     q = (
         rows.writeStream.format("parquet")

@@ -10,7 +10,7 @@ SQL = E.oracle_sql()
 QUERIES = E.queries()
 # Model fitting and file round trips have no SQL twin; a few fast ones are
 # run here for shape, the rest in their own tests.
-ROWS_SMOKE = ["balanced_resample", "read_annotations_csv", "quarantine_bad_files", "train_logistic", "train_ridge"]
+ROWS_SMOKE = ["train_logistic", "train_ridge"]
 
 
 @pytest.fixture(scope="module")

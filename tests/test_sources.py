@@ -96,10 +96,38 @@ def test_streaming_ingest_is_incremental(spark, tmp_path):
     (root / "AAA").mkdir(parents=True)
     (root / "AAA" / "a.json").write_text(json.dumps([task(1, "one", [ann(11, "3-x")])]), encoding="utf-8")
     out = str(tmp_path / "table")
-    ck = str(tmp_path / "ck")
-    ingest_new_exports(spark, str(root), out, checkpoint=ck)
+    ingest_new_exports(spark, str(root), out)  # the default checkpoint
     assert spark.read.parquet(out).count() == 1
     (root / "AAA" / "b.json").write_text(json.dumps(task(2, "two", [ann(21, "4-x"), ann(22, "5-x")])), encoding="utf-8")
-    ingest_new_exports(spark, str(root), out, checkpoint=ck)
+    ingest_new_exports(spark, str(root), out)
     got = sorted(r.annotation_id for r in spark.read.parquet(out).collect())
     assert got == [11, 21, 22]
+
+
+def test_mistyped_fields_cost_only_themselves(spark, tmp_path):
+    (tmp_path / "AAA").mkdir()
+    good, odd = task(1, "one", [ann(11, "3-x")]), task(2, "two", [ann(21, "4-x")])
+    odd["id"] = "two"
+    odd["annotations"][0]["completed_by"] = {"id": 7, "email": "x"}
+    odd["annotations"][0]["lead_time"] = "fast"
+    (tmp_path / "AAA" / "a.json").write_text(json.dumps([good, odd]), encoding="utf-8")
+    (tmp_path / "AAA" / "b.json").write_text('[{"id": 3, "data"', encoding="utf-8")
+    rows, bad = X.read_exports(spark, str(tmp_path))
+    got = {r.annotation_id: r for r in rows.collect()}
+    assert set(got) == {11, 21}
+    assert got[21].task_id is None and got[21].completed_by == 7 and got[21].lead_time_seconds is None
+    assert [r.json_filename for r in bad.collect()] == ["b.json"]
+
+
+def test_excluded_folders_are_not_read(spark, tmp_path):
+    for name in ("AAA", "Sample"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.json").write_text(json.dumps([task(1, "one", [ann(11, "3-x")])]), encoding="utf-8")
+    t = X.scan_exports(spark, str(tmp_path))
+    assert [r.student_code for r in t.select("student_code", "id").collect()] == ["AAA"]
+
+
+def test_scratch_folder_stays_put(spark):
+    from annolytics.session import ensure_checkpoint_dir
+
+    assert len({ensure_checkpoint_dir(spark) for _ in range(50)}) == 1

@@ -1,11 +1,14 @@
 """Distributed building blocks against single-machine definitions."""
 
 import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from annolytics.functions.stats import hash_order, hashed_rank, quantiles_sorted, running_sum_sorted
+from annolytics.functions.stats import grouped_stats, hash_order, hashed_rank, quantiles_sorted, running_sum_sorted
 from annolytics.operators import split as W
+from annolytics.operators.split import balanced_resample, capped_class_sample
 
 
 def test_quantiles_match_numpy_with_hot_group(spark):
@@ -73,3 +76,47 @@ def test_running_sum_sorted_matches_cumsum(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert list(got["cum"]) == list(np.cumsum(n))
     assert set(got["total"]) == {int(n.sum())}
+
+
+@pytest.mark.parametrize("conf", [{"spark.sql.exchange.reuse": "false"}, {"spark.sql.adaptive.enabled": "false", "spark.sql.exchange.reuse": "false"}])
+def test_quantiles_do_not_depend_on_the_plan(spark, conf):
+    """Exact values with exchange reuse off, AQE off, and a null group."""
+    old = {k: spark.conf.get(k) for k in conf}
+    rnd = np.random.default_rng(8)
+    v = np.concatenate([rnd.random(30_000) * 1000, np.full(5_000, 500.0)])
+    try:
+        for k, x in conf.items():
+            spark.conf.set(k, x)
+        df = spark.createDataFrame(pd.DataFrame({"v": v, "i": range(len(v))})).repartition(7)
+        df = df.withColumn("g", F.when(F.col("i") % 3 > 0, F.lit("hot")))
+        got = {(r.g, r.q): r.value for r in quantiles_sorted(df, "v", [0.0, 0.1, 0.5, 0.9, 1.0], by=["g"]).collect()}
+        i = np.arange(len(v))
+        for g, part in (("hot", v[i % 3 > 0]), (None, v[i % 3 == 0])):
+            for q, p in enumerate([0.0, 0.1, 0.5, 0.9, 1.0]):
+                assert got[(g, q)] == pytest.approx(np.quantile(part, p), abs=1e-9)
+        counts = df.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+        run = sorted((r.v, r.cum, r.total) for r in running_sum_sorted(counts, "v", "n").collect())
+        values, sizes = np.unique(v, return_counts=True)
+        assert [c for _, c, _ in run] == list(np.cumsum(sizes)) and {t for *_, t in run} == {len(v)}
+        stats = {r.g: r.med for r in grouped_stats(df, ["g"], [F.count(F.lit(1)).alias("n")], [("v", 0.5, "med")]).collect()}
+        assert stats[None] == pytest.approx(np.median(v[i % 3 == 0]))
+    finally:
+        for k, x in old.items():
+            spark.conf.set(k, x)
+
+
+def test_resample_is_reproducible_and_balanced(spark):
+    rows = [(i, 1 if i % 10 else 2) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, label_numeric int")
+    a = balanced_resample(df, "id").groupBy("label_numeric").count().collect()
+    assert all(abs(r["count"] - 2000) < 250 for r in a)
+    ids = lambda d: sorted(r[0] for r in balanced_resample(d, "id").select("id").collect())
+    assert ids(df) == ids(df.repartition(13))
+
+
+def test_capped_sample_takes_a_small_frame_whole(spark):
+    small = spark.createDataFrame([(1, 1), (2, None)], "id long, label_numeric int")
+    assert capped_class_sample(small, "id").count() == 2
+    large = spark.createDataFrame([(i, i % 5 + 1) for i in range(500)], "id long, label_numeric int")
+    got = capped_class_sample(large, "id")
+    assert got.columns == ["id", "label_numeric"] and got.count() == 32
