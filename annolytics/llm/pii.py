@@ -55,7 +55,7 @@ PATTERNS = (
     ("secret", r"(?:password|passwd|pwd|secret|token|api_key|apikey)\s?[=:]\s?(?P<secret>[^\s,;\"']{6,128})"),
     ("ip", r"(?<![\d.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?![\d]|\.\d)"),
     ("ssn", r"(?<![\d\-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\d\-])"),
-    ("card", r"(?<![\d\-])(?P<card>\d(?:[ \-]?\d){12,18})(?![\d\-])"),
+    ("card", r"(?<![\d\-])(?P<card>\d{13,19}|\d{4}(?:-\d{4}){2}-\d{1,7}|\d{4}(?: \d{4}){2} \d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\d\-])"),
     ("phone", r"(?<![\w+])(?P<phone>\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}|\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?![\w\-])"),
     (
         "name",
@@ -306,8 +306,9 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
         return pd.Series(out, dtype="object")
 
     d = docs.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_pii_doc_id")), "left")
-    new = F.when(F.col("text").rlike(MAYBE), rewritten("text", "_pii_attempts")).otherwise(F.col("text"))
-    d = d.withColumn("text", new)
+    # a Python function sees every row, so texts that need none go in as null
+    d = d.withColumn("_pii_text", F.when(F.col("text").rlike(MAYBE), F.col("text")))
+    d = d.withColumn("text", F.coalesce(rewritten("_pii_text", "_pii_attempts"), "text"))
     if "n_chars" in docs.columns:
         d = d.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return d.select(*docs.columns)
