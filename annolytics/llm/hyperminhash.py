@@ -1,14 +1,20 @@
 """Near-duplicate groups by HyperMinHash.
 
-A document's word shingles are hashed to 64 bits.  The hash space is cut into
-``registers`` buckets; each keeps its smallest hash in compressed form, one
-byte of leading-zero count and four mantissa bits (0 for an empty bucket).
-Bands of ``ROWS`` registers are the buckets of the candidate search; so many
-bands are used that a pair at the threshold shares none with a probability
-below ``MISS``.  A candidate's Jaccard similarity is estimated from the
-registers, corrected for equal registers by chance; pairs whose estimate is
-``SIGMAS`` deviations below the threshold are dropped, the others are
-confirmed on the full shingle sets.
+A document's word shingles are hashed to 64 bits and dealt to buckets by
+hash; every bucket keeps its smallest hash under each of several further
+hash functions, in compressed form: one byte of leading-zero count and four
+mantissa bits (0 for an empty bucket).  Buckets times functions are always
+``REGISTERS``; the split depends on the size class of the set, so that
+buckets are well filled and a register stands for several shingles even in a
+short text.  Both documents of a pair must use one split, so a document near
+the lower end of a class also has registers for the class below.
+
+Bands of registers are the buckets of the candidate search; so many bands
+are used that a pair at the threshold shares none with a probability below
+``MISS``.  A candidate's Jaccard similarity is estimated from the registers,
+corrected for equal registers by chance; pairs whose estimate is ``SIGMAS``
+deviations below the threshold are dropped, the others are confirmed on the
+full shingle sets.
 
 Groups of copies, however large, are never expanded into all pairs:
 
@@ -46,8 +52,9 @@ from pyspark.sql import functions as F
 
 from annolytics.session import materialize
 
-ROWS, MISS, SIGMAS, TILE = 8, 1e-6, 4.5, 1024
-MIN_REGISTERS = 512
+REGISTERS, MISS, SIGMAS, TILE = 512, 1e-6, 4.5, 1024
+#: Buckets by size class (base-4 logarithm of the number of shingles).
+BUCKETS = (1, 1, 1, 4, 16, 64, 512)
 #: Chance that two unrelated non-empty registers are equal: equal zero counts
 #: (sum of 4^-z, z >= 1) and equal mantissa bits.
 CHANCE = (1 / 3) / 16
@@ -89,39 +96,59 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
     return np.unique(_mix(x))
 
 
-def registers_of(hashes: np.ndarray, m: int) -> np.ndarray:
-    """HyperMinHash registers (uint8) of a sorted hash set."""
-    out = np.zeros(m, np.uint8)
+def size_class(n: int) -> int:
+    return min(len(BUCKETS) - 1, (n.bit_length() - 1) // 2)
+
+
+@lru_cache(maxsize=16)
+def _layout(cls: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """Buckets, the multipliers of the hash functions, and the fixed order
+    that spreads a bucket's registers over the bands."""
+    draw = np.random.default_rng(1000 + cls)
+    functions = REGISTERS // BUCKETS[cls]
+    factors = draw.integers(0, 2**63, functions, dtype=U64) * U64(2) + U64(1)
+    return BUCKETS[cls], factors, draw.permutation(REGISTERS)
+
+
+def registers_of(hashes: np.ndarray, cls: int) -> np.ndarray:
+    """HyperMinHash registers (uint8) of a sorted hash set, as the size class
+    ``cls`` splits them."""
+    buckets, factors, order = _layout(cls)
+    out = np.zeros((len(factors), buckets), np.uint8)
     if len(hashes):
-        scaled = (hashes >> U64(32)) * U64(m)
-        bucket = (scaled >> U64(32)).astype(np.int64)
+        bucket = (((hashes >> U64(32)) * U64(buckets)) >> U64(32)).astype(np.int64)
         first = np.flatnonzero(np.diff(bucket, prepend=-1))
-        rest = (scaled[first] & U64(0xFFFFFFFF)).astype(np.float64) + 1.0
-        mantissa, exponent = np.frexp(rest)  # mantissa in [0.5, 1)
+        least = np.minimum.reduceat(_mix(hashes[None, :] * factors[:, None]), first, axis=1)
+        mantissa, exponent = np.frexp((least >> U64(32)).astype(np.float64) + 1.0)  # mantissa in [0.5, 1)
         zeros = np.clip(33 - exponent, 0, 15)
-        out[bucket[first]] = 1 + np.minimum(254, zeros * 16 + ((mantissa * 2 - 1) * 16).astype(np.int64))
-    return out
+        out[:, bucket[first]] = 1 + np.minimum(254, zeros * 16 + ((mantissa * 2 - 1) * 16).astype(np.int64))
+    return out.ravel()[order]
 
 
-def bands_for(threshold: float) -> int:
-    return math.ceil(math.log(MISS) / math.log(1 - threshold**ROWS))
+def banding(threshold: float) -> tuple[int, int]:
+    """(bands, registers per band): as many registers per band, up to eight,
+    as the number of registers allows."""
+    for rows in range(8, 0, -1):
+        bands = math.ceil(math.log(MISS) / math.log(1 - threshold**rows))
+        if bands * rows <= REGISTERS:
+            break
+    return bands, rows
 
 
 def may_link(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, threshold: float) -> np.ndarray:
     """Whether pairs of register rows can reach the threshold, by size and by
     the collision-corrected estimate.
 
-    The estimate samples the union without replacement (a bucket keeps one
-    hash), hence the finite-population factor in its deviation."""
-    some = ((a > 0) | (b > 0)).sum(axis=1)
+    The estimate varies by the number of registers and, as buckets count
+    alike but hold different numbers of shingles, by about buckets / n^2."""
+    some = np.maximum(((a > 0) | (b > 0)).sum(axis=1), 1)
     same = ((a == b) & (a > 0)).sum(axis=1)
-    jaccard = (same / np.maximum(some, 1) - CHANCE) / (1 - CHANCE)
-    union = np.maximum((na + nb) / (1 + threshold), 1)
-    unseen = np.clip(1 - some / union, 0, 1)
-    sigma = np.sqrt(threshold * (1 - threshold) / np.maximum(some, 1) * unseen)
+    jaccard = (same / some - CHANCE) / (1 - CHANCE)
+    least = np.maximum(np.minimum(na, nb), 1)
+    buckets = np.array(BUCKETS)[np.clip(np.log2(least) // 2, 0, len(BUCKETS) - 1).astype(int)]
+    sigma = np.sqrt(threshold * (1 - threshold) * (1 / some + buckets / least.astype(float) ** 2))
     sizes = np.minimum(na, nb) >= threshold * np.maximum(na, nb) - 1e-9
-    # chance collisions vary too; 1.5 registers cover small sets
-    return sizes & (jaccard >= threshold - SIGMAS * sigma - 1.5 / np.maximum(some, 1))
+    return sizes & (jaccard >= threshold - SIGMAS * sigma)
 
 
 def _batches(batches, rows: int):
@@ -130,46 +157,65 @@ def _batches(batches, rows: int):
             yield b.slice(at, rows)
 
 
-def signatures(docs: DataFrame, k: int, m: int) -> DataFrame:
-    """(doc_id, n, digest, registers) of every row."""
+def signatures(docs: DataFrame, k: int, threshold: float) -> DataFrame:
+    """(doc_id, n, digest, sketches) of every row; sketches are the (class,
+    registers) that the document needs."""
     kind = docs.schema["doc_id"].dataType.simpleString()
+    sketch = pa.list_(pa.struct([("class", pa.int32()), ("registers", pa.binary())]))
 
     def run(batches):
         for b in _batches(batches, 256):
-            n, digest, regs = [], [], []
+            n, digest, sketches = [], [], []
             for text in b.column(1).to_pylist():
                 s = shingle_set(text, k)
                 n.append(len(s))
                 digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                regs.append(registers_of(s, m).tobytes() if len(s) else None)
+                # classes of the smaller set of any pair that could link
+                least = max(1, math.ceil(threshold * len(s) - 1e-9))
+                classes = range(size_class(least), size_class(len(s)) + 1) if len(s) else ()
+                sketches.append([{"class": c, "registers": registers_of(s, c).tobytes()} for c in classes])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(regs, pa.binary())],
-                names=["doc_id", "n", "digest", "registers"],
+                [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sketches, sketch)],
+                names=["doc_id", "n", "digest", "sketches"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, digest binary, registers binary")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {kind}, n long, digest binary, sketches array<struct<class:int,registers:binary>>"
+    )
+
+
+def _lanes(registers: list[bytes], bands: int, rows: int) -> np.ndarray:
+    regs = np.frombuffer(b"".join(registers), np.uint8).reshape(len(registers), REGISTERS)
+    return regs[:, : bands * rows].reshape(len(regs), bands, rows)
 
 
-def band_rows(reps: DataFrame, bands: int) -> DataFrame:
-    """(key, band, rep) for every band that is not empty."""
+def band_rows(reps: DataFrame, bands: int, rows: int) -> DataFrame:
+    """(key, band, class, rep) for every band that is not empty."""
 
     def run(batches):
         for b in _batches(batches, 4096):
-            regs = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(b.num_rows, -1)
-            lanes = np.ascontiguousarray(regs[:, : bands * ROWS]).view(U64)
-            keys = _mix(lanes + (np.arange(1, bands + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)))
-            row, band = np.nonzero(lanes)
+            lanes = _lanes(b.column(2).to_pylist(), bands, rows)
+            cls = b.column(1).to_numpy()
+            keys = (cls.astype(U64)[:, None] << U64(32)) + np.arange(1, bands + 1, dtype=U64)
+            for i in range(rows):
+                keys = keys * U64(0x9E3779B97F4A7C15) + lanes[:, :, i]
+            row, band = np.nonzero(lanes.any(axis=2))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[row, band].view(np.int64)), pa.array(band.astype(np.int32)), b.column(0).take(pa.array(row))],
-                names=["key", "band", "rep"],
+                [
+                    pa.array(_mix(keys)[row, band].view(np.int64)),
+                    pa.array(band.astype(np.int32)),
+                    pa.array(cls[row]),
+                    b.column(0).take(pa.array(row)),
+                ],
+                names=["key", "band", "class", "rep"],
             )
 
     kind = reps.schema["rep"].dataType.simpleString()
-    return reps.select("rep", "registers").mapInArrow(run, f"key long, band int, rep {kind}")
+    return reps.select("rep", "class", "registers").mapInArrow(run, f"key long, band int, class int, rep {kind}")
 
 
 def _estimated(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) whose estimate allows a link."""
+    """Pairs (a, b) out of (a, b, class) whose estimate allows a link."""
 
     @F.pandas_udf("boolean")
     def possible(ra: pd.Series, rb: pd.Series, na: pd.Series, nb: pd.Series) -> pd.Series:
@@ -179,9 +225,9 @@ def _estimated(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame
         b = np.frombuffer(b"".join(rb), np.uint8).reshape(len(rb), -1)
         return pd.Series(may_link(a, b, na.to_numpy(), nb.to_numpy(), threshold))
 
-    side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias("n" + x), F.col("registers").alias("r" + x))
-    j = pairs.join(side("a"), "a").join(side("b"), "b")
-    return j.filter(possible("ra", "rb", "na", "nb")).select("a", "b")
+    side = lambda x: reps.select(F.col("rep").alias(x), "class", F.col("n").alias("n" + x), F.col("registers").alias("r" + x))
+    j = pairs.join(side("a"), ["a", "class"]).join(side("b"), ["b", "class"])
+    return j.filter(possible("ra", "rb", "na", "nb")).select("a", "b").distinct()
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -203,7 +249,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
             out.append(100 * both >= percent * (len(sets[0]) + len(sets[1]) - both))
         return pd.Series(out, dtype=bool)
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ids = pairs.select(F.col("a").alias("doc_id")).distinct().union(pairs.select("b").distinct()).distinct()
     texts = materialize(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "dup-texts")
     side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias("t" + x))
     j = pairs.join(side("b"), "b").join(side("a"), "a")
@@ -241,12 +287,12 @@ def components(edges: DataFrame) -> DataFrame:
     return ids.union(current.select("b", "b").distinct())
 
 
-def _cross_pairs(rows: DataFrame, reps: DataFrame, bands: int, threshold: float) -> DataFrame:
+def _cross_pairs(rows: DataFrame, reps: DataFrame, bands: int, per_band: int, threshold: float) -> DataFrame:
     """Pairs of classes with different labels that share a bucket and may
-    link; ``rows`` has key, band, rep, label."""
+    link; ``rows`` has key, band, class, rep, label."""
     size = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("label").alias("l1"), F.max("label").alias("l2"))
     mixed = materialize(size.filter("l1 <> l2").select("key", F.ceil(F.col("c") / TILE).cast("int").alias("parts")), "dup-mixed")
-    r = rows.join(mixed, "key").join(reps.select("rep", "n", "registers"), "rep")
+    r = rows.join(mixed, "key").join(reps.select("rep", "class", "n", "registers"), ["rep", "class"])
     part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
     r = r.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     r = r.select(
@@ -259,7 +305,9 @@ def _cross_pairs(rows: DataFrame, reps: DataFrame, bands: int, threshold: float)
         key = np.stack([t.column(c).to_numpy().astype(np.int64) for c in order], axis=1)
         part, band, label, n = (t.column(c).to_numpy() for c in ("part", "band", "label", "n"))
         rep = t.column("rep").to_numpy()
-        regs = np.frombuffer(b"".join(t.column("registers").to_pylist()), np.uint8).reshape(len(rep), -1)
+        packed = t.column("registers").to_pylist()
+        lanes = _lanes(packed, bands, per_band)
+        regs = np.frombuffer(b"".join(packed), np.uint8).reshape(len(rep), REGISTERS)
         found = []
         for step in range(1, len(rep)):
             x = np.flatnonzero((key[step:] == key[:-step]).all(axis=1))
@@ -271,7 +319,6 @@ def _cross_pairs(rows: DataFrame, reps: DataFrame, bands: int, threshold: float)
                 p, q = x[keep][at : at + 8192], y[keep][at : at + 8192]
                 ok = may_link(regs[p], regs[q], n[p], n[q], threshold)
                 p, q = p[ok], q[ok]
-                lanes = (regs[:, : bands * ROWS]).reshape(len(rep), bands, ROWS)
                 common = (lanes[p] == lanes[q]).all(axis=2) & (lanes[p] > 0).any(axis=2)
                 first = common.argmax(axis=1) == band[p] if len(p) else np.zeros(0, bool)
                 found += [(np.minimum(rep[p][first], rep[q][first]), np.maximum(rep[p][first], rep[q][first]))]
@@ -304,25 +351,24 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     documents are linked whose ``k``-word shingle sets have a Jaccard
     similarity of at least ``percent`` / 100."""
     threshold = percent / 100
-    bands = bands_for(threshold)
-    m = max(MIN_REGISTERS, bands * ROWS)
-    sig = materialize(signatures(docs, k, m), "dup-signatures")
+    bands, per_band = banding(threshold)
+    sig = materialize(signatures(docs, k, threshold), "dup-signatures")
     known = sig.filter("doc_id IS NOT NULL AND n > 0")
     classes = materialize(known.groupBy("digest").agg(F.min("doc_id").alias("rep")), "dup-classes")
     reps = known.join(classes, (known["doc_id"] == classes["rep"]) & (known["digest"] == classes["digest"]))
-    reps = materialize(reps.select("rep", "n", "registers"), "dup-reps")
-    rows = band_rows(reps, bands)
+    reps = materialize(reps.select("rep", "n", F.inline("sketches")), "dup-reps")
+    rows = band_rows(reps, bands, per_band)
     leaders = rows.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep", "key")).alias("leader"), F.count(F.lit(1)).alias("c"))
     leaders = materialize(leaders.filter("c > 1").select("key", "leader"), "dup-leaders")
     rows = materialize(rows.join(leaders, "key"), "dup-buckets")
-    star = rows.filter("rep <> leader").select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
+    star = rows.filter("rep <> leader").select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"), "class").distinct()
     star = materialize(star, "dup-star")
     edges = materialize(_confirmed(materialize(_estimated(star, reps, threshold), "dup-likely"), docs, k, percent), "dup-edges")
     first = materialize(components(edges), "dup-first")
     labelled = rows.join(first, rows["rep"] == first["id"], "left").select(
-        "key", "band", "rep", F.coalesce("component", "rep").alias("label")
+        "key", "band", "class", "rep", F.coalesce("component", "rep").alias("label")
     )
-    cross = _cross_pairs(labelled, reps, bands, threshold).join(star, ["a", "b"], "left_anti")
+    cross = _cross_pairs(labelled, reps, bands, per_band, threshold).join(star, ["a", "b"], "left_anti")
     more = materialize(_confirmed(materialize(cross, "dup-cross"), docs, k, percent), "dup-edges")
     final = components(edges.union(more))
     groups = classes.join(final, classes["rep"] == final["id"], "left").select(
