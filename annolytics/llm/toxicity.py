@@ -9,7 +9,8 @@ later model sees earlier probabilities of the quality it will meet when
 scoring; the models that score are fitted on all training rows.
 
 Features are log(1 + count) of the ``n_tokens`` word forms with the largest
-chi-square statistic against the label; cue words are those of them that
+chi-square statistic against the label (and at least ``min_chi``, so that
+words that differ by chance stay out); cue words are those of them that
 occur more often in toxic rows.  Fitting uses at most about ``train_rows``
 labelled rows, chosen by a hash of the document id; everything else
 (scoring) covers every document.  The rejecting threshold maximises the F0.5
@@ -111,9 +112,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, train_rows: int) -> DataFr
     return docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).drop("_id")
 
 
-def choose_tokens(rows: DataFrame, n_tokens: int, min_rows: int) -> list[tuple[str, bool]]:
-    """The ``n_tokens`` tokens with the largest chi-square statistic, each
-    with whether it is a cue (more frequent in toxic rows)."""
+def choose_tokens(rows: DataFrame, n_tokens: int, min_rows: int, min_chi: float) -> list[tuple[str, bool]]:
+    """The ``n_tokens`` tokens with the largest chi-square statistic of at
+    least ``min_chi``, each with whether it is a cue (more frequent in toxic
+    rows)."""
 
     def distinct(frames):
         for pdf in frames:
@@ -129,7 +131,7 @@ def choose_tokens(rows: DataFrame, n_tokens: int, min_rows: int) -> list[tuple[s
     by = seen.groupBy("token").agg(F.sum("y").alias("a"), F.count(F.lit(1)).cast("double").alias("m")).filter(F.col("m") >= min_rows)
     expected = F.col("m") * pos / n
     chi = F.pow(F.col("a") - expected, 2) * (n * n) / (F.col("m") * (F.lit(n) - F.col("m") + 0.5) * pos * neg / n)
-    top = by.withColumn("chi", chi).orderBy(F.desc("chi"), "token").limit(n_tokens)
+    top = by.withColumn("chi", chi).filter(F.col("chi") >= min_chi).orderBy(F.desc("chi"), "token").limit(n_tokens)
     return [(r["token"], r["a"] > r["m"] * pos / n) for r in top.collect()]
 
 
@@ -139,12 +141,13 @@ def fit_chain(
     train_rows: int = 16_384,
     n_tokens: int = 256,
     min_rows: int = 5,
+    min_chi: float = 20.0,
     folds: int = 5,
     l2: float = 0.3,
 ) -> Chain:
     """Fits the chain; one Spark job per category, a task per fold."""
     rows = materialize(training_rows(docs, labels, train_rows), "toxicity-rows")
-    chosen = choose_tokens(rows, n_tokens, min_rows)
+    chosen = choose_tokens(rows, n_tokens, min_rows, min_chi)
     if not chosen:
         return Chain((), tuple(np.array([0.0] * i + [-30.0]) for i in range(len(CATEGORIES))), 2.0)
     vocabulary = tuple(t for t, _ in chosen)
