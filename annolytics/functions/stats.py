@@ -10,10 +10,8 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from annolytics.session import materialize
 
@@ -174,49 +172,28 @@ def hashed_rank(df: DataFrame, group: Sequence[str], order_hex: str, bucket_bits
 # --- chi-square upper tail -----------------------------------------------------------
 
 
-def chi2_sf_even(x: Column, dof: int) -> Column:
-    """P(X > x) for chi-square with an even number of degrees of freedom:
-    exp(-x/2) * sum_{i < dof/2} (x/2)^i / i!  (closed form, JVM-side)."""
-    half = x / 2.0
-    term = F.lit(1.0)
-    total = F.lit(1.0)
-    for i in range(1, dof // 2):
-        term = term * half / float(i)
-        total = total + term
-    return F.exp(-half) * total
-
-
-def _chi2_sf_scalar(x: float, k: float) -> float:
-    if x is None or k is None or math.isnan(x):
-        return float("nan")
-    k = int(k)
-    if x <= 0:
-        return 1.0
-    half = x / 2.0
-    if k % 2 == 0:
-        term, total = 1.0, 1.0
-        for i in range(1, k // 2):
-            term *= half / i
-            total += term
-        return math.exp(-half) * total
-    # odd: erfc(sqrt(x/2)) + sqrt(2x/pi) e^{-x/2} * sum_{i=1}^{(k-1)/2} x^{i-1} / (1*3*...*(2i-1))
-    total = math.erfc(math.sqrt(half))
-    if k > 1:
-        term = math.sqrt(2.0 * x / math.pi) * math.exp(-half)
-        s = term
-        for i in range(2, (k + 1) // 2 + 0):
-            term *= x / (2 * i - 1)
-            s += term
-        total += s
-    return total
-
-
-@F.pandas_udf(T.DoubleType())
-def chi2_sf_udf(x: pd.Series, k: pd.Series) -> pd.Series:
-    """Chi-square upper tail for any dof (odd dof needs erfc, which Spark SQL
-    lacks).  One value per annotator row; Arrow-batched."""
-    return pd.Series([_chi2_sf_scalar(a, b) for a, b in zip(x, k)], dtype="float64")
-
-
 def chi2_sf(x: Column, dof: Column) -> Column:
-    return chi2_sf_udf(x.cast("double"), dof.cast("double"))
+    """P(X > x) for chi-square, as an expression.
+
+    Even degrees of freedom have a closed form, exp(-h) * sum of h^i / i! for
+    i < dof / 2 with h = x / 2.  Odd ones use the power series of the lower
+    tail, whose terms shrink from about h on; beyond h = 600 the tail is 0.
+    """
+    h = F.greatest(x.cast("double"), F.lit(0.0)) / 2.0
+    k = dof.cast("int")
+
+    def series(first: Column, last: Column, step) -> Column:
+        """1 + t1 + t2 + ... with t_i = t_(i-1) * step(i)."""
+        start = F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s"))
+        more = lambda acc, i: F.struct((acc["t"] * step(i)).alias("t"), (acc["s"] + acc["t"] * step(i)).alias("s"))
+        index = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(index, start, more, lambda acc: acc["s"])
+
+    half = F.floor(k / 2).cast("int")
+    even = F.exp(-h) * series(F.lit(1), half - 1, lambda i: h / i)
+    # Gamma(k/2 + 1) = sqrt(pi) * product of (j + 1/2) for j = 0 .. (k - 1)/2
+    gamma = F.aggregate(F.sequence(F.lit(0), half), F.lit(math.sqrt(math.pi)), lambda acc, j: acc * (j + F.lit(0.5)))
+    a = k / F.lit(2.0)
+    lower = F.pow(h, a) * F.exp(-h) / gamma * series(F.lit(1), (F.ceil(h * 2) + 120).cast("int"), lambda i: h / (a + i))
+    odd = F.when(h > 600, F.lit(0.0)).otherwise(F.greatest(F.lit(1.0) - lower, F.lit(0.0)))
+    return F.when(k <= 0, F.lit(None).cast("double")).when(h == 0, F.lit(1.0)).when(k % 2 == 0, even).otherwise(odd)

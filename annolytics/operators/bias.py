@@ -10,7 +10,7 @@ the per-label shares, no annotator x label grid.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annolytics.functions.stats import chi2_sf, ratio
@@ -103,21 +103,29 @@ def annotator_label_matrix(df: DataFrame, label: str = LABEL, k: int = 5) -> Dat
     ).orderBy(F.desc("mean_label"), ANNOTATOR)
 
 
+def band_of(mean: Column, bands=BIAS_BANDS) -> Column:
+    """Name of the band that a mean label falls into."""
+    out = F.lit(None).cast("string")
+    for name, lo, hi in reversed(bands):
+        inside = F.lit(True)
+        if lo is not None:
+            inside = inside & (mean >= lo)
+        if hi is not None:
+            inside = inside & (mean < hi)
+        out = F.when(inside, F.lit(name)).otherwise(out)
+    return out
+
+
 def bias_bands(df: DataFrame, label: str = LABEL, bands=BIAS_BANDS) -> DataFrame:
     """Bands on each annotator's mean label: count and sorted member list
-    per band, empty bands included (one aggregate, then unpivot)."""
+    per band, empty bands included.  Annotators are grouped by band; the list
+    of a band's members is the report itself."""
     per = df.filter(F.col(label).isNotNull()).groupBy(ANNOTATOR).agg(F.avg(label).alias("m"))
-    aggs = []
-    for i, (_, lo, hi) in enumerate(bands):
-        c = F.lit(True)
-        if lo is not None:
-            c = c & (F.col("m") >= lo)
-        if hi is not None:
-            c = c & (F.col("m") < hi)
-        aggs += [
-            F.count_if(c).alias(f"n{i}"),
-            F.array_join(F.array_sort(F.collect_list(F.when(c, F.col(ANNOTATOR)))), ", ").alias(f"m{i}"),
-        ]
-    one = per.agg(*aggs)
-    parts = [x for i, (name, _, _) in enumerate(bands) for x in (F.lit(i), F.lit(name), F.col(f"n{i}"), F.col(f"m{i}"))]
-    return one.select(F.stack(F.lit(len(bands)), *parts).alias("band_order", "band", "n_annotators", "members"))
+    g = per.groupBy(band_of(F.col("m"), bands).alias("_band")).agg(
+        F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_list(ANNOTATOR)), ", ").alias("m")
+    )
+    rows = F.array(*[F.struct(F.lit(i).alias("band_order"), F.lit(b[0]).alias("band")) for i, b in enumerate(bands)])
+    every = df.sparkSession.range(1).select(F.inline(rows))
+    return every.join(g, F.col("band") == F.col("_band"), "left").select(
+        "band_order", "band", F.coalesce("n", F.lit(0).cast("long")).alias("n_annotators"), F.coalesce("m", F.lit("")).alias("members")
+    )

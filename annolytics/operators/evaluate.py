@@ -168,7 +168,8 @@ def with_class_weights(df: DataFrame, weights: DataFrame | None, label: str = TR
         from annolytics.operators.split import class_weights
 
         weights = class_weights(df, label=label)
-    return df.join(weights.withColumnRenamed("label", label), label, "left").withColumn(
+    # one row per class
+    return df.join(F.broadcast(weights.withColumnRenamed("label", label)), label, "left").withColumn(
         "weight", F.coalesce(F.col("weight"), F.lit(1.0))
     )
 

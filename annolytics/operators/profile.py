@@ -62,8 +62,10 @@ def label_distribution(df: DataFrame, label: str = LABEL) -> DataFrame:
 def label_text_distribution(df: DataFrame, label_text: str = "label_text") -> DataFrame:
     """Count and % per raw label string, most frequent first."""
     g = df.filter(F.col(label_text).isNotNull()).groupBy(label_text).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
-    return g.select(label_text, "n", F.round(F.col("n") * 100.0 / total, 6).alias("pct")).orderBy(F.desc("n"), label_text)
+    # raw strings are not bounded: the total is one row, joined to all
+    total = df.agg(F.count(label_text).alias("_total"))
+    pct = F.round(F.col("n") * 100.0 / F.col("_total"), 6).alias("pct")
+    return g.join(F.broadcast(total), F.lit(True)).select(label_text, "n", pct).orderBy(F.desc("n"), label_text)
 
 
 def cumulative_label_distribution(df: DataFrame, label: str = LABEL) -> DataFrame:

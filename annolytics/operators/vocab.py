@@ -108,11 +108,6 @@ def max_length_coverage(df: DataFrame, lengths: Sequence[int] = MAX_LENGTHS, by:
     )
 
 
-def vocabulary_map(vocab: DataFrame) -> Column:
-    """token -> idx as one map value (scalar subquery over <= max_features rows)."""
-    return vocab.agg(F.map_from_entries(F.collect_list(F.struct("token", "idx")))).scalar()
-
-
 def encode_fixed_length(
     df: DataFrame, vocab: DataFrame, key: str, text: str = "text", max_length: int = MAX_LENGTH, keep: Sequence[str] = ()
 ) -> DataFrame:

@@ -195,16 +195,22 @@ def q_feature_histograms_by_class(spark, sf_dir):
         f"avg({f}) AS m_{f}, CASE WHEN coalesce(stddev_pop({f}), 0) = 0 THEN 1.0 ELSE stddev_pop({f}) END AS s_{f}"
         for f in T.ALL_FEATURES
     )
-    + " FROM feat)\nSELECT annotation_id, "
-    + ", ".join(f"round((t.{f} - st.m_{f}) / st.s_{f}, 6) AS {f}" for f in T.ALL_FEATURES)
-    + " FROM tfeat t CROSS JOIN st",
+    + " FROM feat)\n"
+    + "\nUNION ALL\n".join(
+        f"SELECT '{split}' AS split, annotation_id, "
+        + ", ".join(f"round((t.{f} - st.m_{f}) / st.s_{f}, 6) AS {f}" for f in T.ALL_FEATURES)
+        + f" FROM {src} t CROSS JOIN st"
+        for split, src in (("train", "feat"), ("test", "tfeat"))
+    ),
 )
 def q_standardise_features(spark, sf_dir):
     c = cleaned(spark, sf_dir)
     tr = T.text_features(c.train.select("annotation_id", "text"))
     te = T.text_features(c.test.select("annotation_id", "text"))
-    _, z = FE.standardise_features(tr, te, keep=["annotation_id"])
-    return z.select("annotation_id", *[F.round(f, 6).alias(f) for f in T.ALL_FEATURES])
+    scaled = FE.standardise_features(tr, te, keep=["annotation_id"])
+    cols = [F.round(f, 6).alias(f) for f in T.ALL_FEATURES]
+    ztr, zte = (z.select(F.lit(s).alias("split"), "annotation_id", *cols) for s, z in zip(("train", "test"), scaled))
+    return ztr.unionByName(zte)
 
 
 # --- vocabulary and tokens ---------------------------------------------------------

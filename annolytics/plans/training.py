@@ -3,7 +3,6 @@ composite jobs J2-J5 (§2.12)."""
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from annolytics.functions import text as T
@@ -169,13 +168,9 @@ def _score_documents(spark, sf_dir):
 
 
 def _scored(model, df, keep):
-    """Model output as predicted class 1..5, p1..p5 and confidence."""
-    out = model.transform(df)
-    p = vector_to_array(F.col("probability"))
-    return out.select(
-        *keep, (F.col("prediction").cast("int") + 1).alias("predicted_label"),
-        *[F.get(p, i).alias(f"p{i + 1}") for i in range(5)], F.array_max(p).alias("confidence"),
-    )
+    """Class 1..5, p1..p5 and confidence of every row."""
+    ps = [f"p{i}" for i in range(1, 6)]
+    return S.score_texts(model, df).select(*keep, "predicted_label", *ps, "confidence")
 
 
 @query("score_texts")
@@ -249,9 +244,7 @@ def q_bias_job(spark, sf_dir):
     t = cleaned(spark, sf_dir).train
     chi = B.annotator_chi_square(t)
     mat = B.annotator_label_matrix(t).drop("mean_label")
-    m = F.col("mean_label")
-    band = F.when(m < 3.0, "< 3.0").when(m < 3.5, "3.0-3.5").when(m < 4.0, "3.5-4.0").when(m < 4.5, "4.0-4.5").otherwise(">= 4.5")
-    return chi.join(mat, "student_code").withColumn("band", band)
+    return chi.join(mat, "student_code").withColumn("band", B.band_of(F.col("mean_label")))
 
 
 @query("features_train_job")

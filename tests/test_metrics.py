@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from annolytics.functions.stats import _chi2_sf_scalar
+from annolytics.functions.stats import chi2_sf
 from annolytics.operators import evaluate as E
 from annolytics.operators import score as S
 
@@ -67,15 +67,22 @@ def test_softmax_probabilities(spark):
     assert rows[1].predicted_label == 1
 
 
-def test_chi_square_golden():
+def test_chi_square_golden(spark):
     obs = [10, 20, 5, 7, 8]
     exp = [12, 15, 8, 7, 8]
     chi = sum((o - e) ** 2 / e for o, e in zip(obs, exp))
     assert math.isclose(chi, 3.125)
-    assert round(_chi2_sf_scalar(chi, 4), 6) == 0.537129
-    # odd dof against the series definition at a few points
-    assert math.isclose(_chi2_sf_scalar(1.0, 1), math.erfc(math.sqrt(0.5)))
-    assert math.isclose(_chi2_sf_scalar(2.0, 3), 0.5724067044708798, rel_tol=1e-12)
+    points = [(chi, 4), (1.0, 1), (2.0, 3), (0.0, 3), (30.0, 5), (80.0, 4), (2000.0, 3), (2000.0, 4), (5.0, 2)]
+    df = spark.createDataFrame(points, "x double, k int").select("x", "k", chi2_sf(F.col("x"), F.col("k")).alias("p"))
+    got = {(r.x, r.k): r.p for r in df.collect()}
+    assert round(got[(chi, 4)], 6) == 0.537129
+    assert math.isclose(got[(1.0, 1)], math.erfc(math.sqrt(0.5)), rel_tol=1e-12)
+    assert math.isclose(got[(2.0, 3)], 0.5724067044708798, rel_tol=1e-12)
+    odd = math.erfc(math.sqrt(15)) + math.sqrt(60 / math.pi) * math.exp(-15) * (1 + 30 / 3)
+    assert math.isclose(got[(30.0, 5)], odd, abs_tol=1e-12)
+    assert got[(0.0, 3)] == 1.0 and got[(2000.0, 3)] == 0.0 and got[(2000.0, 4)] == 0.0
+    assert math.isclose(got[(5.0, 2)], math.exp(-2.5)) and math.isclose(got[(80.0, 4)], math.exp(-40) * 41)
+
 
 
 def test_ridge_matches_closed_form(spark):
