@@ -34,8 +34,10 @@ def _doc_slot(event_id: Column, user_id: Column, n: Column) -> Column:
     return ((r * r) % n * 31 + (user_id % n) * 17) % n
 
 
-def annotations_v(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per annotation (FIXTURES B1).
+def annotations_v(spark: SparkSession, sf_dir: str, text: Column | None = None) -> DataFrame:
+    """One row per annotation (FIXTURES B1).  ``text`` replaces the text by
+    an expression over ``documents``, evaluated before the join, so that a
+    caller that needs only a length does not move texts.
 
     Columns: annotation_id (the order key), student_code, source_file, text,
     label_text, label_numeric, annotation_created_at, lead_time_seconds.
@@ -53,7 +55,7 @@ def annotations_v(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("k"),
         _doc_slot(F.col("event_id"), F.col("user_id"), n).alias("doc_id"),
     )
-    d = docs.select("doc_id", "text", "source")
+    d = docs.select("doc_id", (F.col("text") if text is None else text).alias("text"), "source")
     j = e.join(d, "doc_id")
     eid = F.col("event_id")
     return j.select(
@@ -74,8 +76,8 @@ def annotations_v(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     """True / predicted label pairs with a continuous score (FIXTURES B2)."""
-    a = annotations_v(spark, sf_dir).filter(F.col("label_numeric").isNotNull())
-    ln = F.length("text")
+    a = annotations_v(spark, sf_dir, text=F.length("text")).filter(F.col("label_numeric").isNotNull())
+    ln = F.col("text")
     return a.select(
         "annotation_id",
         F.col("label_numeric").alias("true_label"),
