@@ -2,8 +2,9 @@
 
 A document's word shingles are hashed to 64 bits and dealt to buckets by
 hash; every bucket keeps its smallest hash under each of several further
-hash functions, in compressed form: one byte of leading-zero count and four
-mantissa bits (0 for an empty bucket).  Buckets times functions are always
+hash functions, in compressed form: leading-zero count and four mantissa bits
+(0 for an empty bucket), folded to four bits in the registers that make
+bands and to two bits in the rest.  Buckets times functions are always
 ``REGISTERS``; the split depends on the size class of the set, so that
 buckets are well filled and a register stands for several shingles even in a
 short text.  Both documents of a pair must use one split, so a document near
@@ -52,12 +53,12 @@ from pyspark.sql import functions as F
 
 from annolytics.session import materialize
 
-REGISTERS, MISS, SIGMAS, TILE = 512, 1e-6, 4.5, 1024
+REGISTERS, MISS, SIGMAS, TILE = 1024, 1e-6, 4.5, 1024
 #: Buckets by size class (base-4 logarithm of the number of shingles).
 BUCKETS = (1, 1, 1, 4, 16, 64, 512)
-#: Chance that two unrelated non-empty registers are equal: equal zero counts
-#: (sum of 4^-z, z >= 1) and equal mantissa bits.
-CHANCE = (1 / 3) / 16
+#: Values of a folded register that is not empty: in bands, and in the rest.
+#: Unrelated registers are equal by chance once in so many cases.
+BAND_VALUES, REST_VALUES = 15, 3
 WORDS_REMEMBERED = 300_000
 U64 = np.uint64
 
@@ -127,28 +128,57 @@ def registers_of(hashes: np.ndarray, cls: int) -> np.ndarray:
 
 def banding(threshold: float) -> tuple[int, int]:
     """(bands, registers per band): as many registers per band, up to eight,
-    as the number of registers allows."""
+    as half of the registers allow."""
     for rows in range(8, 0, -1):
         bands = math.ceil(math.log(MISS) / math.log(1 - threshold**rows))
-        if bands * rows <= REGISTERS:
+        if bands * rows <= REGISTERS // 2:
             break
     return bands, rows
 
 
-def may_link(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, threshold: float) -> np.ndarray:
-    """Whether pairs of register rows can reach the threshold, by size and by
+def fold(registers: np.ndarray, banded: int) -> bytes:
+    """Registers of one document in transport form: the first ``banded`` in
+    four bits each, the rest in two."""
+    r = registers.astype(np.int64)
+    band = np.where(r[:banded] > 0, 1 + (r[:banded] - 1) % BAND_VALUES, 0)
+    rest = np.where(r[banded:] > 0, 1 + (r[banded:] - 1) % REST_VALUES, 0)
+    band = np.append(band, 0) if banded % 2 else band
+    rest = np.append(rest, np.zeros(-len(rest) % 4, np.int64))
+    packed = [band[0::2] * 16 + band[1::2], rest[0::4] * 64 + rest[1::4] * 16 + rest[2::4] * 4 + rest[3::4]]
+    return np.concatenate(packed).astype(np.uint8).tobytes()
+
+
+def unfold(sketches: list[bytes], banded: int) -> tuple[np.ndarray, np.ndarray]:
+    """(band registers, other registers) of many documents, a row each."""
+    raw = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1)
+    cut = (banded + 1) // 2
+    band = np.stack([raw[:, :cut] >> 4, raw[:, :cut] & 15], axis=2).reshape(len(raw), -1)[:, :banded]
+    rest = np.stack([raw[:, cut:] >> s & 3 for s in (6, 4, 2, 0)], axis=2).reshape(len(raw), -1)
+    return band, rest[:, : REGISTERS - banded]
+
+
+def may_link(a: tuple, b: tuple, na: np.ndarray, nb: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether pairs of unfolded rows can reach the threshold, by size and by
     the collision-corrected estimate.
 
-    The estimate varies by the number of registers and, as buckets count
-    alike but hold different numbers of shingles, by about buckets / n^2."""
-    some = np.maximum(((a > 0) | (b > 0)).sum(axis=1), 1)
-    same = ((a == b) & (a > 0)).sum(axis=1)
-    jaccard = (same / some - CHANCE) / (1 - CHANCE)
+    The two kinds of registers give an estimate each; they are weighed by
+    their precision.  An estimate varies by the number of registers and, as
+    buckets count alike but hold different numbers of shingles, by about
+    buckets / n^2."""
+    weights, estimate = 0.0, 0.0
+    for x, y, values in ((a[0], b[0], BAND_VALUES), (a[1], b[1], REST_VALUES)):
+        some = np.maximum(((x > 0) | (y > 0)).sum(axis=1), 1)
+        same = ((x == y) & (x > 0)).sum(axis=1)
+        chance = 1 / values
+        expected = threshold + (1 - threshold) * chance
+        weight = some * (1 - chance) ** 2 / (expected * (1 - expected))
+        estimate = estimate + weight * (same / some - chance) / (1 - chance)
+        weights = weights + weight
     least = np.maximum(np.minimum(na, nb), 1)
     buckets = np.array(BUCKETS)[np.clip(np.log2(least) // 2, 0, len(BUCKETS) - 1).astype(int)]
-    sigma = np.sqrt(threshold * (1 - threshold) * (1 / some + buckets / least.astype(float) ** 2))
+    sigma = np.sqrt(1 / weights + threshold * (1 - threshold) * buckets / least.astype(float) ** 2)
     sizes = np.minimum(na, nb) >= threshold * np.maximum(na, nb) - 1e-9
-    return sizes & (jaccard >= threshold - SIGMAS * sigma)
+    return sizes & (estimate / weights >= threshold - SIGMAS * sigma)
 
 
 def _batches(batches, rows: int):
@@ -157,7 +187,7 @@ def _batches(batches, rows: int):
             yield b.slice(at, rows)
 
 
-def signatures(docs: DataFrame, k: int, threshold: float) -> DataFrame:
+def signatures(docs: DataFrame, k: int, threshold: float, banded: int) -> DataFrame:
     """(doc_id, n, digest, sketches) of every row; sketches are the (class,
     registers) that the document needs."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -173,7 +203,7 @@ def signatures(docs: DataFrame, k: int, threshold: float) -> DataFrame:
                 # classes of the smaller set of any pair that could link
                 least = max(1, math.ceil(threshold * len(s) - 1e-9))
                 classes = range(size_class(least), size_class(len(s)) + 1) if len(s) else ()
-                sketches.append([{"class": c, "registers": registers_of(s, c).tobytes()} for c in classes])
+                sketches.append([{"class": c, "registers": fold(registers_of(s, c), banded)} for c in classes])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sketches, sketch)],
                 names=["doc_id", "n", "digest", "sketches"],
@@ -184,46 +214,44 @@ def signatures(docs: DataFrame, k: int, threshold: float) -> DataFrame:
     )
 
 
-def _lanes(registers: list[bytes], bands: int, rows: int) -> np.ndarray:
-    regs = np.frombuffer(b"".join(registers), np.uint8).reshape(len(registers), REGISTERS)
-    return regs[:, : bands * rows].reshape(len(regs), bands, rows)
-
-
 def band_rows(reps: DataFrame, bands: int, rows: int) -> DataFrame:
-    """(key, band, class, rep) for every band that is not empty."""
+    """(key, rep) for every band that is not empty.  The low bits of a key
+    are the size class (three) and the band (six)."""
 
     def run(batches):
         for b in _batches(batches, 4096):
-            lanes = _lanes(b.column(2).to_pylist(), bands, rows)
-            cls = b.column(1).to_numpy()
-            keys = (cls.astype(U64)[:, None] << U64(32)) + np.arange(1, bands + 1, dtype=U64)
+            lanes = unfold(b.column(2).to_pylist(), bands * rows)[0].reshape(b.num_rows, bands, rows)
+            place = (b.column(1).to_numpy().astype(U64)[:, None] << U64(6)) + np.arange(bands, dtype=U64)
+            keys = place + U64(1)
             for i in range(rows):
                 keys = keys * U64(0x9E3779B97F4A7C15) + lanes[:, :, i]
+            keys = (_mix(keys) & ~U64(511)) | place
             row, band = np.nonzero(lanes.any(axis=2))
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(_mix(keys)[row, band].view(np.int64)),
-                    pa.array(band.astype(np.int32)),
-                    pa.array(cls[row]),
-                    b.column(0).take(pa.array(row)),
-                ],
-                names=["key", "band", "class", "rep"],
+                [pa.array(keys[row, band].view(np.int64)), b.column(0).take(pa.array(row))], names=["key", "rep"]
             )
 
     kind = reps.schema["rep"].dataType.simpleString()
-    return reps.select("rep", "class", "registers").mapInArrow(run, f"key long, band int, class int, rep {kind}")
+    return reps.select("rep", "class", "registers").mapInArrow(run, f"key long, rep {kind}")
+
+
+def class_of(key: str = "key"):
+    return F.shiftright(F.col(key), 6).bitwiseAND(F.lit(7)).cast("int").alias("class")
 
 
-def _estimated(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
+def _estimated(pairs: DataFrame, reps: DataFrame, threshold: float, banded: int) -> DataFrame:
     """Pairs (a, b) out of (a, b, class) whose estimate allows a link."""
 
     @F.pandas_udf("boolean")
     def possible(ra: pd.Series, rb: pd.Series, na: pd.Series, nb: pd.Series) -> pd.Series:
         if not len(ra):
             return pd.Series([], dtype=bool)
-        a = np.frombuffer(b"".join(ra), np.uint8).reshape(len(ra), -1)
-        b = np.frombuffer(b"".join(rb), np.uint8).reshape(len(rb), -1)
-        return pd.Series(may_link(a, b, na.to_numpy(), nb.to_numpy(), threshold))
+        parts = []
+        for at in range(0, len(ra), 4096):
+            cut = slice(at, at + 4096)
+            a, b = unfold(list(ra[cut]), banded), unfold(list(rb[cut]), banded)
+            parts.append(may_link(a, b, na[cut].to_numpy(), nb[cut].to_numpy(), threshold))
+        return pd.Series(np.concatenate(parts))
 
     side = lambda x: reps.select(F.col("rep").alias(x), "class", F.col("n").alias("n" + x), F.col("registers").alias("r" + x))
     j = pairs.join(side("a"), ["a", "class"]).join(side("b"), ["b", "class"])
@@ -289,25 +317,25 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _cross_pairs(rows: DataFrame, reps: DataFrame, bands: int, per_band: int, threshold: float) -> DataFrame:
     """Pairs of classes with different labels that share a bucket and may
-    link; ``rows`` has key, band, class, rep, label."""
+    link; ``rows`` has key, rep, label."""
     size = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("label").alias("l1"), F.max("label").alias("l2"))
     mixed = materialize(size.filter("l1 <> l2").select("key", F.ceil(F.col("c") / TILE).cast("int").alias("parts")), "dup-mixed")
-    r = rows.join(mixed, "key").join(reps.select("rep", "class", "n", "registers"), ["rep", "class"])
+    r = rows.join(mixed, "key").withColumn("class", class_of()).join(reps.select("rep", "class", "n", "registers"), ["rep", "class"])
     part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
     r = r.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     r = r.select(
-        "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "band", "rep", "label", "n", "registers"
+        "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "rep", "label", "n", "registers"
     )
     kind = reps.schema["rep"].dataType.simpleString()
     order = ["key", "i", "j"]
 
     def pairs_in(t: pa.Table):
         key = np.stack([t.column(c).to_numpy().astype(np.int64) for c in order], axis=1)
-        part, band, label, n = (t.column(c).to_numpy() for c in ("part", "band", "label", "n"))
+        part, label, n = (t.column(c).to_numpy() for c in ("part", "label", "n"))
+        band = key[:, 0] & 63
         rep = t.column("rep").to_numpy()
-        packed = t.column("registers").to_pylist()
-        lanes = _lanes(packed, bands, per_band)
-        regs = np.frombuffer(b"".join(packed), np.uint8).reshape(len(rep), REGISTERS)
+        banded, rest = unfold(t.column("registers").to_pylist(), bands * per_band)
+        lanes = banded.reshape(len(rep), bands, per_band)
         found = []
         for step in range(1, len(rep)):
             x = np.flatnonzero((key[step:] == key[:-step]).all(axis=1))
@@ -315,9 +343,9 @@ def _cross_pairs(rows: DataFrame, reps: DataFrame, bands: int, per_band: int, th
                 break
             y = x + step
             keep = (label[x] != label[y]) & ((key[x, 1] == key[x, 2]) | (part[x] != part[y]))
-            for at in range(0, int(keep.sum()), 8192):
-                p, q = x[keep][at : at + 8192], y[keep][at : at + 8192]
-                ok = may_link(regs[p], regs[q], n[p], n[q], threshold)
+            for at in range(0, int(keep.sum()), 4096):
+                p, q = x[keep][at : at + 4096], y[keep][at : at + 4096]
+                ok = may_link((banded[p], rest[p]), (banded[q], rest[q]), n[p], n[q], threshold)
                 p, q = p[ok], q[ok]
                 common = (lanes[p] == lanes[q]).all(axis=2) & (lanes[p] > 0).any(axis=2)
                 first = common.argmax(axis=1) == band[p] if len(p) else np.zeros(0, bool)
@@ -352,7 +380,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     similarity of at least ``percent`` / 100."""
     threshold = percent / 100
     bands, per_band = banding(threshold)
-    sig = materialize(signatures(docs, k, threshold), "dup-signatures")
+    banded = bands * per_band
+    sig = materialize(signatures(docs, k, threshold, banded), "dup-signatures")
     known = sig.filter("doc_id IS NOT NULL AND n > 0")
     classes = materialize(known.groupBy("digest").agg(F.min("doc_id").alias("rep")), "dup-classes")
     reps = known.join(classes, (known["doc_id"] == classes["rep"]) & (known["digest"] == classes["digest"]))
@@ -361,12 +390,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     leaders = rows.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep", "key")).alias("leader"), F.count(F.lit(1)).alias("c"))
     leaders = materialize(leaders.filter("c > 1").select("key", "leader"), "dup-leaders")
     rows = materialize(rows.join(leaders, "key"), "dup-buckets")
-    star = rows.filter("rep <> leader").select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"), "class").distinct()
+    star = rows.filter("rep <> leader").select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"), class_of()).distinct()
     star = materialize(star, "dup-star")
-    edges = materialize(_confirmed(materialize(_estimated(star, reps, threshold), "dup-likely"), docs, k, percent), "dup-edges")
+    edges = materialize(_confirmed(materialize(_estimated(star, reps, threshold, banded), "dup-likely"), docs, k, percent), "dup-edges")
     first = materialize(components(edges), "dup-first")
     labelled = rows.join(first, rows["rep"] == first["id"], "left").select(
-        "key", "band", "class", "rep", F.coalesce("component", "rep").alias("label")
+        "key", "rep", F.coalesce("component", "rep").alias("label")
     )
     cross = _cross_pairs(labelled, reps, bands, per_band, threshold).join(star, ["a", "b"], "left_anti")
     more = materialize(_confirmed(materialize(cross, "dup-cross"), docs, k, percent), "dup-edges")

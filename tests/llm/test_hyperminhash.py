@@ -86,7 +86,7 @@ def test_estimate_is_close():
             pool = rnd.integers(0, 2**63, 2 * size, dtype=np.uint64) * np.uint64(2)
             a, b = np.sort(pool[:size]), np.sort(np.r_[pool[:same], pool[size : 2 * size - same]])
             cls = H.size_class(size)
-            ra, rb = H.registers_of(a, cls)[None], H.registers_of(b, cls)[None]
+            ra, rb = (H.unfold([H.fold(H.registers_of(x, cls), 352)], 352) for x in (a, b))
             real = same / (2 * size - same)
             ok = H.may_link(ra, rb, np.array([size]), np.array([size]), 0.85)[0]
             miss += (real >= 0.85 and not ok) or (real < 0.6 and ok)
