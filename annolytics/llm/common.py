@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a maximal run of code points outside this class.
@@ -22,3 +22,16 @@ def prefixed(df: DataFrame, prefix: str) -> DataFrame:
     """The same rows with every column renamed, so that no name of a caller's
     extra column can clash with one that an operator adds."""
     return df.select(*[F.col(f"`{c}`").alias(prefix + c) for c in df.columns])
+
+
+#: Rows of text that one Arrow batch to a Python worker may hold.
+BATCH_ROWS = 512
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batch size to ``BATCH_ROWS`` (a smaller
+    setting stays): with whole texts in the rows, the default of 10,000 rows
+    is tens of megabytes in the worker, and as much again outside the heap."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))

@@ -51,6 +51,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from annolytics.llm.common import small_batches
 from annolytics.session import materialize
 
 REGISTERS, MISS, SIGMAS, TILE = 1024, 1e-6, 4.5, 1024
@@ -59,7 +60,7 @@ BUCKETS = (1, 1, 1, 4, 16, 64, 512)
 #: Values of a folded register that is not empty: in bands, and in the rest.
 #: Unrelated registers are equal by chance once in so many cases.
 BAND_VALUES, REST_VALUES = 15, 3
-WORDS_REMEMBERED = 300_000
+WORDS_REMEMBERED = 100_000
 U64 = np.uint64
 
 
@@ -261,27 +262,32 @@ def _estimated(pairs: DataFrame, reps: DataFrame, threshold: float, banded: int)
 def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs whose full shingle sets reach the threshold."""
 
-    @F.pandas_udf("boolean")
-    def linked(ta: pd.Series, tb: pd.Series) -> pd.Series:
-        out, known = [], {}
-        for a, b in zip(ta, tb):
-            sets = []
-            for t in (a, b):
-                s = known.get(t)
-                if s is None:
-                    if len(known) >= 64:
-                        known.clear()
-                    s = known[t] = shingle_set(t, k)
-                sets.append(s)
-            both = len(np.intersect1d(*sets, assume_unique=True))
-            out.append(100 * both >= percent * (len(sets[0]) + len(sets[1]) - both))
-        return pd.Series(out, dtype=bool)
+    def run(batches):
+        # few texts at a time, as pairs of long texts fill memory
+        known: dict[str, np.ndarray] = {}
+
+        def shingles(t):
+            s = known.get(t)
+            if s is None:
+                if len(known) >= 64:
+                    known.clear()
+                s = known[t] = shingle_set(t, k)
+            return s
+
+        for b in _batches(batches, 128):
+            ok = []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                x, y = shingles(x), shingles(y)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield b.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
 
     ids = pairs.select(F.col("a").alias("doc_id")).distinct().union(pairs.select("b").distinct()).distinct()
     texts = materialize(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "dup-texts")
     side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias("t" + x))
     j = pairs.join(side("b"), "b").join(side("a"), "a")
-    return j.filter(linked("ta", "tb")).select("a", "b")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return j.select("a", "b", "ta", "tb").mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -378,6 +384,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``:
     documents are linked whose ``k``-word shingle sets have a Jaccard
     similarity of at least ``percent`` / 100."""
+    small_batches(docs.sparkSession)
     threshold = percent / 100
     bands, per_band = banding(threshold)
     banded = bands * per_band

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from annolytics.llm.common import prefixed
+from annolytics.llm.common import prefixed, small_batches
 from annolytics.session import materialize
 
 #: Patterns by type, tried together, the first of the list at each place.
@@ -288,6 +288,7 @@ def attempts_table(found: DataFrame, key: bytes) -> DataFrame:
 def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with every entity in ``text`` replaced by its surrogate, and
     ``n_chars`` brought up to date where the table has it."""
+    small_batches(docs.sparkSession)
     secret = key.encode()
     found = materialize(find_entities(docs), "pii-found")
     late = attempts_table(found, secret)

@@ -122,11 +122,14 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
     """P(Binomial(n, p) <= k) as an expression.
 
     Sums the point masses from k downwards by their exact ratio, starting
-    from the mass at k.  Masses more than 40 standard deviations and 60 steps
-    below k are under 1e-300 of it and are left out."""
+    from the mass at k, or at 12 standard deviations above the mean where k
+    lies higher.  Masses 40 deviations and 60 steps below the mean, and those
+    above the start, are too small to change a double."""
     k, n = k.cast("double"), n.cast("double")
+    spread = F.sqrt(n * p)
+    k = F.least(k, F.floor(n * p + 12.0 * spread + 20.0))
     log_mass = _log_gamma(n + 1.0) - _log_gamma(k + 1.0) - _log_gamma(n - k + 1.0) + k * F.log(F.lit(p)) + (n - k) * F.log(F.lit(1.0 - p))
-    reach = F.least(k, F.ceil(40.0 * F.sqrt(n * p)) + 60.0).cast("int")
+    reach = F.least(k, F.ceil(52.0 * spread) + 80.0).cast("int")
     down = F.aggregate(
         F.sequence(F.lit(0), reach),
         F.struct(F.lit(1.0).alias("mass"), F.lit(0.0).alias("sum")),

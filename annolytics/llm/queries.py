@@ -196,8 +196,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids and the text decoded from them, as digests."""
     model = piece_model()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = sentencepiece_codec.encode(docs, model).select("doc_id", "ids")
-    out = sentencepiece_codec.decode(coded, model)
+    out = sentencepiece_codec.encode_and_decode(docs, model)
     return out.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -30,12 +30,17 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from annolytics.llm.common import small_batches
+
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: Parts remembered per worker, and the longest part worth remembering.
 REMEMBERED, REMEMBERED_CHARS = 200_000, 48
+#: Pair tests remembered per worker.
+PAIRS_REMEMBERED = 250_000
 ROWS_AT_ONCE = 256
 
 
@@ -78,7 +83,7 @@ class Codec:
         # a line break that no piece holds is a part by itself
         alone = "" if any("\n" in p for p in self.score) else "\n"
         self.parts = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + (f"|{alone}" if alone else ""))
-        self.pair_ok: dict[tuple[int, int], bool] = {}
+        self.pair_ok: dict[int, bool] = {}
         self.known: dict[str, tuple[int, ...]] = {}
 
     def merge(self, text: str) -> list[str]:
@@ -97,9 +102,11 @@ class Codec:
     def compatible(self, left: int, right: int) -> bool:
         """Whether the two pieces stay as they are side by side; ``left`` is
         -1 where the right one starts a text or follows unknown text."""
-        key = (left, right)
+        key = left * len(self.pieces) + right
         ok = self.pair_ok.get(key)
         if ok is None:
+            if len(self.pair_ok) >= PAIRS_REMEMBERED:
+                self.pair_ok.clear()
             want = [self.pieces[right]] if left < 0 else [self.pieces[left], self.pieces[right]]
             ok = self.pair_ok[key] = self.merge("".join(want)) == want
         return ok
@@ -107,14 +114,14 @@ class Codec:
     def encode_part(self, part: str) -> tuple[int, ...]:
         last = [-2] * (len(part) + 1)  # -2: no piece ends here, -1: start
         last[0] = -1
-        length, pair_ok = self.length, self.pair_ok
+        length, pair_ok, n_pieces = self.length, self.pair_ok, len(self.pieces)
         for end, piece in self.automaton.iter(part):
             end += 1
             if last[end] == -2:
                 before = last[end - length[piece]]
                 if before < 0:
                     before = -1
-                ok = pair_ok.get((before, piece))
+                ok = pair_ok.get(before * n_pieces + piece)
                 if ok if ok is not None else self.compatible(before, piece):
                     last[end] = piece
         ids, end = [], len(part)
@@ -190,44 +197,60 @@ def _slices(batches):
             yield batch.slice(at, ROWS_AT_ONCE)
 
 
-def _map(df: DataFrame, column: str, out: str, kind: T.DataType, convert) -> DataFrame:
-    kept = [f for f in df.schema.fields if f.name != out or f.name == column]
-    names = [f.name for f in kept]
-    if out == column:
-        names = [n for n in names if n != column]
+def _ids_of(texts: pa.Array, model: str) -> pa.ListArray:
+    c, flat, offsets = codec(model), array("i"), [0]
+    for text in texts.to_pylist():
+        c.encode(text, flat)
+        offsets.append(len(flat))
+    values = pa.array(np.frombuffer(flat, dtype=np.int32)) if len(flat) else pa.array([], pa.int32())
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+
+
+def _text_of(ids: pa.ListArray, model: str) -> pa.Array:
+    c = codec(model)
+    values, offsets = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+    null = ids.is_null().to_numpy(zero_copy_only=False)
+    return pa.array(
+        ["" if null[i] else c.decode(values[offsets[i] : offsets[i + 1]].astype(np.int64)) for i in range(len(ids))], pa.string()
+    )
+
+
+def _map(df: DataFrame, column: str, new: list[tuple[str, T.DataType]], convert) -> DataFrame:
+    """``df`` with the ``new`` columns, made from ``column`` in one pass."""
+    small_batches(df.sparkSession)
+    names = [n for n, _ in new]
+    kept = [f for f in df.schema.fields if f.name not in names]
+    order = [f.name for f in kept]
 
     def run(batches):
         for b in _slices(batches):
-            arrays = [b.column(i) for i, f in enumerate(given) if f in names]
-            yield pa.RecordBatch.from_arrays([*arrays, convert(b.column(given.index(column)))], names=[*names, out])
+            made = convert(b.column(len(order)))
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(order)], *made], names=[*order, *names])
 
-    given = [f.name for f in kept]
-    schema = T.StructType([f for f in kept if f.name in names] + [T.StructField(out, kind)])
-    return df.select(*[f"`{g}`" for g in given]).mapInArrow(run, schema)
+    schema = T.StructType(kept + [T.StructField(n, t) for n, t in new])
+    source = F.col(f"`{column}`").alias("_codec_input")
+    return df.select(*[f"`{c}`" for c in order], source).mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, model: str, column: str = "text", out: str = "ids") -> DataFrame:
-    """``df`` with ``out`` (array<int>): the ids of ``column``."""
+IDS = T.ArrayType(T.IntegerType())
 
-    def convert(texts):
-        c, flat, offsets = codec(model), array("i"), [0]
-        for text in texts.to_pylist():
-            c.encode(text, flat)
-            offsets.append(len(flat))
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(flat, dtype=np.int32)) if len(flat) else pa.array([], pa.int32()))
 
-    return _map(df, column, out, T.ArrayType(T.IntegerType()), convert)
+def encode(df: DataFrame, model: str, column: str = "text", out: str = "ids") -> DataFrame:
+    """``df`` with ``out`` (array<int>): the ids of ``column``."""
+    return _map(df, column, [(out, IDS)], lambda texts: [_ids_of(texts, model)])
 
 
 def decode(df: DataFrame, model: str, column: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with ``out`` (string): the text of the ids in ``column``."""
+    return _map(df, column, [(out, T.StringType())], lambda ids: [_text_of(ids, model)])
 
-    def convert(ids):
-        c = codec(model)
-        values, offsets = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-        null = ids.is_null().to_numpy(zero_copy_only=False)
-        return pa.array(
-            ["" if null[i] else c.decode(values[offsets[i] : offsets[i + 1]].astype(np.int64)) for i in range(len(ids))], pa.string()
-        )
 
-    return _map(df, column, out, T.StringType(), convert)
+def encode_and_decode(df: DataFrame, model: str, column: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """Both in one pass: the ids of ``column`` and the text decoded from
+    them.  One worker per task then holds the model and its memory of parts."""
+
+    def convert(texts):
+        coded = _ids_of(texts, model)
+        return [coded, _text_of(coded, model)]
+
+    return _map(df, column, [(ids, IDS), (decoded, T.StringType())], convert)

@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from annolytics.llm.common import small_batches
 from annolytics.session import materialize
 
 CATEGORIES = ("dense", "repeated", "toxic")
@@ -217,6 +218,7 @@ def best_threshold(cells: Sequence[tuple[float, float, int]]) -> float:
 
 def detect(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """``docs`` with p_dense, p_repeated, p_toxic, toxic and kept."""
+    small_batches(docs.sparkSession)
     chain = fit_chain(docs, labels, **options)
     columns = [c for c in docs.columns if c not in ADDED]
     scored = T.StructType([T.StructField(f"p_{c}", T.DoubleType()) for c in CATEGORIES])

@@ -50,8 +50,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
     model = piece_model()
-    coded = sentencepiece_codec.encode(docs, model, "text", "ids")
-    coded = sentencepiece_codec.decode(coded, model, "ids", "decoded")
+    coded = sentencepiece_codec.encode_and_decode(docs, model, "text", "ids", "decoded")
     return coded.select(
         "doc_id",
         "lang",

@@ -61,6 +61,8 @@ def test_frames(spark, docs_of, both):
     _, library = both
     rows = [(1, None, "en", "s"), (2, "", "en", None), (None, "a  b", "en", "s"), (3, "x\ny", "en", "s"), (3, "x\ny", "en", "s"), (4, "word " * 60_000, "en", "s")]
     docs = docs_of(rows)
+    both_ways = S.encode_and_decode(docs, piece_model()).collect()
+    assert all(r["ids"] == library.encode(r["text"] or "") and r["decoded"] == library.decode(r["ids"]) for r in both_ways)
     out = S.decode(S.encode(docs, piece_model(), "text", "size"), piece_model(), "size", "kept")
     assert out.columns == [c for c in docs.columns if c not in ("size", "kept")] + ["size", "kept"]
     got = out.collect()
