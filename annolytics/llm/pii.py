@@ -52,7 +52,12 @@ from annolytics.session import materialize
 PATTERNS = (
     ("email", r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9\-]{0,62}\.)+[A-Za-z]{2,24})"),
     ("key", r"(?<![A-Za-z0-9])(?P<key>(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36})(?![A-Za-z0-9])"),
-    ("secret", r"(?:password|passwd|pwd|secret|token|api_key|apikey)\s?[=:]\s?(?P<secret>[^\s,;\"']{6,128})"),
+    (
+        "secret",
+        # any case, bare or quoted; a closed quotation may hold commas
+        r"(?=[PpSsTtAa])(?i:password|passwd|pwd|secret|token|api_key|apikey)[\"']?\s?[=:]\s?(?P<quote>[\"'])?"
+        r"(?P<secret>(?(quote)[^\s\"']{6,}(?=(?P=quote))|(?!))|[^\s,;\"']{6,})",
+    ),
     ("ip", r"(?<![\d.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?![\d]|\.\d)"),
     ("ssn", r"(?<![\d\-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\d\-])"),
     ("card", r"(?<![\d\-])(?P<card>\d{13,19}|\d{4}(?:-\d{4}){2}-\d{1,7}|\d{4}(?: \d{4}){2} \d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\d\-])"),
@@ -77,6 +82,9 @@ GIVEN = {
 }
 #: Attempt from which surrogates may be longer than the entity.
 WIDEN_AT = 2 * max(map(len, GIVEN.values())) + 4
+#: Letters and digits that one permutation takes at most: a round's 256 bits
+#: must reach every symbol of a half.
+PIECE = 64
 GENDER = {n.lower(): g for (_, g), names in GIVEN.items() for n in names}
 
 
@@ -153,12 +161,15 @@ def permute(symbols: list[int], radices: list[int], key: bytes, tweak: str, roun
 def permute_text(text: str, key: bytes, tweak: str) -> str:
     """Letters and digits permuted within their class, the rest in place.
     Letters of other scripts move by a keyed offset inside their block of
-    cased letters."""
-    places = [i for i, c in enumerate(text) if c in _CLASS]
-    out = list(text)
-    moved = permute([_CLASS[text[i]].index(text[i]) for i in places], [len(_CLASS[text[i]]) for i in places], key, tweak)
-    for i, s in zip(places, moved):
-        out[i] = _CLASS[text[i]][s]
+    cased letters.  A long text goes in pieces, each keyed by those before it."""
+    out, chain = list(text), tweak
+    everything = [i for i, c in enumerate(text) if c in _CLASS]
+    for first in range(0, len(everything), PIECE):
+        places = everything[first : first + PIECE]
+        moved = permute([_CLASS[text[i]].index(text[i]) for i in places], [len(_CLASS[text[i]]) for i in places], key, chain)
+        for i, s in zip(places, moved):
+            out[i] = _CLASS[text[i]][s]
+        chain = f"{tweak}/{_number(key, chain, *(text[i] for i in places)):x}"
     return "".join(out)
 
 

@@ -45,6 +45,18 @@ def test_types_formats_and_scripts():
     assert all("а" <= c <= "я" for c in out[7][1].lower())
 
 
+def test_quoted_upper_case_and_long_secrets(docs_of):
+    hexa, long, huge = "04dbebab91ab85687d33eeaaf9ac699e1188f962", "aB3" * 67, "xY7" * 20_000
+    rows = [f'token = "{hexa}" the', f'TOKEN = "{hexa}"', f"Api_Key: '{hexa[::-1]}', x", f"PASSWORD={long} end", f"pwd: {huge}.", '{"secret": "abcdefg,12345;tail"}']
+    got = pii.replace_pii(docs_of([(i, t, "en", "s") for i, t in enumerate(rows)]), KEY).collect()
+    out = {r["doc_id"]: r["text"] for r in got}
+    assert re.fullmatch(r'token = "[0-9a-z]{40}" the', out[0]) and out[1] == out[0].replace("token", "TOKEN")[:-4]
+    assert re.fullmatch(r"Api_Key: '[0-9a-z]{40}', x", out[2]) and re.fullmatch(r"PASSWORD=\w{201} end", out[3])
+    assert all(len(out[i]) == len(t) for i, t in enumerate(rows)) and out[0][9:49] != hexa
+    assert not any(x in out[i] for i, v in ((3, long), (4, huge)) for x in (v[:12], v[1:13], v[2:14]))
+    assert "tail" not in out[5] and out[5][:12] == rows[5][:12]
+
+
 def test_coreference_and_distinctness_in_a_corpus(spark, docs_of):
     ips = [f"10.0.0.{i}" for i in range(1, 200)]
     names = [f"Mrs {a}{b} Schmidt" for a in "ABCDEFGHIJKL" for b in "abcde"]
