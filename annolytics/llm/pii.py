@@ -60,8 +60,8 @@ PATTERNS = (
     ),
     ("ip", r"(?<![\d.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?![\d]|\.\d)"),
     ("ssn", r"(?<![\d\-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\d\-])"),
-    ("card", r"(?<![\d\-])(?P<card>\d{13,19}|\d{4}(?:-\d{4}){2}-\d{1,7}|\d{4}(?: \d{4}){2} \d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\d\-])"),
     ("phone", r"(?<![\w+])(?P<phone>\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}|\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?![\w\-])"),
+    ("card", r"(?<![\d\-])(?P<card>\d(?:[ \-]?\d){12,18})(?![\d\-])"),
     (
         "name",
         r"(?<!\w)(?P<title>Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Господин|Госпожа)\.?[ \t]"
@@ -69,6 +69,12 @@ PATTERNS = (
     ),
 )
 ENTITY = re.compile("|".join(p for _, p in PATTERNS))
+#: Usual groupings of cards, tried where the longest run of digits is no card
+#: because another number stands before or after it.
+CARDS = [
+    re.compile(rf"(?P<card>{p})(?![\d\-])")
+    for p in (r"\d{4}(?:[ \-]\d{4}){3}[ \-]\d{3}", r"\d{4}(?:[ \-]\d{4}){3}", r"\d{4}(?:[ \-]\d{4}){2}[ \-]\d{1,7}", r"\d{4}[ \-]\d{6}[ \-]\d{4,5}", r"\d{8}[ \-]\d{8}", r"\d{13,19}")
+]
 #: JVM-side test that a text may hold any entity at all.
 MAYBE = r"[0-9@=:]|\b(Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Господин|Госпожа)\b"
 FEMALE = {"Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа"}
@@ -102,15 +108,33 @@ def canonical(kind: str, value: str) -> str:
     return value.lower() if kind in ("email", "ip") or kind.startswith("name") else value
 
 
+def card_at(text: str, m: re.Match, whole: bool) -> re.Match | None:
+    """The card at the start of a run of 13 to 19 digits: the ``whole`` run,
+    unless it ends inside an address or decimal, or else a usual grouping."""
+    tries = [c for p in CARDS if (c := p.match(text, m.start()))]
+    if whole:
+        tries.insert(len(tries) if re.match(r"\.\d", text[m.end() : m.end() + 2]) else 0, m)
+    for c in tries:
+        digits = re.sub(r"\D", "", c.group())
+        if luhn(digits[:-1]) == int(digits[-1]):
+            return c
+    return None
+
+
 def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, type, value) of every entity of a text, in order."""
-    for m in ENTITY.finditer(text):
+    to = run = 0
+    while m := ENTITY.search(text, to):
         kind = m.lastgroup if m.lastgroup != "title" else "name"
-        value, at = m.group(kind), m.start(kind)
         if kind == "card":
-            digits = re.sub(r"\D", "", value)
-            if luhn(digits[:-1]) != int(digits[-1]):
+            card = card_at(text, m, m.start() >= run)
+            if card is None:
+                # a card may begin at a later number of the same run
+                to, run = m.start() + 1, max(run, m.end())
                 continue
+            m = card
+        to = m.end()
+        value, at = m.group(kind), m.start(kind)
         if kind != "name":
             yield at, at + len(value), kind, value
             continue

@@ -23,6 +23,22 @@ def test_clean_texts_stay(text):
     assert found(text) == []
 
 
+@pytest.mark.parametrize(
+    "card",
+    ["3056 930902 5904", "3056-930902-5904", "6799 9901 0000 0000 019", "6799990100000000019", "6011-0009 9013 9424", "60110009 90139424", "4111 1111 1111 1111", "3782 822463 10005", "4222222222222"],
+)
+@pytest.mark.parametrize("around", ["{}", "on 12 {} paid", "{} 123", "{}.5", "({})"])
+def test_cards_of_every_grouping(card, around):
+    assert ("card", card) in found(around.format(card))
+    new = pii.rewrite(around.format(card), b"k", {}, {})
+    assert card not in new and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", around.format(card))
+
+
+def test_a_card_ends_before_an_address():
+    assert found("4111 1111 1111 1111 10.0.0.1") == [("card", "4111 1111 1111 1111"), ("ip", "10.0.0.1")]
+    assert found("988-555-2485 2024 and 1234-5678") == [("phone", "988-555-2485")]
+
+
 @pytest.mark.parametrize("radices", [[10], [10, 10], [26, 26, 10], [254, 3], [2, 3, 5, 7]])
 def test_permutation(radices):
     everything = list(itertools.product(*map(range, radices)))
