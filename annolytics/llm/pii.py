@@ -69,6 +69,14 @@ PATTERNS = (
     ),
 )
 ENTITY = re.compile("|".join(p for _, p in PATTERNS))
+#: Digits of an international phone number (E.164).
+MAX_PHONE = 15
+#: Numbers that do not continue a phone number: addresses, phones and social
+#: security numbers; and years.
+NUMBER = re.compile(
+    r"(?:\d{1,3}\.){3}\d{1,3}(?!\d)|\d{3}[.\-]\d{3}[.\-]\d{4}(?!\d)|\d{3}-\d{2}-\d{4}(?!\d)"
+)
+YEAR = re.compile(r"(?:19|20)\d\d(?!\d)")
 #: Usual groupings of cards, tried where the longest run of digits is no card
 #: because another number stands before or after it.
 CARDS = [
@@ -111,12 +119,12 @@ def canonical(kind: str, value: str) -> str:
     return value.lower() if kind in ("email", "ip") or kind.startswith("name") else value
 
 
-def card_at(text: str, m: re.Match, whole: bool) -> re.Match | None:
-    """The card at the start of a run of 13 to 19 digits: the ``whole`` run,
+def card_at(text: str, start: int, run: re.Match | None = None) -> re.Match | None:
+    """The card that starts there: the whole ``run`` of 13 to 19 digits,
     unless it ends inside an address or decimal, or else a usual grouping."""
-    tries = [c for p in CARDS if (c := p.match(text, m.start()))]
-    if whole:
-        tries.insert(len(tries) if re.match(r"\.\d", text[m.end() : m.end() + 2]) else 0, m)
+    tries = [c for p in CARDS if (c := p.match(text, start))]
+    if run:
+        tries.insert(len(tries) if re.match(r"\.\d", text[run.end() : run.end() + 2]) else 0, run)
     for c in tries:
         digits = re.sub(r"\D", "", c.group())
         if luhn(digits[:-1]) == int(digits[-1]):
@@ -124,18 +132,43 @@ def card_at(text: str, m: re.Match, whole: bool) -> re.Match | None:
     return None
 
 
+def phone_end(text: str, start: int, end: int) -> int | None:
+    """Where the international number found there ends: after 15 digits at
+    most, and before a number of its own; None if it is no phone number."""
+    n, to = 0, start
+    for run in re.finditer(r"\d+", text[start:end]):
+        at = start + run.start()
+        if n >= 7 and text[at - 1] == " ":
+            whole = n == 11 and text[start + 1] == "1"
+            if whole or NUMBER.match(text, at) or (n >= 10 and (YEAR.match(text, at) or card_at(text, at))):
+                return to
+        n += len(run.group())
+        if n > MAX_PHONE:
+            return to if n - len(run.group()) >= 7 else None
+        to = start + run.end()
+    return end
+
+
 def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, type, value) of every entity of a text, in order."""
     to = run = 0
     while m := ENTITY.search(text, to):
         kind = m.lastgroup if m.lastgroup != "title" else "name"
         if kind == "card":
-            card = card_at(text, m, m.start() >= run)
+            card = card_at(text, m.start(), m if m.start() >= run else None)
             if card is None:
                 # a card may begin at a later number of the same run
                 to, run = m.start() + 1, max(run, m.end())
                 continue
             m = card
+        elif kind == "phone" and m.group()[0] == "+":
+            end = phone_end(text, m.start(), m.end())
+            if end is None:
+                to = m.start() + 1
+                continue
+            to = end
+            yield m.start(), end, kind, text[m.start() : end]
+            continue
         to = m.end()
         value, at = m.group(kind), m.start(kind)
         if kind != "name":

@@ -39,6 +39,17 @@ def test_a_card_ends_before_an_address():
     assert found("988-555-2485 2024 and 1234-5678") == [("phone", "988-555-2485")]
 
 
+@pytest.mark.parametrize("phone", ["+1 (826) 555-4081", "+1 826 555 4081", "+1-826-555-4081", "+44 20 7946 0958", "+49 30 901820"])
+def test_a_phone_ends_before_the_next_number(phone):
+    for kind, other in (("ip", "190.137.223.45"), ("ip", "10.0.0.1"), ("phone", "988-555-2485"), ("phone", "(988) 555-2485"), ("phone", phone), ("ssn", "123-45-6789"), ("card", "4111 1111 1111 1111")):
+        assert found(f"{phone} {other}") == [("phone", phone), (kind, other)]
+    if phone != "+49 30 901820":  # else too short to tell
+        new = pii.rewrite(f"{phone} 2024 x", b"k", {}, {})
+        assert found(f"{phone} 2024 x") == [("phone", phone)] and new.endswith(" 2024 x")
+    assert found("+4420794609581234") != [("phone", "+4420794609581234")]  # 16 digits
+    assert found("+1 (826) 555-4081") == found("+1 (826) 555-4081.") == [("phone", "+1 (826) 555-4081")]
+
+
 @pytest.mark.parametrize("radices", [[10], [10, 10], [26, 26, 10], [254, 3], [2, 3, 5, 7]])
 def test_permutation(radices):
     everything = list(itertools.product(*map(range, radices)))
