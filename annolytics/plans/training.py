@@ -250,7 +250,9 @@ def q_bias_job(spark, sf_dir):
 @query("features_train_job")
 def q_features_train_job(spark, sf_dir):
     """Features -> standardise -> weights -> LR / RF / GBT / ridge ->
-    evaluation per model and split."""
+    cross-validation (M5, the three classifiers) -> evaluation per model and
+    split.  Rows of split ``cross_validation`` hold mean and standard
+    deviation of the folds' accuracies."""
     train, test = model_data(spark, sf_dir)
     out = None
     for name, est in _candidates().items():
@@ -259,25 +261,64 @@ def q_features_train_job(spark, sf_dir):
         out = r if out is None else out.unionByName(r)
     ridge = M.ridge_regression(train)
     rp = [("train", M.ridge_predict(ridge, train).drop("score")), ("test", M.ridge_predict(ridge, test).drop("score"))]
-    return out.unionByName(_report(rp).withColumn("model", F.lit("ridge")))
+    out = out.unionByName(_report(rp).withColumn("model", F.lit("ridge")))
+    n = train.count()
+    folds = [("cross_validation", n, r["mean_accuracy"], r["std_accuracy"], name) for name, r in _cv_all(train).items()]
+    cv = spark.createDataFrame(folds, "split string, n long, accuracy double, std_accuracy double, model string")
+    return out.unionByName(cv.withColumns({c: F.round(c, 6) for c in ("accuracy", "std_accuracy")}), allowMissingColumns=True)
+
+
+def _evaluated(s, weights, splits=("validation", "test")):
+    """E1-E13, one row per split, of (true_label, predicted_label, p1..p5,
+    split); ``weights`` are the (label, weight) rows of the training set."""
+    ps = [f"p{i}" for i in range(1, 6)]
+    # log-probabilities are logits; the expected class is the score
+    s = s.withColumns({f"z{i + 1}": F.log(F.greatest(F.col(p), F.lit(1e-300))) for i, p in enumerate(ps)})
+    s = s.withColumn("score", sum((F.lit(i + 1) * F.col(p) for i, p in enumerate(ps)), F.lit(0.0)))
+    recall = E.per_class_recall(s, splits)
+    recall = recall.agg(F.sort_array(F.collect_list(F.struct("label", *[f"recall_{x}" for x in splits]))).alias("recall_by_split"))
+
+    def rows(df, name):
+        cells = F.struct(*[c for c in df.columns if c != "split"])
+        return df.groupBy("split").agg(F.sort_array(F.collect_list(cells)).alias(name))
+
+    reg = E.regression_report(s).drop("n")
+    parts = [
+        E.exact_accuracy(s).drop("n"),
+        E.f1_averages(s).drop("accuracy"),
+        E.quadratic_weighted_kappa(s).drop("n"),
+        E.mean_absolute_error(s).drop("n"),
+        E.mean_squared_error(s).drop("n"),
+        E.weighted_cross_entropy(s, weights=weights).drop("n"),
+        E.focal_loss(s, weights=weights).drop("n"),
+        E.evaluation_summary(s, weights=weights).select("split", "loss"),
+        reg.select("split", *[F.col(c).alias(f"regression_{c}") for c in reg.columns if c != "split"]),
+        rows(E.confusion_matrix(s), "confusion_matrix"),
+        rows(E.classification_report(s), "classification_report"),
+    ]
+    out = E.within_k_accuracy(s)
+    for p in parts:
+        out = out.join(p, "split")
+    return out.crossJoin(F.broadcast(recall))  # one row
 
 
 @query("score_evaluate_job")
 def q_score_evaluate_job(spark, sf_dir):
-    """Fit on the training rows, score the hold-out texts in batches
-    (I3 -> I1 -> I2), summarise the predictions (I4) and evaluate them
-    against the annotators' labels (E1, E2, E5, E7, E8): one row."""
+    """Fit on four of the five training folds, score the fifth
+    (validation) and the hold-out texts (test) in batches (I3 -> I1 -> I2),
+    summarise the predictions (I4) and evaluate them against the annotators'
+    labels (E1-E13): one row per split.  Features are standardised by all
+    training rows, as in M5."""
     train, test = model_data(spark, sf_dir)
-    model = M.logistic_regression(train.count()).fit(train)
-    s = _scored(model, test, KEEP).withColumn("true_label", F.col("label_numeric"))
-    summary = S.prediction_summary(s).withColumn("_k", F.lit(1))
-    ev = s.withColumn("split", F.lit("test"))
-    metrics = (
-        E.within_k_accuracy(ev)
-        .join(E.exact_accuracy(ev).drop("n"), "split")
-        .join(E.f1_averages(ev).select("split", "macro_f1", "weighted_f1"), "split")
-        .join(E.quadratic_weighted_kappa(ev).drop("n"), "split")
-        .join(E.mean_absolute_error(ev, score=None).drop("n"), "split")
-        .withColumn("_k", F.lit(1))
-    )
-    return summary.join(metrics, "_k").drop("_k", "split")
+    fit = train.filter("fold <> 0")
+    weights = W.class_weights(fit).select("label", "weight")
+    rows = fit.drop("weight").join(F.broadcast(weights.withColumnRenamed("label", "label_numeric")), "label_numeric")
+    model = M.logistic_regression(fit.count()).fit(rows)
+    s = _scored(model, train.filter("fold = 0"), KEEP).withColumn("split", F.lit("validation"))
+    s = s.unionByName(_scored(model, test, KEEP).withColumn("split", F.lit("test")))
+    s = cut_lineage(s.withColumn("true_label", F.col("label_numeric")))
+    summary = None
+    for name in ("validation", "test"):
+        one = S.prediction_summary(s.filter(F.col("split") == name)).withColumn("split", F.lit(name))
+        summary = one if summary is None else summary.unionByName(one)
+    return summary.join(_evaluated(s, weights), "split")
