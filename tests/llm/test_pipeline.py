@@ -36,6 +36,16 @@ def test_stages_on_odd_rows(spark, sf_dir, docs_of):
         assert stage(spark, empty, sf_dir).count() == 0
 
 
+def test_one_id_with_different_texts(spark, sf_dir, docs_of):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a, "en", "s"), (3, a + " end", "en", "s"), (3, b, "en", "t"), (3, b, "de", "t"), (3, b, "en", "s"), (3, c, "en", "s"), (5, c + " end", "en", "s"), (None, a, "en", "s"), (7, None, "en", "s"), (7, None, "en", "s")]
+    for some in (rows, rows[::-1]):
+        got = P.drop_near_duplicates(spark, docs_of(some), sf_dir)
+        assert got.columns == docs_of(some).columns
+        left = sorted(((r["doc_id"], r["text"], r["lang"], r["source"]) for r in got.collect()), key=str)
+        assert left == sorted([(1, a, "en", "s"), (3, b, "de", "t"), (3, c, "en", "s"), (None, a, "en", "s"), (7, None, "en", "s")], key=str)
+
+
 def test_one_query_per_operator():
     assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 11))
     assert set(SQL) <= set(QUERIES)
