@@ -269,15 +269,30 @@ def search(index: DataFrame, queries: DataFrame, k: int, block_rows: int = BLOCK
     )
 
 
+#: Parts into which the copies of one vector are dealt.
+SALTS = 64
+
+
+def smallest_ids(rows: DataFrame, n: int) -> DataFrame:
+    """(id, v, class, place): the ``n`` smallest ids of every vector, numbered,
+    and the smallest as its class.  Each of ``SALTS`` parts of a class is cut
+    first, by a limit that also holds before the shuffle, so that no task sees
+    more of a class than one part, or the survivors of all."""
+    part = Window.partitionBy("v", "salt").orderBy("id")
+    cut = rows.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"))
+    cut = cut.withColumn("nth", F.row_number().over(part)).filter(F.col("nth") <= n).select("id", "v")
+    w = Window.partitionBy("v").orderBy("id")
+    members = cut.select("id", "v", F.first("id").over(w).alias("class"), F.row_number().over(w).alias("place"))
+    return members.filter(F.col("place") <= n)
+
+
 def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest other rows found for
     each row of ``df`` that ``is_query`` selects."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), is_query.alias("q"))
     rows = rows.filter(F.col("id").isNotNull() & usable(F.col("v")))
     # the k + 1 smallest ids of every class of equal vectors
-    w = Window.partitionBy("v").orderBy("id")
-    members = rows.select("id", "v", F.first("id").over(w).alias("class"), F.row_number().over(w).alias("place"))
-    members = materialize(members.filter(F.col("place") <= k + 1), "ann-members")
+    members = materialize(smallest_ids(rows, k + 1), "ann-members")
     index = materialize(build_index(members.filter("place = 1").select("id", "v")), "ann-index")
     found = materialize(search(index, rows.filter(F.coalesce("q", F.lit(False))).select("id", "v").distinct(), k + 1), "ann-found")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -60,3 +62,13 @@ def test_pruning_keeps_diverse_edges():
     x = np.array([[0, 0], [1, 0], [1.05, 0], [0, 1], [-1, 0]], np.float32)
     out = G.robust_prune(x, np.array([0]), np.array([[1, 2, 3, 4, -1, 1]], np.int32), 4, 1.2)
     assert set(out[0]) == {1, 3, 4, -1}
+
+
+def test_copies_of_one_vector_are_cut_before_they_meet(spark):
+    rows = [(i, [1.0, 0.0] if i % 3 else [float(i), 1.0]) for i in range(3000)]
+    got = G.smallest_ids(spark.createDataFrame(rows, "id long, v array<double>"), 5)
+    out = got.collect()
+    assert sorted((r["place"], r["id"], r["class"]) for r in out if r["v"] == [1.0, 0.0]) == [(1, 1, 1), (2, 2, 1), (3, 4, 1), (4, 5, 1), (5, 7, 1)]
+    assert len(out) == 1005
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and re.search(r"hashpartitioning\(.*salt", plan)
