@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annolytics.llm import chat_format, hyperminhash, mixing, pii, quality_rules, sentencepiece_codec, toxicity, url_filter, vector_graph, warc_revisits
+from annolytics.llm import chat_format, hyperminhash, mixing, pii, quality_rules, sentencepiece_codec, source_divergence, toxicity, url_filter, vector_graph, warc_revisits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -325,3 +325,46 @@ def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = warc_revisits.resolve_revisits(page_records(spark, sf_dir))
     lines = F.transform(F.sort_array(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
     return out.withColumn("headers", F.array_join(lines, "\n"))
+
+
+# --- 13 source divergence audit -----------------------------------------------------------
+
+
+@query(
+    "op13_source_divergence",
+    r"""
+WITH d AS (
+  SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+w AS (SELECT n, lang, source, unnest(terms) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS cnt FROM w GROUP BY lang, term HAVING count(DISTINCT n) >= 30),
+l AS (SELECT lang, count(*) AS v, CAST(sum(cnt) AS BIGINT) AS total FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS cnt FROM w SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+t AS (SELECT lang, source, CAST(sum(cnt) AS BIGINT) AS total FROM c GROUP BY lang, source),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.cnt, 0) AS cnt,
+         1 + (1000000000::HUGEINT * (coalesce(c.cnt, 0) + 5)) // (coalesce(t.total, 0) + 5 * l.v) AS p,
+         1 + (1000000000::HUGEINT * (k.cnt + 5)) // (l.total + 5 * l.v) AS q
+  FROM g JOIN k USING (lang) JOIN l USING (lang)
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+  LEFT JOIN t ON t.lang = g.lang AND t.source = g.source),
+f AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE cnt > 0 AND p > q)
+SELECT lang, source, part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 50
+""",
+)
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (lang, source) group's peers by distance and its overused terms."""
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
