@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annolytics.llm import chat_format, hyperminhash, mixing, pii, quality_rules, sentencepiece_codec, source_divergence, toxicity, url_filter, vector_graph, warc_revisits
+from annolytics.llm import chat_format, hyperminhash, mixing, pii, prefix_trie, quality_rules, sentencepiece_codec, source_divergence, suffix_merge, toxicity, url_filter, vector_graph, warc_revisits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -327,6 +327,73 @@ def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("headers", F.array_join(lines, "\n"))
 
 
+# --- 11 suffix-array dedup ------------------------------------------------------------------
+
+
+@query("op11_suffix_merge")
+def op11_suffix_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of earlier documents."""
+    out = suffix_merge.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return out.select(
+        "doc_id",
+        F.octet_length("text").cast("long").alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+# --- 12 conversation prefix trie -----------------------------------------------------------
+
+
+@query(
+    "op12_prefix_trie",
+    """
+WITH o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+           lambda a, b: list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+             lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295::BIGINT) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM o)),
+n AS (SELECT c.*, least(h, (SELECT count(*) FROM o WHERE o.conv_id = c.base)) AS taken FROM c),
+s AS (
+  SELECT n.conv_id, o.place AS depth, o.role, o.text FROM n JOIN o ON o.conv_id = n.base AND o.place <= n.h
+  UNION ALL SELECT n.conv_id, o.place - n.h + n.taken, o.role, o.text FROM n JOIN o ON o.conv_id = n.conv_id AND o.place > n.h
+  UNION ALL SELECT conv_id, 0, '', '' FROM n),
+q AS (
+  SELECT conv_id, depth, length(text) AS chars,
+         list({'r': role, 't': text}) OVER (PARTITION BY conv_id ORDER BY depth) AS prefix,
+         lead(depth) OVER (PARTITION BY conv_id ORDER BY depth) IS NULL AS last
+  FROM s),
+k AS (
+  SELECT depth, prefix, min(conv_id) AS rep, count(*) AS n_convs, min(chars) AS chars,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM q GROUP BY depth, prefix),
+p AS (SELECT q.conv_id, q.depth, k.rep FROM q JOIN k ON q.depth = k.depth AND q.prefix = k.prefix),
+m AS (
+  SELECT k.rep, k.depth, k.n_convs, k.chars, k.ends_sha256, p.rep AS parent
+  FROM k LEFT JOIN p ON p.conv_id = k.rep AND p.depth = k.depth - 1),
+e AS (
+  SELECT m.*, (SELECT count(*) FROM m x WHERE x.parent = m.rep AND x.depth = m.depth + 1) AS n_children FROM m),
+t AS (
+  SELECT p.rep, p.depth, CAST(sum(CASE WHEN e.n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+         CAST(sum((e.n_convs - 1) * e.chars) AS BIGINT) AS saved_tokens
+  FROM e JOIN p ON p.conv_id = e.rep AND p.depth <= e.depth GROUP BY p.rep, p.depth)
+SELECT e.rep AS conv_id, e.depth, e.parent AS parent_conv_id, e.n_convs, e.n_children, t.n_leaves, t.saved_tokens, e.ends_sha256
+FROM e JOIN t ON e.rep = t.rep AND e.depth = t.depth
+""",
+)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all rebuilt conversations."""
+    turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.build_trie(prefix_trie.rebuilt(turns))
+
+
 # --- 13 source divergence audit -----------------------------------------------------------
 
 
