@@ -59,6 +59,9 @@ BLOCK_POSTINGS = 250_000
 #: Distinct (group, term) entries a task counts before it hands them on.
 TASK_ENTRIES = 400_000
 
+#: Groups up to which their table is broadcast.
+BROADCAST_GROUPS = 100_000
+
 _FOLD = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)
 )
@@ -177,21 +180,24 @@ def audit(documents: DataFrame, min_docs: int = 30, top_terms: int = 50) -> Data
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_total"))
     totals = own.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("terms"))
     groups = counted.groupBy("lang", "source").agg(F.lit(True).alias("occurs")).drop("occurs")
-    groups = groups.join(totals, ["lang", "source"], "left").join(langs, "lang", "left").na.fill(0)
+    blocks = own.groupBy("lang").agg((F.count(F.lit(1)) / BLOCK_POSTINGS).cast("int").alias("more"))
+    groups = groups.join(totals, ["lang", "source"], "left").join(langs, "lang", "left").join(blocks, "lang", "left").na.fill(0)
     number = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     baseline = F.when(F.col("v") > 0, probability(F.lit(0).cast("long"), F.col("total"), F.col("v"))).otherwise(F.lit(0))
     groups = materialize(groups.withColumn("peer", number.cast("int")).withColumn("p0", baseline.cast("long")), "divergence-groups")
 
     p = probability(F.col("n"), F.col("total"), F.col("v"))
-    postings = own.join(groups.select("lang", "source", "total", "v", "lang_total", "peer", "p0"), ["lang", "source"]).withColumn("p", p)
+    of_group = groups.select("lang", "source", "total", "v", "lang_total", "peer", "p0", "more")
+    # one row a group; beyond the bound the join goes by (lang, source)
+    of_group = F.broadcast(of_group) if groups.count() <= BROADCAST_GROUPS else of_group
+    postings = own.join(of_group, ["lang", "source"]).withColumn("p", p)
 
     # part pair
-    blocks = own.groupBy("lang").agg((F.count(F.lit(1)) / BLOCK_POSTINGS).cast("int").alias("more"))
-    split = postings.join(blocks, "lang").withColumn("key", F.xxhash64("term"))
-    index = split.select("lang", F.pmod("key", F.col("more") + 1).cast("int").alias("block"), "term", "peer", "p", "p0")
+    block = F.pmod(F.xxhash64("term"), F.col("more") + 1).cast("int").alias("block")
+    index = postings.select("lang", block, "term", "peer", "p", "p0")
     # terms of a block are numbered by place after sorting, so the text itself travels once
     numbered = index.withColumn("term", F.dense_rank().over(Window.partitionBy("lang", "block").orderBy("term")).cast("long"))
-    heads = groups.filter("v > 0").join(blocks, "lang").select(
+    heads = groups.filter("v > 0").select(
         "lang", F.explode(F.sequence(F.lit(0), "more")).alias("block"), F.lit(-1).cast("long").alias("term"), "peer", F.lit(0).cast("long").alias("p"), "p0"
     )
     dense = numbered.unionByName(heads).groupBy("lang", "block").applyInArrow(_accumulate, "lang string, peer int, sums array<long>")
