@@ -107,6 +107,8 @@ def rollup(paths: DataFrame, own: DataFrame, values: list[str], height: int = HE
 
     ``paths`` (conv_id, depth, rep) has every prefix of every conversation from
     depth 0 on, ``own`` (rep, depth, values...) each node's own values."""
+    if height < 2:
+        raise ValueError("a band has at least two depths")
     band = F.floor(F.col("depth") / height).cast("long")
     above = Window.partitionBy("conv_id", "band").orderBy("depth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     chains = paths.select("conv_id", "depth", "rep").withColumn("band", band).withColumn("chain", F.collect_list("rep").over(above))

@@ -59,7 +59,7 @@ def corpus(seed, convs=150, longest=9):
     return rows + rows[:9]
 
 
-@pytest.mark.parametrize("height", [1, 2, 16])
+@pytest.mark.parametrize("height", [2, 3, 16])
 def test_against_brute_force(spark, height):
     check(spark, corpus(height), height)
 
@@ -79,3 +79,5 @@ def test_copies_and_many_ends(spark, monkeypatch):
 def test_odd_rows(spark):
     check(spark, [(None, 1, "user", "no conversation"), (5, None, None, None), (5, None, None, None), (100, 1, "a", "b" * 100000), (101, 1, "ab", ""), (102, 1, "a", "b")])
     check(spark, [])
+    with pytest.raises(ValueError):
+        T.rollup(spark.range(0), spark.range(0), [], height=1)
