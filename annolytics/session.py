@@ -8,9 +8,11 @@ overrides a value that is already set.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +32,10 @@ _DEFAULTS = {
 }
 
 
+#: Folder of the tables that ``materialize`` writes, if a job has set one.
+SCRATCH: ContextVar[str | None] = ContextVar("annolytics_scratch", default=None)
+
+
 def get_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
@@ -91,11 +97,30 @@ def materialize(df, name: str):
     plan), gives the optimiser the real size, and makes every later reader
     see the same rows."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    folder = SCRATCH.get() or f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables"
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished plans now.  Its cleaner
+    follows the driver's garbage collection, which a driver with little to do
+    runs rarely, so the files of one large step would still lie on the disks
+    beside those of the next."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def checked_broadcast(df, name: str, max_rows: int = 20_000):
+    """``df`` written once, and hinted for broadcast if it has at most
+    ``max_rows`` rows; a larger table is left to the join."""
+    from pyspark.sql import functions as F
+
+    table = materialize(df, name)
+    return F.broadcast(table) if table.count() <= max_rows else table
+
+
 def cut_lineage(df):
     """``materialize`` for expensive stages (duplicate resolution, text
     features) that several consumers (statistics, folds, fits) read."""
