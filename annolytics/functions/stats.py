@@ -68,7 +68,9 @@ def _with_running(df: DataFrame, value: str, weight: str, by: Sequence[str], out
     return r.withColumn(out, F.col("_off") + F.col("_run")).drop("_off", "_run", "_slice", "_by_slice", *[f"_by_{c}" for c in by])
 
 
-def quantiles_sorted(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+def quantiles_sorted(
+    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), weight: str | None = None
+) -> DataFrame:
     """Exact linearly interpolated quantiles (numpy/pandas default, DuckDB
     ``quantile_cont``) of ``value`` per group (null groups included), without
     holding a group in one task.
@@ -76,14 +78,16 @@ def quantiles_sorted(df: DataFrame, value: str, probs: Sequence[float], by: Sequ
     Plan: rows become (group, distinct value, count) before the shuffle; the
     running count over slices of the values tells which value holds a rank.
     Every step depends on the data alone, never on partition numbers or the
-    order of rows, so re-evaluated stages agree.  Returns (by..., q, p,
-    value) with q the index into ``probs``.
+    order of rows, so re-evaluated stages agree.  With ``weight`` a row
+    stands for that many equal ones (a table of distinct values and counts).
+    Returns (by..., q, p, value) with q the index into ``probs``.
     """
     by = list(by)
     probs = [float(p) for p in probs]
     v = F.col(value).cast("double")
-    base = df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    counts = base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    times = F.lit(1) if weight is None else F.col(weight)
+    base = df.select(*by, v.alias("_v"), times.cast("long").alias("_w")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    counts = base.groupBy(*by, "_v").agg(F.sum("_w").alias("_c")).filter("_c > 0")
     r = _with_running(counts, "_v", "_c", by, "_upto", "_n")
     parr = F.array(*[F.lit(p) for p in probs])
     # ranks from 0; a value with count c holds the ranks upto - c .. upto - 1

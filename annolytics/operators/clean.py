@@ -5,10 +5,11 @@ Every function maps DataFrames to DataFrames and stays lazy.
 
 Scale notes
 -----------
-* Duplicate resolution groups by the text with ``min_by`` aggregates, which
-  Spark combines map-side: a boilerplate text that makes up a third of the
-  table still sends one partial row per map task, never the whole group to
-  one reducer (a window over ``text`` would).
+* Everything per text is keyed by a fixed-width digest, and its aggregates
+  hold fixed-width numbers only, so Spark uses hash aggregates that combine
+  map-side: a boilerplate text that makes up a third of the table is reduced
+  to its distinct lead times before the shuffle, and no text is a sort or
+  shuffle key.
 * Annotator filters aggregate first (partial + final) and anti-join the small
   result.  No broadcast hint: AQE broadcasts the annotator table when its
   materialised size is under the threshold and otherwise keeps a sort-merge
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annolytics.session import materialize
@@ -189,24 +190,60 @@ def top_duplicates(df: DataFrame, k: int = 10, text: str = TEXT) -> DataFrame:
     return duplicate_groups(df, text).filter(F.col("n") > 1).orderBy(F.desc("n"), F.asc(text)).limit(k)
 
 
+def text_digest(text: str = TEXT) -> list[Column]:
+    """A text as two fixed-width numbers (120 bits of its MD5): the key of
+    everything that is counted per text, so that no text is shuffled, sorted
+    or compared."""
+    h = F.md5(F.col(text).cast("binary"))
+    return [F.conv(F.substring(h, 15 * i + 1, 15), 16, 10).cast("long").alias(f"_d{i}") for i in range(2)]
+
+
 def duplicate_label_variation(df: DataFrame, k: int | None = 10, text: str = TEXT) -> DataFrame:
-    """Per repeated text: label count/mean/std/min/max and annotators."""
-    g = (
-        df.filter(F.col(text).isNotNull())
-        .groupBy(text)
+    """Per repeated text: label count/mean/std/min/max and annotators.
+
+    Counted per (digest, annotator), then per digest; only texts that repeat
+    are read again for the report."""
+    d = ["_d0", "_d1"]
+    known = df.filter(F.col(text).isNotNull())
+    x = F.col(LABEL).cast("double")
+    by_annotator = (
+        known.select(*text_digest(text), F.xxhash64(ANNOTATOR).alias("_a"), F.col(ANNOTATOR).isNotNull().alias("_known"), LABEL)
+        .groupBy(*d, "_a", "_known")
         .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.count(LABEL).alias("n_labels"),
-            F.round(F.avg(LABEL), 6).alias("mean_label"),
-            F.round(F.stddev_samp(LABEL), 6).alias("std_label"),
-            F.min(LABEL).alias("min_label"),
-            F.max(LABEL).alias("max_label"),
-            F.countDistinct(ANNOTATOR).alias("n_annotators"),
+            F.count(F.lit(1)).alias("_n"),
+            F.count(LABEL).alias("_nl"),
+            F.sum(x).alias("_s"),
+            F.sum(x * x).alias("_ss"),
+            F.min(LABEL).alias("_mn"),
+            F.max(LABEL).alias("_mx"),
         )
-        .filter(F.col("n_rows") > 1)
     )
-    g = g.orderBy(F.desc("n_labels"), F.asc(text))
-    return g.limit(k) if k else g
+    g = by_annotator.groupBy(*d).agg(
+        F.sum("_n").alias("n_rows"),
+        F.sum("_nl").alias("n_labels"),
+        F.sum("_s").alias("_s"),
+        F.sum("_ss").alias("_ss"),
+        F.min("_mn").alias("min_label"),
+        F.max("_mx").alias("max_label"),
+        F.count_if("_known").alias("n_annotators"),
+    )
+    g = g.filter(F.col("n_rows") > 1)
+    n = F.col("n_labels")
+    # labels are small whole numbers, so both sums are exact
+    var = F.try_divide(F.col("_ss") - F.try_divide(F.col("_s") * F.col("_s"), n), F.when(n > 1, n - 1))
+    texts = known.select(*text_digest(text), text).join(g.select(*d), d, "left_semi").groupBy(*d).agg(F.min(text).alias(text))
+    out = g.join(texts, d).select(
+        text,
+        "n_rows",
+        "n_labels",
+        F.round(F.try_divide(F.col("_s"), n), 6).alias("mean_label"),
+        F.round(F.sqrt(F.greatest(var, F.lit(0.0))), 6).alias("std_label"),
+        "min_label",
+        "max_label",
+        "n_annotators",
+    )
+    out = out.orderBy(F.desc("n_labels"), F.asc(text))
+    return out.limit(k) if k else out
 
 
 def resolve_duplicates(
@@ -222,31 +259,46 @@ def resolve_duplicates(
     * group of 2 with equal (non-NULL) labels -> the first row;
     * otherwise -> the row with the largest lead time (NULL lowest), ties to
       the first row.
-    "First" is the smallest ``order_key``.  NULL texts are dropped.
-
-    Written as one grouped aggregate: the two candidate rows are kept by
-    ``min_by`` (partial aggregation, constant memory per group), so a text
-    repeated millions of times costs one small buffer per map task.
-    """
-    others = [c for c in df.columns if c != text]
-    row = F.struct(*[F.col(c) for c in others])
-    seq = F.struct(*[F.col(c) for c in order_key])
-    neg_lead = -F.coalesce(F.col(lead).cast("double"), F.lit(-1.0e308))
-    g = (
-        df.filter(F.col(text).isNotNull())
-        .groupBy(text)
+    "First" is the smallest ``order_key``.  NULL texts are dropped; rows that
+    agree in text and order key count as two, and the one with the smaller
+    checksum of its columns stays.
+
+    The choice is made on fixed-width numbers: (digest, lead time) with the
+    smallest order key first, where every lead time is then unique for its
+    text, so the row with the largest one is a plain ``max_by``.  With one
+    numeric key both aggregates are hash aggregates that combine before each
+    shuffle, and a text repeated millions of times is spread by lead time.
+    Whole rows move once, to the join with the chosen (digest, key)."""
+    d = ["_d0", "_d1"]
+    key = F.col(order_key[0]) if len(order_key) == 1 else F.struct(*order_key)
+    known = df.filter(F.col(text).isNotNull())
+    x = F.col(lead).cast("double")
+    low = F.lit(-1.0e308)
+    by_lead = (
+        known.select(*text_digest(text), F.coalesce(F.when(~F.isnan(x), x), low).alias("_lead"), F.col(label).alias("_label"), key.alias("_key"))
+        .groupBy(*d, "_lead")
         .agg(
-            F.count(F.lit(1)).alias("_cnt"),
-            F.count(label).alias("_nl"),
-            F.min(label).alias("_mn"),
-            F.max(label).alias("_mx"),
-            F.min_by(row, seq).alias("_first"),
-            F.min_by(row, F.struct(neg_lead.alias("l"), seq.alias("s"))).alias("_best"),
+            F.count(F.lit(1)).alias("_n"),
+            F.count("_label").alias("_nl"),
+            F.min("_label").alias("_mn"),
+            F.max("_label").alias("_mx"),
+            F.min("_key").alias("_key"),
         )
     )
-    agree = (F.col("_cnt") == 2) & (F.col("_nl") == 2) & (F.col("_mn") == F.col("_mx"))
-    kept = g.select(text, F.when(agree, F.col("_first")).otherwise(F.col("_best")).alias("_r"))
-    return kept.select(*[F.col(text) if c == text else F.col(f"_r.{c}").alias(c) for c in df.columns])
+    chosen = by_lead.groupBy(*d).agg(
+        F.sum("_n").alias("_n"),
+        F.sum("_nl").alias("_nl"),
+        F.min("_mn").alias("_mn"),
+        F.max("_mx").alias("_mx"),
+        F.min("_key").alias("_first"),
+        F.max_by("_key", "_lead").alias("_best"),
+    )
+    agree = (F.col("_n") == 2) & (F.col("_nl") == 2) & (F.col("_mn") == F.col("_mx"))
+    chosen = chosen.select(*d, F.when(agree, F.col("_first")).otherwise(F.col("_best")).alias("_key"))
+    rows = known.select("*", *text_digest(text), key.alias("_key")).join(chosen, [*d, "_key"], "left_semi")
+    # rows that share text and key; groups of one otherwise
+    one = Window.partitionBy(*d, "_key").orderBy(F.xxhash64(*df.columns))
+    return rows.withColumn("_one", F.row_number().over(one)).filter("_one = 1").select(*df.columns)
 
 
 # --- annotator quality --------------------------------------------------------

@@ -9,12 +9,15 @@ distinct values), never over raw rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from annolytics.functions.stats import grouped_stats, quantiles_sorted, ratio, running_sum_sorted
 from annolytics.operators.clean import ANNOTATOR, LABEL, LEAD, SOURCE, TEXT
+from annolytics.session import checked_broadcast, materialize
 
 LENGTH_PERCENTILES = (1, 5, 10, 25, 50, 75, 90, 95, 99)
 LEAD_PERCENTILES = (5, 10, 25, 50, 75, 90, 95, 99)
@@ -254,14 +257,27 @@ def missing_values(df: DataFrame) -> DataFrame:
 
 def annotator_vs_overall(df: DataFrame, annotator: str, label: str = LABEL, lead: str = LEAD, k: int = 5) -> DataFrame:
     """One annotator next to the whole data set: lead mean/median and
-    label shares (%, non-NULL labels), from one flagged pass."""
-    scoped = df.withColumn("scope", F.lit("overall")).unionByName(
-        df.filter(F.col(ANNOTATOR) == annotator).withColumn("scope", F.lit(annotator))
+    label shares (%, non-NULL labels).
+
+    One scan: rows become distinct lead times, each with a vector of counts
+    (rows, labelled rows and rows per label, of everybody and of the
+    annotator).  Means, shares and medians of both scopes follow from that
+    table.  An annotator without rows has no row in the result."""
+    scopes = [("overall", F.lit(True)), (annotator, F.coalesce(F.col(ANNOTATOR) == annotator, F.lit(False)))]
+    measures = ["n", "nl", *[f"n{c}" for c in range(1, k + 1)]]
+    tests = [F.lit(True), F.col(label).isNotNull(), *[F.coalesce(F.col(label) == c, F.lit(False)) for c in range(1, k + 1)]]
+    counted = [F.count_if(mine & test).alias(f"_{i}_{m}") for i, (_, mine) in enumerate(scopes) for m, test in zip(measures, tests)]
+    table = materialize(df.groupBy(F.col(lead).cast("double").alias("_v")).agg(*counted), "lead-counts")
+    cells = [c for i, (name, _) in enumerate(scopes) for c in (F.lit(name), *[F.col(f"_{i}_{m}") for m in measures])]
+    long = table.select("_v", F.stack(F.lit(len(scopes)), *cells).alias("scope", *measures)).filter("n > 0")
+    timed = F.when(F.col("_v").isNotNull(), F.col("n"))
+    s = long.groupBy("scope").agg(
+        F.sum("n").alias("n_rows"),
+        F.try_divide(F.sum(F.col("_v") * F.col("n")), F.sum(timed)).alias("mean_lead_time"),
+        *[F.sum(m).alias(f"_{m}") for m in measures[1:]],
     )
-    aggs = [F.count(F.lit(1)).alias("n_rows"), F.avg(lead).alias("mean_lead_time"), F.count(label).alias("_nl")]
-    aggs += [F.count_if(F.col(label) == c).alias(f"_n{c}") for c in range(1, k + 1)]
-    s = grouped_stats(scoped, ["scope"], aggs, [(lead, 0.5, "median_lead_time")])
-    return s.select(
+    median = quantiles_sorted(long, "_v", [0.5], ["scope"], weight="n").select("scope", F.col("value").alias("median_lead_time"))
+    return s.join(median, "scope", "left").select(
         "scope",
         "n_rows",
         F.round("mean_lead_time", 6).alias("mean_lead_time"),
@@ -290,20 +306,20 @@ def histogram(
     if not by:
         d = d.withColumn("_k", F.lit(1))
     # One scan of the input: reduce to (group, distinct value, count) with a
-    # partial aggregate; ranges and bins are then computed on that table,
-    # whose shuffle Spark reuses for both consumers.
-    d = d.groupBy(*key, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # partial aggregate; ranges and bins are then computed on that table.
+    d = materialize(d.groupBy(*key, "_v").agg(F.count(F.lit(1)).alias("_c")), "value-counts")
     rng = d.groupBy(*key).agg(F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
     rng = rng.select(
         *key,
         F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
         F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_hi"),
     )
+    # one row a group: broadcast behind a check of its size, so that a few
+    # groups do not become as many tasks
+    rng = checked_broadcast(rng, "value-ranges")
     w = (F.col("_hi") - F.col("_lo")) / bins
     b = F.least(F.lit(bins - 1), F.floor((F.col("_v") - F.col("_lo")) / w).cast("int"))
-    # Global: the range is one row (broadcast, size proven).  Per group: one
-    # row per group, AQE broadcasts it when it is small.
-    counts = d.join(F.broadcast(rng) if not by else rng, key).groupBy(*key, b.alias("bin")).agg(F.sum("_c").alias("n"))
+    counts = d.join(rng, key).groupBy(*key, b.alias("bin")).agg(F.sum("_c").alias("n"))
     grid = rng.select(*key, "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     out = grid.join(counts, [*key, "bin"], "left").select(
         *key,
@@ -317,23 +333,29 @@ def histogram(
 
 def box_stats(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """q1, median, q3, whiskers (furthest data within 1.5 IQR) and the
-    number of outliers, overall or per group."""
+    number of outliers, overall or per group.
+
+    One scan: rows become (group, distinct value, count); quartiles, whiskers
+    and outliers all come from that table, raw rows are never joined."""
     by = list(by)
     key = by if by else ["_k"]
     d = df.filter(F.col(value).isNotNull())
     if not by:
         d = d.withColumn("_k", F.lit(1))
-    q = grouped_stats(
-        d, key, [F.count(F.lit(1)).alias("n")], [(value, 0.25, "q1"), (value, 0.5, "median"), (value, 0.75, "q3")]
-    )
+    d = materialize(d.groupBy(*key, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c")), "value-counts")
+    names = ["q1", "median", "q3"]
+    q = quantiles_sorted(d, "_v", [0.25, 0.5, 0.75], key, weight="_c")
+    q = q.groupBy(*key).agg(*[F.max(F.when(F.col("q") == i, F.col("value"))).alias(a) for i, a in enumerate(names)])
     iqr = F.col("q3") - F.col("q1")
-    q = q.select(*key, "n", "q1", "median", "q3", (F.col("q1") - 1.5 * iqr).alias("_lf"), (F.col("q3") + 1.5 * iqr).alias("_uf"))
-    v = F.col(value)
+    q = q.select(*[F.col(c).alias(f"_q_{c}") for c in key], *names, (F.col("q1") - 1.5 * iqr).alias("_lf"), (F.col("q3") + 1.5 * iqr).alias("_uf"))
+    v = F.col("_v")
     inside = (v >= F.col("_lf")) & (v <= F.col("_uf"))
-    w = d.join(F.broadcast(q) if not by else q, key).groupBy(*key, "n", "q1", "median", "q3").agg(
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_q_{c}")) for c in key])
+    w = d.join(checked_broadcast(q, "quartiles"), same).groupBy(*key, *names).agg(
+        F.sum("_c").alias("n"),
         F.min(F.when(inside, v)).alias("whisker_low"),
         F.max(F.when(inside, v)).alias("whisker_high"),
-        F.count_if(~inside).alias("n_outliers"),
+        F.coalesce(F.sum(F.when(~inside, F.col("_c"))), F.lit(0)).alias("n_outliers"),
     )
     out = w.select(
         *key,

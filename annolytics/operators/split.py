@@ -116,31 +116,26 @@ def capped_class_sample(
 def balanced_resample(
     df: DataFrame, key: str, label: str = "label_numeric", n: int | None = None, seed: int = SEED
 ) -> DataFrame:
-    """Draw rows with replacement, probability proportional to 1/n_c.
-
-    Every row is repeated a Poisson number of times with the mean
-    n / (k * n_c), so each class gets an expected n / k rows.  The number
-    comes from a seeded digest of the row's key (the inverse of the Poisson
-    distribution at a uniform number), in one pass and independent of
-    partitioning: the same seed gives the same sample."""
-    c = class_counts(df, label)
-    everything = Window.partitionBy()
-    total = F.lit(n).cast("long") if n is not None else F.sum("n_c").over(everything)
-    # one row per class
-    mean = c.select(label, (total / (F.count(F.lit(1)).over(everything) * F.col("n_c"))).cast("double").alias("_mean"))
-    d = df.join(F.broadcast(mean), label)
-    u = F.conv(F.substring(hash_order(seed, F.col(key)), 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
-    # steps of the distribution function until it passes u
-    cap = F.ceil(F.col("_mean") + 12.0 * F.sqrt("_mean") + 24.0).cast("int")
-    draw = F.aggregate(
-        F.sequence(F.lit(1), cap),
-        F.struct(F.exp(-F.col("_mean")).alias("p"), F.exp(-F.col("_mean")).alias("upto"), F.lit(0).alias("k")),
-        lambda acc, i: F.struct(
-            (acc["p"] * F.col("_mean") / i).alias("p"),
-            (acc["upto"] + acc["p"] * F.col("_mean") / i).alias("upto"),
-            F.when(F.col("_u") >= acc["upto"], i).otherwise(acc["k"]).alias("k"),
-        ),
-        lambda acc: acc["k"],
-    )
-    d = d.withColumn("_u", u).withColumn("_times", draw)
-    return d.select(*df.columns, F.explode(F.array_repeat(F.lit(0), F.col("_times"))).alias("_copy")).select(*df.columns)
+    """Exactly ``n`` draws with replacement (default: as many as there are
+    labelled rows), a row's probability proportional to 1/n_c.
+
+    Row weights sum to 1 in every class, so the prefix sums of the weights
+    cut [0, k) into one unit interval a class, and inside it into n_c equal
+    steps, one a row in the seeded order of W1.  Draw i is a seeded uniform
+    number on [0, k): its whole part picks the class, the rest the rank, and
+    an equi-join on (class, rank) finds the row.  The sample depends on seed,
+    n and keys alone, never on partitions."""
+    counts = class_counts(df, label).orderBy(label).collect()  # one row a class
+    draws = n if n is not None else sum(r["n_c"] for r in counts)
+    if not counts:
+        return df.limit(0)
+    spark = df.sparkSession
+    digits = hash_order(seed, F.concat(F.lit("draw|"), F.col("id").cast("string")))
+    u = F.conv(F.substring(digits, 1, 13), 16, 10).cast("double") / F.lit(float(16**13)) * len(counts)
+    number = spark.range(draws).select(u.alias("_u")).withColumn("_class", F.floor("_u").cast("int"))
+    sizes = F.array(*[F.lit(r["n_c"]).cast("long") for r in counts])
+    place = F.floor((F.col("_u") - F.col("_class")) * F.get(sizes, F.col("_class"))).cast("long") + 1
+    names = F.array(*[F.lit(r[label]) for r in counts])
+    drawn = number.select(F.get(names, F.col("_class")).alias("_label"), place.alias("_rank"))
+    ranked = _ranked(df, key, label, seed)
+    return ranked.join(drawn, (ranked[label] == F.col("_label")) & (ranked["rank"] == F.col("_rank"))).select(*[ranked[c] for c in df.columns])

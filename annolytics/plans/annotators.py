@@ -165,17 +165,17 @@ def q_inverse_frequency_weights(spark, sf_dir):
 @query(
     "balanced_resample",
     CLEAN + D + """,
-m AS (SELECT label_numeric, count(*) AS n_c,
-             CAST((SELECT count(*) FROM d) AS DOUBLE) / ((SELECT count(DISTINCT label_numeric) FROM d) * count(*)) AS mean
-      FROM d GROUP BY 1),
-p AS (SELECT label_numeric, sum(exp(k * ln(mean) - mean - lgamma(k + 1))) OVER (PARTITION BY label_numeric ORDER BY k) AS upto
-      FROM m, range(0, 200) r(k)),
-u AS (SELECT annotation_id, label_numeric,
-             CAST('0x' || substr(md5(concat('42', '|', CAST(annotation_id AS VARCHAR))), 1, 13) AS BIGINT) / 4503599627370496.0E0 AS u
-      FROM d),
-t AS (SELECT annotation_id, u.label_numeric, count(*) AS times
-      FROM u JOIN p ON p.label_numeric = u.label_numeric AND u.u >= p.upto GROUP BY 1, 2)
-SELECT annotation_id, label_numeric FROM (SELECT *, unnest(range(times)) FROM t)""",
+c AS (SELECT label_numeric, count(*) AS n_c, row_number() OVER (ORDER BY label_numeric) - 1 AS class FROM d GROUP BY 1),
+rk AS (SELECT annotation_id, label_numeric,
+              row_number() OVER (PARTITION BY label_numeric
+                                 ORDER BY md5(concat('42', '|', CAST(annotation_id AS VARCHAR)))) AS rk
+       FROM d),
+u AS (SELECT CAST('0x' || substr(md5(concat('42', '|', 'draw|', CAST(i AS VARCHAR))), 1, 13) AS BIGINT) / 4503599627370496.0E0
+             * (SELECT count(*) FROM c) AS u
+      FROM range(0, (SELECT count(*) FROM d)) r(i))
+SELECT rk.annotation_id, rk.label_numeric
+FROM u JOIN c ON c.class = CAST(floor(u.u) AS BIGINT)
+JOIN rk ON rk.label_numeric = c.label_numeric AND rk.rk = CAST(floor((u.u - floor(u.u)) * c.n_c) AS BIGINT) + 1""",
 )
 def q_balanced_resample(spark, sf_dir):
     s = W.balanced_resample(_train(spark, sf_dir), key="annotation_id")
