@@ -13,6 +13,9 @@ Character classes mirror Python's ``str`` semantics:
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,8 +49,6 @@ SENTENCE_SPLIT = f"[.!?][{WS}]+|\\n+"
 NOT_WORD_BEFORE = f"(?<![{WORD_CHAR}])"
 NOT_WORD_AFTER = f"(?![{WORD_CHAR}])"
 NUMBERING = f"{NOT_WORD_BEFORE}\\p{{Nd}}+\\.[{WS}]|{NOT_WORD_BEFORE}[a-z]\\)[{WS}]"
-SUFFIX = "(?:" + "|".join(LEGAL_SUFFIXES) + ")" + NOT_WORD_AFTER
-REFERENCE = "|".join(REFERENCE_WORDS) + f"|\\p{{Nd}}+\\.[{WS}]*(?:" + "|".join(REFERENCE_UNITS) + ")"
 DIGITS = r"\p{Nd}+"
 UPPER = r"\p{Lu}"
 VOCAB_TOKEN = f"[{WORD_CHAR}]+"
@@ -95,9 +96,32 @@ def _ratio0(num: Column, den: Column) -> Column:
     return F.when(den > 0, num.cast("double") / den).otherwise(F.lit(0.0))
 
 
-def text_features(df: DataFrame, text: str = "text", keep_text: bool = False) -> DataFrame:
+def _any_of(words: Sequence[str]) -> str:
+    """Pattern of the words, taken literally; no words match nothing."""
+    return "|".join(re.escape(w) for w in words) or "(?!)"
+
+
+def suffix_pattern(suffixes: Sequence[str] = LEGAL_SUFFIXES) -> str:
+    """one of the suffixes at the end of a word."""
+    return f"(?:{_any_of(suffixes)}){NOT_WORD_AFTER}"
+
+
+def reference_pattern(words: Sequence[str] = REFERENCE_WORDS, units: Sequence[str] = REFERENCE_UNITS) -> str:
+    """one of the words, or a numbered unit ("3. pont")."""
+    return f"{_any_of(words)}|\\p{{Nd}}+\\.[{WS}]*(?:{_any_of(units)})"
+
+
+def text_features(
+    df: DataFrame,
+    text: str = "text",
+    keep_text: bool = False,
+    legal_suffixes: Sequence[str] = LEGAL_SUFFIXES,
+    reference_words: Sequence[str] = REFERENCE_WORDS,
+    reference_units: Sequence[str] = REFERENCE_UNITS,
+) -> DataFrame:
     """Adds the 28 features of the source's ``extract_features`` (F1-F28) to
-    every column of ``df``; the text itself is dropped unless ``keep_text``."""
+    every column of ``df``; the text itself is dropped unless ``keep_text``.
+    The word lists of F25 and F26 are compared with the lower-cased text."""
     keep_cols = list(df.columns)
     t = F.col(text)
     s1 = df.select(
@@ -154,8 +178,8 @@ def text_features(df: DataFrame, text: str = "text", keep_text: bool = False) ->
         F.regexp_count(t, F.lit(NUMBERING)).alias("numbering_count"),
         count_char(t, "%").alias("percent_count"),
         _ratio0(F.regexp_count(t, F.lit(DIGITS)), wc).alias("number_ratio"),
-        F.regexp_count(F.lower(t), F.lit(SUFFIX)).alias("legal_suffix_count"),
-        F.regexp_count(F.lower(t), F.lit(REFERENCE)).alias("reference_count"),
+        F.regexp_count(F.lower(t), F.lit(suffix_pattern(legal_suffixes))).alias("legal_suffix_count"),
+        F.regexp_count(F.lower(t), F.lit(reference_pattern(reference_words, reference_units))).alias("reference_count"),
         _ratio0(F.regexp_count(t, F.lit(UPPER)), F.length(t)).alias("uppercase_ratio"),
     )
     score = sum((F.col(k) * w for k, w in COMPLEXITY_WEIGHTS.items()), F.lit(0.0))

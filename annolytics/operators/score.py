@@ -109,11 +109,13 @@ def score_with_external_model(df: DataFrame, text: str, make_predict_fn, batch_s
     """I3 for an external model: ``predict_batch_udf`` loads the model once per
     Python worker and feeds it Arrow batches of ``batch_size`` texts.
     ``make_predict_fn()`` must return ``f(np.ndarray[str]) -> np.ndarray[n, k]``
-    of logits."""
+    of logits.  A null text is scored as an empty one.  Rows stay where they
+    are read: scoring adds no shuffle."""
     from pyspark.ml.functions import predict_batch_udf
     from pyspark.sql.types import ArrayType, DoubleType
 
     udf = predict_batch_udf(make_predict_fn, return_type=ArrayType(DoubleType()), batch_size=batch_size)
-    z = df.withColumn("_z", udf(F.col(text)))
-    z = z.select("*", *[F.get(F.col("_z"), i).alias(f"z{i + 1}") for i in range(k)]).drop("_z")
-    return softmax_scores(z, [f"z{i + 1}" for i in range(k)])
+    names = [f"_z{i}" for i in range(k)]
+    z = df.withColumn("_z", udf(F.coalesce(F.col(text), F.lit(""))))
+    z = z.select(*df.columns, *[F.get(F.col("_z"), i).alias(c) for i, c in enumerate(names)])
+    return softmax_scores(z, names).drop(*names)

@@ -1,15 +1,17 @@
 """Vocabulary, bag-of-words and fixed-length token encodings.
 
 The vocabulary is bounded by ``max_features`` (default 500).  That bound is
-what makes it safe to ship to every task as the broadcast side of a hash
-join (``bag_of_words``, ``encode_fixed_length``).  Texts themselves are never
+what makes it safe to ship to every task, as the broadcast side of a hash
+join (``bag_of_words``) or as a dictionary (``encode_fixed_length``).  Texts themselves are never
 shuffled: only (key, token index, count / position) rows are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,25 +113,31 @@ def max_length_coverage(df: DataFrame, lengths: Sequence[int] = MAX_LENGTHS, by:
 def encode_fixed_length(
     df: DataFrame, vocab: DataFrame, key: str, text: str = "text", max_length: int = MAX_LENGTH, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """V6: per ``key``: ``input_ids`` (vocabulary index + 2, unknown 1)
-    truncated or padded with 0 to ``max_length``, and the 0/1
-    ``attention_mask``; ``keep`` columns are carried along.
-
-    Only the first ``max_length`` tokens of a text are looked up: they are
-    exploded with their position, matched by a broadcast hash join against
-    the vocabulary (at most max_features rows), and regrouped per key — a
-    shuffle of small (key, position, id) rows that never moves the text and
-    never holds more than ``max_length`` entries per group."""
+    """V6: per row: ``input_ids`` (vocabulary index + 2, unknown 1) truncated
+    or padded with 0 to ``max_length``, and the 0/1 ``attention_mask``; ``keep``
+    columns are carried along.
+
+    The vocabulary (at most max_features rows) travels with the tasks as a
+    dictionary; the first ``max_length`` tokens of a batch of texts are looked
+    up together in Arrow.  No row is shuffled and none grows beyond
+    ``max_length`` entries; rows that share a key stay rows of their own."""
+    ids = {r["token"]: r["idx"] + ID_OFFSET for r in vocab.select("token", "idx").collect()}
+
+    @F.arrow_udf("array<int>")
+    def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = pa.array(list(ids), pa.string())
+        numbers = pa.array([*ids.values(), UNK_ID], pa.int32())
+        for tokens in batches:
+            place = pc.fill_null(pc.index_in(tokens.flatten(), value_set=known), len(ids))
+            offsets = pc.cumulative_sum(pc.fill_null(pc.list_value_length(tokens), 0).cast(pa.int32()))
+            offsets = pa.concat_arrays([pa.array([0], pa.int32()), offsets])
+            yield pa.ListArray.from_arrays(offsets, numbers.take(place))
+
     keep = [c for c in keep if c != key]
-    d = df.select(key, *keep, F.slice(word_tokens(text), 1, max_length).alias("_t"))
-    ex = d.select(key, *keep, F.posexplode_outer("_t").alias("_pos", "token"))
-    hit = ex.join(F.broadcast(vocab.select("token", "idx")), "token", "left")
-    entry = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce(F.col("idx") + ID_OFFSET, F.lit(UNK_ID)).alias("id")))
-    g = hit.groupBy(key, *keep).agg(F.array_sort(F.collect_list(entry)).alias("_s"))
-    ids = F.transform("_s", lambda s: s.getField("id"))
-    g = g.select(key, *keep, ids.alias("_ids"))
+    tokens = F.slice(F.coalesce(word_tokens(text), F.array().cast("array<string>")), 1, max_length)
+    d = df.select(key, *keep, look_up(tokens).alias("_ids"))
     pad = F.greatest(F.lit(0), F.lit(max_length) - F.size("_ids"))
-    return g.select(
+    return d.select(
         key,
         *keep,
         F.concat("_ids", F.array_repeat(F.lit(PAD_ID), pad)).alias("input_ids"),

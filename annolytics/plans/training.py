@@ -6,10 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from annolytics.functions import text as T
+from annolytics.operators import boosting as BO
 from annolytics.operators import clean as C
 from annolytics.operators import evaluate as E
 from annolytics.operators import features as FE
 from annolytics.operators import models as M
+from annolytics.operators import profile as P
 from annolytics.operators import score as S
 from annolytics.operators import split as W
 from annolytics.operators import vocab as V
@@ -20,6 +22,7 @@ from annolytics.session import cut_lineage
 from annolytics.sources import exports as X
 from annolytics.sources import tables as TB
 from annolytics.sources.views import annotations_v, read_table
+from annolytics.stages import Stages
 
 KEEP = ["annotation_id", "label_numeric"]
 
@@ -42,6 +45,22 @@ def model_data(spark, sf_dir):
     return train, test
 
 
+def _model_stages(stages, spark, sf_dir):
+    """``model_data`` as two stages of a job.  Vectors are put together again
+    after reading, so that the stored tables hold plain columns."""
+    made = []
+
+    def part(i):
+        def build():
+            if not made:
+                made.extend(model_data(spark, sf_dir))
+            return made[i].drop("features")
+
+        return build
+
+    return tuple(M.assemble(stages.table(name, part(i))) for i, name in enumerate(("train", "test")))
+
+
 def _report(preds_by_split) -> object:
     """split, n, accuracy, within_1, macro_f1 for predicted tables."""
     out = None
@@ -76,32 +95,44 @@ def q_train_random_forest(spark, sf_dir):
 
 @query("train_gradient_boosting")
 def q_train_gradient_boosting(spark, sf_dir):
-    return _fit_report(lambda tr: M.gradient_boosting(), spark, sf_dir)
+    train, test = model_data(spark, sf_dir)
+    model, _ = BO.fit_boosting(train, T.ALL_FEATURES, M.BOOST_ROUNDS, M.BOOST_DEPTH, M.BOOST_RATE)
+    return _report([("train", M.predict(model, train, KEEP)), ("test", M.predict(model, test, KEEP))])
+
 
+def _candidates(train):
+    """Name -> function that returns the accuracies of the folds (M5) and a
+    function that returns the model of all rows.  The boosting fits of the
+    folds and of all rows share their passes."""
+
+    def logistic(rows):
+        return M.logistic_regression(rows.count())
+
+    def boosting():
+        model, folds = BO.fit_boosting(train, T.ALL_FEATURES, M.BOOST_ROUNDS, M.BOOST_DEPTH, M.BOOST_RATE, fold="fold")
+        return folds, lambda: model
 
-def _candidates():
     return {
-        "logistic_regression": lambda rows: M.logistic_regression(rows.count()),
-        "random_forest": lambda rows: M.random_forest(),
-        "gradient_boosting": lambda rows: M.gradient_boosting(),
+        "logistic_regression": lambda: (M.cross_validate(logistic, train)["fold_accuracies"], lambda: logistic(train).fit(train)),
+        "random_forest": lambda: (M.cross_validate(M.random_forest(), train)["fold_accuracies"], lambda: M.random_forest().fit(train)),
+        "gradient_boosting": boosting,
     }
 
 
-def _cv_all(train) -> dict[str, dict]:
-    """M5 for every candidate; the candidates' fold fits run concurrently
-    (small fits are bound by per-job latency, not by cores)."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    cands = _candidates()
-    with ThreadPoolExecutor(max_workers=len(cands)) as pool:
-        futs = {n: pool.submit(M.cross_validate, e, train) for n, e in cands.items()}
-        return {n: f.result() for n, f in futs.items()}
+def _cross_validated(train) -> dict[str, tuple]:
+    """Candidate -> (mean and standard deviation of the fold accuracies, and
+    the function that fits all rows)."""
+    out = {}
+    for name, run in _candidates(train).items():
+        folds, fit = run()
+        out[name] = (*M.mean_and_std(folds), fit)
+    return out
 
 
 @query("cross_validate_models")
 def q_cross_validate_models(spark, sf_dir):
     train, _ = model_data(spark, sf_dir)
-    rows = [(n, float(r["mean_accuracy"]), float(r["std_accuracy"])) for n, r in _cv_all(train).items()]
+    rows = [(n, float(mean), float(std)) for n, (mean, std, _) in _cross_validated(train).items()]
     best = max(rows, key=lambda r: r[1])[0]
     return spark.createDataFrame(
         [(n, m, s, n == best) for n, m, s in rows], "model string, mean_accuracy double, std_accuracy double, best boolean"
@@ -141,10 +172,9 @@ def q_train_bow_mlp(spark, sf_dir):
 @query("fit_predict_report")
 def q_fit_predict_report(spark, sf_dir):
     train, test = model_data(spark, sf_dir)
-    cands = _candidates()
-    scores = {n: r["mean_accuracy"] for n, r in _cv_all(train).items()}
-    best = max(scores, key=scores.get)
-    model = cands[best](train).fit(train)
+    scored = _cross_validated(train)
+    best = max(scored, key=lambda n: scored[n][0])
+    model = scored[best][2]()
     p = M.predict(model, train, KEEP).withColumn("split", F.lit("train")).unionByName(
         M.predict(model, test, KEEP).withColumn("split", F.lit("test"))
     )
@@ -179,9 +209,57 @@ def q_score_texts(spark, sf_dir):
     return S.score_records(s, index="doc_id", as_map=False)
 
 
+def load_length_model():
+    """A user's model as ``score_with_external_model`` takes it: called once in
+    a Python worker, it returns the function from a batch of texts to logits.
+    This one expects a difficulty that grows with the length of the text."""
+    import numpy as np
+
+    classes = np.arange(1, 6)
+
+    def predict(texts: np.ndarray) -> np.ndarray:
+        expected = 1.0 + np.minimum(np.array([len(t) for t in texts], dtype=float), 4000.0) / 1000.0
+        distance = expected[:, None] - classes[None, :]
+        return -distance * distance
+
+    return predict
+
+
+@query(
+    "score_texts_external",
+    """
+WITH e AS (SELECT doc_id, text, 1.0E0 + least(length(coalesce(text, '')), 4000) / 1000.0E0 AS x FROM documents),
+z AS (SELECT doc_id, text, -(x - 1) * (x - 1) AS z1, -(x - 2) * (x - 2) AS z2, -(x - 3) * (x - 3) AS z3,
+             -(x - 4) * (x - 4) AS z4, -(x - 5) * (x - 5) AS z5 FROM e),
+m AS (SELECT *, greatest(z1, z2, z3, z4, z5) AS m FROM z),
+y AS (SELECT *, exp(z1 - m) + exp(z2 - m) + exp(z3 - m) + exp(z4 - m) + exp(z5 - m) AS s,
+             list_position([z1, z2, z3, z4, z5], m) AS pred FROM m)
+SELECT doc_id AS "index",
+       CASE WHEN length(text) > 100 THEN concat(substring(text, 1, 100), '...') ELSE text END AS text,
+       CAST(length(text) AS INTEGER) AS text_length, CAST(pred AS INTEGER) AS predicted_label,
+       CASE pred WHEN 1 THEN 'Nagyon nehezen érthető (Very difficult)' WHEN 2 THEN 'Nehezen érthető (Difficult)'
+         WHEN 3 THEN 'Többé-kevésbé érthető (Somewhat understandable)' WHEN 4 THEN 'Érthető (Understandable)'
+         WHEN 5 THEN 'Könnyen érthető (Easily understandable)' END AS label_description,
+       round(1.0 / s, 6) AS confidence, round(exp(z1 - m) / s, 6) AS p1, round(exp(z2 - m) / s, 6) AS p2,
+       round(exp(z3 - m) / s, 6) AS p3, round(exp(z4 - m) / s, 6) AS p4, round(exp(z5 - m) / s, 6) AS p5
+FROM y""",
+)
+def q_score_texts_external(spark, sf_dir):
+    """I3 with a user's own model: every document in batches of 8."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    s = S.score_records(S.score_with_external_model(docs, "text", load_length_model), index="doc_id", as_map=False)
+    return s.withColumns({c: F.round(c, 6) for c in ("confidence", "p1", "p2", "p3", "p4", "p5")})
+
+
 # --- composite jobs ------------------------------------------------------------------
 
 
+def _stages(spark, sf_dir, job, *params):
+    """Resumable stages of a job over the annotation view."""
+    inputs = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("documents", "events")]
+    return Stages(spark, job, inputs, {"params": params})
+
+
 @query(
     "clean_job",
     CLEAN + """,
@@ -200,25 +278,45 @@ SELECT CAST(step_no AS INTEGER) AS step_no, step, CAST(records_before AS BIGINT)
        CAST(records_after AS BIGINT) AS records_after,
        CASE WHEN step_no <= 4 THEN CAST(records_before - records_after AS BIGINT) END AS removed,
        CASE WHEN step_no <= 4 THEN round((records_before - records_after) * 100.0 / records_before, 6) END AS pct_removed
-FROM s""",
+FROM s
+UNION ALL BY NAME
+SELECT CAST(8 AS INTEGER) AS step_no, concat('stats_', split) AS step, count(*) AS n_rows, count(DISTINCT text) AS n_unique_texts,
+       count(DISTINCT student_code) AS n_annotators,
+       round(avg(text_length), 6) AS mean_text_length, round(quantile_cont(text_length, 0.5), 6) AS median_text_length,
+       round(avg(lead_time_seconds), 6) AS mean_lead_time, round(quantile_cont(lead_time_seconds, 0.5), 6) AS median_lead_time
+FROM (SELECT 'train' AS split, text, student_code, text_length, lead_time_seconds FROM train
+      UNION ALL SELECT 'test', text, student_code, CAST(length(text) AS INTEGER), lead_time_seconds FROM test) t
+GROUP BY split""",
 )
 def q_clean_job(spark, sf_dir):
     """CSV export (S6) -> read (S5) -> hold-out -> select -> duplicates
     (checkpointed: every later step reads it) -> length -> short filter ->
-    rushed annotators -> write train/test (S7) -> funnel."""
+    rushed annotators -> write train/test (S7) -> funnel, and the statistics
+    (G1) of what was written."""
     from annolytics.plans.ingest import VIEW_COLUMNS
 
     a = annotations_v(spark, sf_dir).select(*VIEW_COLUMNS)
-    path = X.scratch_path(spark, "aggregated")
-    TB.write_annotations_csv(a, path)
-    raw = TB.read_annotations_csv(spark, path, schema=a.schema)
-    working, test = C.holdout_split(raw, DRIVER_RULES)
-    selected = C.select_training_columns(working)
-    deduped = cut_lineage(C.add_text_length(C.resolve_duplicates(selected)))
-    long_enough = C.filter_short_texts(deduped)
-    train = C.remove_rushed_annotators(long_enough, DRIVER_MIN_MEAN_LEAD)
-    TB.write_train_test(train, test, X.scratch_path(spark, "processed"))
-    return C.cleaning_funnel(C.Cleaned(raw, working, test, selected, deduped, long_enough, train, DRIVER_RULES, min_mean_lead=DRIVER_MIN_MEAN_LEAD))
+    with _stages(spark, sf_dir, "clean", DRIVER_RULES, DRIVER_MIN_MEAN_LEAD) as stages:
+
+        def raw_rows():
+            path = X.scratch_path(spark, "aggregated")
+            TB.write_annotations_csv(a, path)
+            return TB.read_annotations_csv(spark, path, schema=a.schema)
+
+        raw = stages.table("aggregated", raw_rows)
+        working, test = C.holdout_split(raw, DRIVER_RULES)
+        selected = C.select_training_columns(working)
+        deduped = stages.table("deduped", lambda: C.add_text_length(C.resolve_duplicates(selected)))
+        long_enough = C.filter_short_texts(deduped)
+        train = stages.table("train", lambda: C.remove_rushed_annotators(long_enough, DRIVER_MIN_MEAN_LEAD))
+        processed = X.scratch_path(spark, "processed")
+        TB.write_train_test(train, test, processed)
+        out = C.cleaning_funnel(C.Cleaned(raw, working, test, selected, deduped, long_enough, train, DRIVER_RULES, min_mean_lead=DRIVER_MIN_MEAN_LEAD))
+        for split in ("train", "test"):
+            stats = P.dataset_stats(spark.read.parquet(f"{processed}/{split}"))
+            stats = stats.withColumns({"step_no": F.lit(8), "step": F.lit(f"stats_{split}")})
+            out = out.unionByName(stats, allowMissingColumns=True)
+        return stages.result(out, "clean-report")
 
 
 @query(
@@ -241,10 +339,11 @@ def q_bias_job(spark, sf_dir):
     from annolytics.operators import bias as B
     from annolytics.plans.cleaning import cleaned
 
-    t = cleaned(spark, sf_dir).train
-    chi = B.annotator_chi_square(t)
-    mat = B.annotator_label_matrix(t).drop("mean_label")
-    return chi.join(mat, "student_code").withColumn("band", B.band_of(F.col("mean_label")))
+    with _stages(spark, sf_dir, "bias", DRIVER_RULES, DRIVER_MIN_MEAN_LEAD) as stages:
+        t = stages.table("train", lambda: cleaned(spark, sf_dir).train)
+        chi = B.annotator_chi_square(t)
+        mat = B.annotator_label_matrix(t).drop("mean_label")
+        return stages.result(chi.join(mat, "student_code").withColumn("band", B.band_of(F.col("mean_label"))), "bias-report")
 
 
 @query("features_train_job")
@@ -253,19 +352,32 @@ def q_features_train_job(spark, sf_dir):
     cross-validation (M5, the three classifiers) -> evaluation per model and
     split.  Rows of split ``cross_validation`` hold mean and standard
     deviation of the folds' accuracies."""
-    train, test = model_data(spark, sf_dir)
-    out = None
-    for name, est in _candidates().items():
-        m = est(train).fit(train)
-        r = _report([("train", M.predict(m, train, KEEP)), ("test", M.predict(m, test, KEEP))]).withColumn("model", F.lit(name))
-        out = r if out is None else out.unionByName(r)
-    ridge = M.ridge_regression(train)
-    rp = [("train", M.ridge_predict(ridge, train).drop("score")), ("test", M.ridge_predict(ridge, test).drop("score"))]
-    out = out.unionByName(_report(rp).withColumn("model", F.lit("ridge")))
-    n = train.count()
-    folds = [("cross_validation", n, r["mean_accuracy"], r["std_accuracy"], name) for name, r in _cv_all(train).items()]
-    cv = spark.createDataFrame(folds, "split string, n long, accuracy double, std_accuracy double, model string")
-    return out.unionByName(cv.withColumns({c: F.round(c, 6) for c in ("accuracy", "std_accuracy")}), allowMissingColumns=True)
+    with _stages(spark, sf_dir, "features-train", DRIVER_RULES, DRIVER_MIN_MEAN_LEAD) as stages:
+        train, test = _model_stages(stages, spark, sf_dir)
+        n = train.count()
+        columns = "split string, n long, accuracy double, within_1 double, macro_f1 double, model string, std_accuracy double"
+
+        def report(name, run):
+            """Rows of one model: cross-validation, training and test rows."""
+            folds, fit = run()
+            m = fit()
+            rows = _report([("train", M.predict(m, train, KEEP)), ("test", M.predict(m, test, KEEP))])
+            mean, std = M.mean_and_std(folds)
+            cv = spark.createDataFrame([("cross_validation", n, round(mean, 6), round(std, 6))], "split string, n long, accuracy double, std_accuracy double")
+            return rows.unionByName(cv, allowMissingColumns=True).withColumn("model", F.lit(name))
+
+        def ridge_report():
+            m = M.ridge_regression(train)
+            rows = _report([(s, M.ridge_predict(m, d).drop("score")) for s, d in (("train", train), ("test", test))])
+            return rows.withColumns({"model": F.lit("ridge"), "std_accuracy": F.lit(None).cast("double")})
+
+        names = [c.split()[0] for c in columns.split(", ")]
+        parts = [stages.table(f"report-{name}", lambda name=name, run=run: report(name, run).select(*names)) for name, run in _candidates(train).items()]
+        parts.append(stages.table("report-ridge", lambda: ridge_report().select(*names)))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return stages.result(out, "features-train-report")
 
 
 def _evaluated(s, weights, splits=("validation", "test")):
@@ -309,14 +421,20 @@ def q_score_evaluate_job(spark, sf_dir):
     summarise the predictions (I4) and evaluate them against the annotators'
     labels (E1-E13): one row per split.  Features are standardised by all
     training rows, as in M5."""
-    train, test = model_data(spark, sf_dir)
+    with _stages(spark, sf_dir, "score-evaluate", DRIVER_RULES, DRIVER_MIN_MEAN_LEAD) as stages:
+        return stages.result(_scored_and_evaluated(stages, spark, sf_dir), "score-evaluate-report")
+
+
+def _scored_and_evaluated(stages, spark, sf_dir):
+    train, test = _model_stages(stages, spark, sf_dir)
     fit = train.filter("fold <> 0")
     weights = W.class_weights(fit).select("label", "weight")
     rows = fit.drop("weight").join(F.broadcast(weights.withColumnRenamed("label", "label_numeric")), "label_numeric")
     model = M.logistic_regression(fit.count()).fit(rows)
     s = _scored(model, train.filter("fold = 0"), KEEP).withColumn("split", F.lit("validation"))
     s = s.unionByName(_scored(model, test, KEEP).withColumn("split", F.lit("test")))
-    s = cut_lineage(s.withColumn("true_label", F.col("label_numeric")))
+    scored = s.withColumn("true_label", F.col("label_numeric"))
+    s = stages.table("scored", lambda: scored)
     summary = None
     for name in ("validation", "test"):
         one = S.prediction_summary(s.filter(F.col("split") == name)).withColumn("split", F.lit(name))

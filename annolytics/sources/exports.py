@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from annolytics.functions.labels import parse_label
+from annolytics.session import materialize
+from annolytics.sources.json_ranges import json_records
 
 log = logging.getLogger(__name__)
 
@@ -27,6 +29,8 @@ log = logging.getLogger(__name__)
 EXCLUDED_FOLDERS = ("sample", "consensus")
 # -------------------------------------------------------------------------------------
 CORRUPT = "_corrupt_record"
+#: Bytes from which a file is read by ranges instead of as one task.
+LARGE_BYTES = 64 << 20
 
 # Ids and numbers are read as text and cast row by row: a field of another
 # type then costs that field, not its task or file.
@@ -88,34 +92,68 @@ def scan_exports(
     root: str,
     pattern: str = "*.json",
     exclude: Sequence[str] = EXCLUDED_FOLDERS,
+    large_bytes: int = LARGE_BYTES,
 ) -> DataFrame:
     """S1 + S2: every ``<root>/<annotator>/<pattern>`` file (not recursive)
     as task rows with ``student_code`` (folder), ``json_filename``,
     ``task_pos`` and the corrupt-record column.  Excluded folders are dropped
-    by a filter on the file path, which Spark applies when listing files."""
-    reader = (
-        spark.read.schema(TASK_WITH_CORRUPT)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("basePath", root)
-    )
-    df = reader.json(f"{root.rstrip('/')}/*/{pattern}")
+    by a filter on the file path, which Spark applies when listing files.
+
+    Files of ``large_bytes`` or more are read by byte ranges
+    (``json_ranges``), smaller ones as one task each; ``task_pos`` orders the
+    tasks of a file in both."""
+    glob = f"{root.rstrip('/')}/*/{pattern}"
     path = F.col("_metadata.file_path")
-    if exclude:
-        # below the row ids, on the file path alone: Spark applies it when it
-        # lists the files, and excluded ones are never opened
-        df = df.filter(~F.lower(_folder_of(path)).isin([e.lower() for e in exclude]))
+    wanted = ~F.lower(_folder_of(path)).isin([e.lower() for e in exclude]) if exclude else F.lit(True)
+    small = _scan_whole(spark, root, glob).filter(wanted & (F.col("_metadata.file_size") < large_bytes))
     # A multi-line JSON file is one split, read in file order, so the row id
     # orders tasks within their file (only ever compared inside one file).
-    df = df.select(
+    small = small.select(
         *[F.col(f.name) for f in TASK_WITH_CORRUPT.fields],
         _folder_of(path).alias("student_code"),
         F.col("_metadata.file_name").alias("json_filename"),
         path.alias("_file_path"),
         F.monotonically_increasing_id().alias("task_pos"),
     )
-    return df
+    listed = spark.read.format("binaryFile").option("basePath", root).load(glob).select("path", "length")
+    if listed.filter(F.col("length") >= large_bytes).isEmpty():
+        return small
+    return small.unionByName(_scan_ranges(spark, root, glob, large_bytes).filter(~F.lower("student_code").isin([e.lower() for e in exclude])))
+
+
+def _scan_ranges(spark: SparkSession, root: str, glob: str, large_bytes: int) -> DataFrame:
+    """Tasks of the large files; an unreadable file is one row, as it is for
+    the multi-line reader, with the first broken record's text."""
+    records, broken = json_records(spark, glob, large_bytes, root)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = records.withColumn("t", F.from_json("text", TASK_WITH_CORRUPT, options))
+    # a field of another type costs that field only, broken syntax the file
+    valid = F.when(F.col(f"t.{CORRUPT}").isNotNull(), F.try_parse_json("text").isNotNull()).otherwise(F.lit(True))
+    parsed = parsed.select("path", "pos", valid.alias("valid"), *[F.col(f"t.{f.name}").alias(f.name) for f in TASK_WITH_CORRUPT.fields])
+    parsed = materialize(parsed, "json-tasks")
+    wrong = parsed.filter(~F.col("valid") | unreadable()).groupBy("path").agg(F.min(CORRUPT).alias(CORRUPT))
+    wrong = wrong.unionByName(broken.select("path", F.lit("not an array of objects").alias(CORRUPT))).groupBy("path").agg(F.min(CORRUPT).alias(CORRUPT))
+    good = parsed.drop("valid").join(wrong.select("path"), "path", "left_anti")
+    rows = good.unionByName(wrong.withColumn("pos", F.lit(0).cast("long")), allowMissingColumns=True)
+    name = F.element_at(F.split("path", "/"), -1)
+    return rows.select(
+        *[F.col(f.name) for f in TASK_WITH_CORRUPT.fields],
+        _folder_of(F.col("path")).alias("student_code"),
+        name.alias("json_filename"),
+        F.col("path").alias("_file_path"),
+        F.col("pos").alias("task_pos"),
+    )
+
+
+def _scan_whole(spark: SparkSession, root: str, glob: str) -> DataFrame:
+    reader = (
+        spark.read.schema(TASK_WITH_CORRUPT)
+        .option("multiLine", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("basePath", root)
+    )
+    return reader.json(glob)
 
 
 def unreadable() -> Column:

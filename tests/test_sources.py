@@ -131,3 +131,70 @@ def test_scratch_folder_stays_put(spark):
     from annolytics.session import ensure_checkpoint_dir
 
     assert len({ensure_checkpoint_dir(spark) for _ in range(50)}) == 1
+
+
+# --- large files by byte ranges ------------------------------------------------------
+
+
+def tricky_tasks(n):
+    texts = ['plain {text} [1]', 'quote " and \\ back\\\\slash', 'é漢 }{ ]', '\\"}', "", "x" * 300, "line\nbreak "]
+    return [
+        {"id": i, "data": {"text": f"{i} {texts[i % len(texts)]}"}, "file_upload": "f}.csv", "annotations": [{"id": 10 * i, "lead_time": i / 2, "result": [{"value": {"choices": ["3-x"]}}]}]}
+        for i in range(n)
+    ]
+
+
+def test_large_files_by_ranges_equal_the_whole_file_reader(spark, tmp_path):
+    import json
+
+    tasks = tricky_tasks(400)
+    for name, dump in (("compact", json.dumps(tasks)), ("pretty", json.dumps(tasks, indent=2, ensure_ascii=False)), ("one", " \n" + json.dumps(tasks[0])), ("none", "[ ]\n")):
+        (tmp_path / "root" / name).mkdir(parents=True)
+        (tmp_path / "root" / name / "a b+c.json").write_text(dump, encoding="utf-8")
+    (tmp_path / "root" / "sample").mkdir()
+    (tmp_path / "root" / "sample" / "x.json").write_text(json.dumps(tasks))
+    root = str(tmp_path / "root")
+
+    def rows(df):
+        got = df.orderBy("student_code", "task_pos").collect()
+        return [(r.student_code, r.json_filename, r.id, r.data.text, r.file_upload, r.annotations[0].lead_time) for r in got]
+
+    whole = rows(X.scan_exports(spark, root))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        ranged = X.scan_exports(spark, root, large_bytes=1)
+        from annolytics.sources import json_ranges as J
+
+        assert J._pieces(spark, f"{root}/*/*.json", 1, root).select("path", "block").distinct().count() > 10
+        assert rows(ranged) == whole and len(whole) == 801
+        mixed = X.scan_exports(spark, root, large_bytes=(tmp_path / "root" / "pretty" / "a b+c.json").stat().st_size)
+        assert rows(mixed) == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_broken_large_files_are_quarantined(spark, tmp_path):
+    import json
+
+    good = json.dumps(tricky_tasks(30))
+    broken = {
+        "cut": good[: len(good) // 2],
+        "cut_after_record": good[: good.rindex("}") + 1],
+        "no_comma": good.replace("}, {", "} {", 1) if "}, {" in good else good,
+        "trailing": good + ", {}",
+        "bad_record": good.replace('"id": 20,', '"id": 20 x,', 1),
+        "two": json.dumps({"id": 1}) + json.dumps({"id": 2}),
+    }
+    for name, text in {**broken, "fine": good}.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "f.json").write_text(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        tasks, bad = X.quarantine_bad_files(X.scan_exports(spark, str(tmp_path), large_bytes=1))
+        assert {r.student_code for r in bad.collect()} == set(broken)
+        assert [r.student_code for r in tasks.select("student_code").distinct().collect()] == ["fine"]
+        assert tasks.count() == 30
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
