@@ -32,8 +32,9 @@ links.  Each step is written to the shared folder before the next.
 
 Defined cases: a null or empty text, or one without words, has no shingles
 and is linked with nothing; fewer words than a shingle give the whole
-sequence as one shingle; rows repeated with one doc_id and text are one
-document; rows with a null doc_id are not linked and have themselves as
+sequence as one shingle; rows of one doc_id are one document, which is linked
+by each of its texts (``n_shingles`` is that of the row's own text, and a text
+without words links its document with nothing); rows with a null doc_id are not linked and have themselves as
 (null) component; only doc_id and text are read, so other columns cannot
 clash; an empty table gives an empty result.
 """
@@ -52,7 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annolytics.llm.common import small_batches
-from annolytics.session import materialize
+from annolytics.session import checked_broadcast, materialize
 
 REGISTERS, MISS, SIGMAS, TILE = 1024, 1e-6, 4.5, 1024
 #: Buckets by size class (base-4 logarithm of the number of shingles).
@@ -61,6 +62,8 @@ BUCKETS = (1, 1, 1, 4, 16, 64, 512)
 #: Unrelated registers are equal by chance once in so many cases.
 BAND_VALUES, REST_VALUES = 15, 3
 WORDS_REMEMBERED = 100_000
+#: Candidate ids up to which they are broadcast to the scan of the texts.
+BROADCAST_IDS = 4_000_000
 U64 = np.uint64
 
 
@@ -282,8 +285,11 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             yield b.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
 
+    # ids are unique here, so only candidates' texts leave the scan: their ids
+    # are broadcast behind a check of their number
     ids = pairs.select(F.col("a").alias("doc_id")).distinct().union(pairs.select("b").distinct()).distinct()
-    texts = materialize(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "dup-texts")
+    ids = checked_broadcast(ids, "dup-candidates", max_rows=BROADCAST_IDS)
+    texts = materialize(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "dup-texts")
     side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias("t" + x))
     j = pairs.join(side("b"), "b").join(side("a"), "a")
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -385,6 +391,33 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     documents are linked whose ``k``-word shingle sets have a Jaccard
     similarity of at least ``percent`` / 100."""
     small_batches(docs.sparkSession)
+    again = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if materialize(again.select("doc_id"), "dup-repeated").isEmpty():
+        return _near_duplicates(docs.select("doc_id", "text"), k, percent)
+    # Some ids repeat: the distinct (id, text) rows are numbered in the order
+    # of (id, checksum of the text), and rows of one id are linked.
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("sum"))
+    numbers = rows.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), F.col("sum").alias("of")).distinct().sort("id", "of")
+    numbers = materialize(numbers.withColumn("row", F.monotonically_increasing_id()), "dup-numbers")
+    same = (F.col("doc_id") == F.col("id")) & (F.col("sum") == F.col("of"))
+    numbered = materialize(rows.join(numbers, same, "left").select("doc_id", "text", "row"), "dup-numbered")
+    unique = numbered.filter("row IS NOT NULL").groupBy("row").agg(F.min("text").alias("text")).withColumnRenamed("row", "doc_id")
+    unique = materialize(unique, "dup-unique")
+    first = numbers.groupBy("id").agg(F.min("row").alias("low"))
+    one_id = numbers.join(first, "id").filter("row <> low").select(F.col("low").alias("a"), F.col("row").alias("b"))
+    judged = materialize(_near_duplicates(unique, k, percent, one_id), "dup-judged")
+    names = numbers.select(F.col("row").alias("component_id"), F.col("id").alias("component"))
+    judged = judged.join(names, "component_id").select(F.col("doc_id").alias("row"), "n_shingles", "component")
+    of_id = numbers.join(judged, "row").groupBy(F.col("id").alias("doc_id")).agg(F.min("component").alias("component_id"))
+    known = numbered.filter("row IS NOT NULL").select("doc_id", "row").join(judged.drop("component"), "row").join(of_id, "doc_id")
+    known = known.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    nameless = _near_duplicates(numbered.filter("doc_id IS NULL").select("doc_id", "text"), k, percent)
+    return known.unionByName(nameless)
+
+
+def _near_duplicates(docs: DataFrame, k: int, percent: int, linked: DataFrame | None = None) -> DataFrame:
+    """``near_duplicates`` of documents whose ids are unique or null;
+    ``linked`` (a, b) are links that hold beside those of the texts."""
     threshold = percent / 100
     bands, per_band = banding(threshold)
     banded = bands * per_band
@@ -406,7 +439,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     )
     cross = _cross_pairs(labelled, reps, bands, per_band, threshold).join(star, ["a", "b"], "left_anti")
     more = materialize(_confirmed(materialize(cross, "dup-cross"), docs, k, percent), "dup-edges")
-    final = components(edges.union(more))
+    found = edges.union(more)
+    if linked is not None:
+        # a class stands for its smallest id
+        of = known.select(F.col("doc_id").alias("id"), "digest").join(classes, "digest").select("id", "rep")
+        ends = linked.join(of.select(F.col("id").alias("a"), F.col("rep").alias("ra")), "a").join(of.select(F.col("id").alias("b"), F.col("rep").alias("rb")), "b")
+        found = found.union(ends.select(F.least("ra", "rb"), F.greatest("ra", "rb")).distinct())
+    final = components(found)
     groups = classes.join(final, classes["rep"] == final["id"], "left").select(
         F.col("digest").alias("_digest"), F.coalesce("component", "rep").alias("component_id")
     )
