@@ -24,6 +24,11 @@ def prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(prefix + c) for c in df.columns])
 
 
+def restored(columns: list[str], prefix: str) -> list[Column]:
+    """The columns that ``prefixed`` renamed, under their own names."""
+    return [F.col(f"`{prefix}{c}`").alias(c) for c in columns]
+
+
 #: Rows of text that one Arrow batch to a Python worker may hold.
 BATCH_ROWS = 512
 

@@ -19,6 +19,8 @@ document needs one row per source: whole passes, and the place in the queue
 where the last pass stops.
 
 Defined cases: a null text or one without words has size 0 and is not taken;
+a source without words has its place in the order of the sources and the
+target 0;
 rows with one (source, document id) are a single entry of the queue with the
 sum of their words and share its fate; the null source is a source of its
 own, ordered last; null document ids are one entry per source; an empty
@@ -32,7 +34,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annolytics.llm.common import words
+from annolytics.llm.common import prefixed, restored, words
 from annolytics.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -55,17 +57,19 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_epo
     # level at which a source is full; below it a source gets weight * level
     full = (F.lit(float(max_epochs)) * F.col("source_size") / F.col("weight")).alias("full")
     s = s.select("*", full)
-    upto = Window.orderBy("full", F.col("source").isNull(), "source").rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.orderBy("full", F.col("source").isNull(), "source")
+    upto = in_order.rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     s = s.select(
         "*",
         F.coalesce(F.sum("source_size").over(upto), F.lit(0)).alias("_less"),
         (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(upto), F.lit(0.0))).alias("_open"),
         F.sum("source_size").over(everything).alias("_total"),
+        F.row_number().over(in_order).alias("_at"),
     )
     # the level if this source and all fuller ones stay open
     s = s.select("*", ((F.col("_total") - max_epochs * F.col("_less")) / F.col("_open")).alias("_level"))
-    first = F.min(F.when(F.col("_level") <= F.col("full"), F.struct("full", "_level"))).over(everything)
+    first = F.min(F.when(F.col("_level") <= F.col("full"), F.struct("_at", "_level"))).over(everything)
     level = first["_level"]
     target = F.least(F.lit(float(max_epochs)) * F.col("source_size"), F.col("weight") * F.coalesce(level, F.lit(0.0)))
     return s.select("source", "weight", "source_size", target.alias("target"))
@@ -96,13 +100,15 @@ def mix_plan(
     queue: ``passes`` whole passes are taken, and of one pass more the
     entries up to (``cut_place``, ``cut_id``)."""
     sized = docs.select("source", "doc_id", F.size(words(F.col("text"))).cast("long").alias("size"))
+    sized = materialize(sized, "mix-sizes")
     queue = sized.filter("size > 0").groupBy("source", "doc_id").agg(F.sum("size").alias("size"))
     queue = queue.select(
         "*",
         queue_place(seed, F.col("doc_id")).alias("place"),
     ).withColumn("slice", F.shiftright("place", 60 - (slices - 1).bit_length()))
     queue = materialize(queue, "mix-queue")
-    sizes = queue.groupBy("source").agg(F.sum("size").alias("source_size"))
+    # every source is numbered, also one without any word
+    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = materialize(source_targets(sizes, weights, max_epochs), "mix-targets")
     entries = _running(queue, ["source"], "slice", ["place", "doc_id"], "size", "words")
     p = plan.select(F.col("source").alias("_s"), "weight", "source_size")
@@ -151,29 +157,40 @@ def mix_plan(
     return materialize(out, "mix-plan")
 
 
-def with_copies(docs: DataFrame, plan: DataFrame, seed: int = 17) -> DataFrame:
-    """``docs`` with mix_size, mix_source_size, mix_target and mix_copies, the
-    number of times that the mix takes the document."""
-    p = plan.select(*[F.col(c).alias("_" + c) for c in plan.columns])
-    d = docs.withColumn("mix_size", F.size(words(F.col("text"))).cast("long"))
-    d = d.join(p, F.col("source").eqNullSafe(F.col("_source")), "left")
-    place, cut = queue_place(seed, F.col("doc_id")), F.col("_cut_place")
-    first_ids = F.col("doc_id").isNull() | F.coalesce(F.col("doc_id") <= F.col("_cut_id"), F.lit(False))
+#: Columns that ``with_copies`` adds.
+ADDED = ("mix_size", "mix_source_size", "mix_target", "mix_copies")
+
+
+def _with_copies(docs: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
+    """``docs`` with all columns renamed to doc_..., and the added ones."""
+    p = prefixed(plan, "plan_")
+    d = prefixed(docs, "doc_").withColumn("mix_size", F.size(words(F.col("doc_text"))).cast("long"))
+    d = d.join(p, F.col("doc_source").eqNullSafe(F.col("plan_source")), "left")
+    place, cut = queue_place(seed, F.col("doc_doc_id")), F.col("plan_cut_place")
+    first_ids = F.col("doc_doc_id").isNull() | F.coalesce(F.col("doc_doc_id") <= F.col("plan_cut_id"), F.lit(False))
     in_last = F.coalesce((place < cut) | ((place == cut) & first_ids), F.lit(False))
-    copies = F.when(F.col("mix_size") > 0, F.coalesce(F.col("_passes"), F.lit(0)) + in_last.cast("int")).otherwise(0)
+    copies = F.when(F.col("mix_size") > 0, F.coalesce(F.col("plan_passes"), F.lit(0)) + in_last.cast("int")).otherwise(0)
     return d.select(
-        *docs.columns,
+        *prefixed(docs, "doc_").columns,
         "mix_size",
-        F.coalesce("_source_size", F.lit(0)).cast("long").alias("mix_source_size"),
-        F.coalesce("_target", F.lit(0.0)).alias("mix_target"),
+        F.coalesce("plan_source_size", F.lit(0)).cast("long").alias("mix_source_size"),
+        F.coalesce("plan_target", F.lit(0.0)).alias("mix_target"),
         copies.alias("mix_copies"),
     )
 
 
+def with_copies(docs: DataFrame, plan: DataFrame, seed: int = 17) -> DataFrame:
+    """``docs`` with mix_size, mix_source_size, mix_target and mix_copies, the
+    number of times that the mix takes the document; columns of these names
+    that ``docs`` has are replaced."""
+    own = [c for c in docs.columns if c not in ADDED]
+    return _with_copies(docs, plan, seed).select(*restored(own, "doc_"), *ADDED)
+
+
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents: every taken copy as a row with the columns of
     ``docs``.  A consumer that wants the interleaved order sorts by
     (words before it in its source) / weight, as the plan does."""
-    d = with_copies(docs, mix_plan(docs, **options), options.get("seed", 17))
-    copies = F.explode(F.array_repeat(F.lit(0), F.col("mix_copies")))
-    return d.select(*docs.columns, copies.alias("mix_copy")).select(*docs.columns)
+    d = _with_copies(docs, mix_plan(docs, **options), options.get("seed", 17))
+    copies = F.explode(F.array_repeat(F.lit(0), F.col("mix_copies"))).alias("mix_copy")
+    return d.select("*", copies).select(*restored(docs.columns, "doc_"))

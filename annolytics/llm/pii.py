@@ -1,29 +1,37 @@
 """Surrogates for personal data.
 
-Entities (e-mail addresses, phone numbers, IPv4 addresses, payment cards with
-a valid check digit, social security numbers, access keys, passwords after a
-keyword, and names after a title) are found by patterns, and each is replaced
-by a keyed surrogate of its own type:
+Entities (e-mail addresses, phone numbers, IPv4 and IPv6 addresses, bank
+account numbers (IBAN) and payment cards with valid check digits, social
+security numbers, access keys, passwords after a keyword, and names) are found
+by patterns.  A name is found after a title, or as a listed given name before
+a capitalised word; every further mention of its parts in the same document
+is the same entity.  Each entity is replaced by a keyed surrogate of its own
+type:
 
 * The letters and digits that identify an entity go through a keyed
   permutation of all strings of the same shape (a Feistel network over their
   mixed-radix halves, rounds from HMAC-SHA256).  Digits stay digits, letters
   keep their case and script, separators, prefixes, domains of documentation
-  and the card check digit stay valid, IPv4 octets stay in range.  A
-  permutation gives different entities of one shape different surrogates.
-* Names come from lists per script and gender (the title decides the gender,
-  else the list that holds the name); a name outside the lists is permuted
-  letter by letter.  Each name part is one entity, so a surname alone and in
-  a full name get the same surrogate.
+  and the check digits of cards and accounts stay valid, address parts stay in
+  range.  A permutation gives different entities of one shape different
+  surrogates.
+* Given names become names of their script and gender (the list that holds
+  the name decides, else the title): one of the list first, and where another
+  name has claimed it, one put together from keyed syllables.  Surnames are
+  permuted letter by letter.  Each name part is one entity whatever its place,
+  so a surname alone and in a full name get the same surrogate; a part that is
+  a given name in some mention of the corpus is one in all.
 * Coreference: the key is a canonical form (lower case for e-mail, digits
   only for numbers), so every mention in every document agrees.
 
 The collision check covers the whole corpus.  Distinct entities form a table;
 a surrogate that equals any real entity of its type, or that two entities
 share (lists are small, permutations of different shapes may meet), sends
-all but one of its claimants to their next attempt, until none is left.
-Only entities beyond attempt 0 are exceptions; documents that mention one
-carry its attempt, the others need nothing but the key.
+all but one of its claimants to their next attempt, until none is left; a
+round looks only at the new claims, against those settled before.  Only
+entities beyond attempt 0, or of another kind than the mention shows, are
+exceptions; documents that mention one carry it, the others need nothing but
+the key.
 
 Defined cases: null text stays null and empty text empty; a document without
 entities is returned unchanged; rows with one doc_id share its exceptions; a
@@ -35,6 +43,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -44,9 +53,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from annolytics.llm.common import prefixed, small_batches
+from annolytics.llm.common import prefixed, restored, small_batches
 from annolytics.session import materialize
 
+#: Given names by script and gender (fixed values).
+GIVEN = {
+    ("LATIN", "f"): "Ada Alice Anna Carla Clara Diana Elena Emma Eva Flora Greta Hanna Ida Irene Julia Laura Lea Lina Lucia Maria Marta Nora Olga Paula Rosa Sara Sofia Tina Vera Zoe".split(),
+    ("LATIN", "m"): "Adam Alan Anton Bruno Carl David Emil Erik Felix Frank Georg Hans Hugo Ivan Jakob Jan Karl Leo Louis Lukas Marco Martin Max Oscar Pablo Paul Peter Simon Thomas Victor".split(),
+    ("CYRILLIC", "f"): "Анна Вера Галина Дарья Елена Ирина Лидия Мария Нина Ольга Раиса Софья Тамара Юлия".split(),
+    ("CYRILLIC", "m"): "Антон Борис Виктор Глеб Денис Егор Иван Кирилл Лев Максим Олег Павел Роман Юрий".split(),
+}
+GENDER = {n.lower(): g for (_, g), names in GIVEN.items() for n in names}
+TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Господин|Госпожа"
+_NAMES = "|".join(n for names in GIVEN.values() for n in names)
+
 #: Patterns by type, tried together, the first of the list at each place.
 #: The group named v is what is replaced; the rest is context.
 PATTERNS = (
@@ -58,13 +78,15 @@ PATTERNS = (
         r"(?=[PpSsTtAa])(?i:password|passwd|pwd|secret|token|api_key|apikey)[\"']?\s?[=:]\s?(?P<quote>[\"'])?"
         r"(?P<secret>(?(quote)[^\s\"']{6,}(?=(?P=quote))|(?!))|[^\s,;\"']{6,})",
     ),
+    ("iban", r"(?<![A-Za-z0-9])(?P<iban>[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?))(?![A-Za-z0-9])"),
+    ("ipv6", r"(?<![\w:.])(?P<ipv6>(?=[0-9A-Fa-f:]*\d)(?:[0-9A-Fa-f]{1,4}:){1,7}(?:(?::[0-9A-Fa-f]{1,4}){1,6}|[0-9A-Fa-f]{1,4}|:))(?![\w:]|\.\d)"),
     ("ip", r"(?<![\d.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?![\d]|\.\d)"),
     ("ssn", r"(?<![\d\-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\d\-])"),
     ("phone", r"(?<![\w+])(?P<phone>\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}|\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?![\w\-])"),
     ("card", r"(?<![\d\-])(?P<card>\d(?:[ \-]?\d){12,18})(?![\d\-])"),
     (
         "name",
-        r"(?<!\w)(?P<title>Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Господин|Госпожа)\.?[ \t]"
+        rf"(?<!\w)(?:(?P<title>{TITLES})\.?[ \t]|(?=(?:{_NAMES})[ \t]))"
         r"(?P<name>[^\W\d_][\w'’\-]*(?:[ \t][^\W\d_][\w'’\-]*)?)",
     ),
 )
@@ -85,22 +107,20 @@ CARDS = [
 ]
 #: JVM-side test that a text may hold any entity at all: every text with an
 #: entity passes.  Unassigned characters may be digits of a later Unicode.
-MAYBE = r"[\p{Nd}\p{Cn}@=:]|AKIA|ASIA|gh[pousr]_|(Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Господин|Госпожа)\.?[ \t]"
+MAYBE = rf"[\p{{Nd}}\p{{Cn}}@=:]|AKIA|ASIA|gh[pousr]_|({TITLES})\.?[ \t]|({_NAMES})[ \t]"
 FEMALE = {"Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа"}
 
-#: Given names by script and gender (fixed values).
-GIVEN = {
-    ("LATIN", "f"): "Ada Alice Anna Carla Clara Diana Elena Emma Eva Flora Greta Hanna Ida Irene Julia Laura Lea Lina Lucia Maria Marta Nora Olga Paula Rosa Sara Sofia Tina Vera Zoe".split(),
-    ("LATIN", "m"): "Adam Alan Anton Bruno Carl David Emil Erik Felix Frank Georg Hans Hugo Ivan Jakob Jan Karl Leo Louis Lukas Marco Martin Max Oscar Pablo Paul Peter Simon Thomas Victor".split(),
-    ("CYRILLIC", "f"): "Анна Вера Галина Дарья Елена Ирина Лидия Мария Нина Ольга Раиса Софья Тамара Юлия".split(),
-    ("CYRILLIC", "m"): "Антон Борис Виктор Глеб Денис Егор Иван Кирилл Лев Максим Олег Павел Роман Юрий".split(),
-}
 #: Attempt from which surrogates may be longer than the entity.
-WIDEN_AT = 2 * max(map(len, GIVEN.values())) + 4
+WIDEN_AT = 8
 #: Letters and digits that one permutation takes at most: a round's 256 bits
 #: must reach every symbol of a half.
 PIECE = 64
-GENDER = {n.lower(): g for (_, g), names in GIVEN.items() for n in names}
+#: Syllables and endings of made-up given names, by script and gender.
+SYLLABLES = {
+    "LATIN": [c + v for c in "b d f g k l m n p r s t v z".split() for v in "aeio"],
+    "CYRILLIC": [c + v for c in "б в г д з к л м н п р с т ф".split() for v in "аеио"],
+}
+ENDINGS = {("LATIN", "f"): "na", ("LATIN", "m"): "n", ("CYRILLIC", "f"): "на", ("CYRILLIC", "m"): "н"}
 
 
 def luhn(digits: str) -> int:
@@ -113,12 +133,33 @@ def canonical(kind: str, value: str) -> str:
     """One form for all spellings of an entity, digits of any script as 0-9."""
     if kind in ("card", "phone", "ssn", "ip"):
         value = re.sub(r"\d", lambda m: str(int(m.group())), value)
+    if kind == "iban":
+        return value.replace(" ", "")
+    if kind == "ipv6":
+        return str(ipaddress.IPv6Address(value))
     if kind in ("card", "phone", "ssn"):
         digits = re.sub(r"\D", "", value)
         return digits[-10:] if kind == "phone" and len(digits) > 10 else digits
     return value.lower() if kind in ("email", "ip") or kind.startswith("name") else value
 
 
+def iban_check(country: str, account: str) -> str:
+    """The two check digits that make country + check + account valid."""
+    number = "".join(str(int(c, 36)) for c in account + country + "00")
+    return f"{98 - int(number) % 97:02d}"
+
+
+def is_ipv6(value: str) -> bool:
+    """Whether it is an address with at least three written groups."""
+    if len([g for g in value.split(":") if g]) < 3:
+        return False
+    try:
+        ipaddress.IPv6Address(value)
+    except ValueError:
+        return False
+    return True
+
+
 def card_at(text: str, start: int, run: re.Match | None = None) -> re.Match | None:
     """The card that starts there: the whole ``run`` of 13 to 19 digits,
     unless it ends inside an address or decimal, or else a usual grouping."""
@@ -149,8 +190,8 @@ def phone_end(text: str, start: int, end: int) -> int | None:
     return end
 
 
-def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
-    """(start, end, type, value) of every entity of a text, in order."""
+def _by_pattern(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """Entities that show themselves by their form or by what stands before."""
     to = run = 0
     while m := ENTITY.search(text, to):
         kind = m.lastgroup if m.lastgroup != "title" else "name"
@@ -161,6 +202,17 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
                 to, run = m.start() + 1, max(run, m.end())
                 continue
             m = card
+        elif kind == "iban":
+            end = next((e for e in range(m.end(), m.start() + 14, -1) if _iban_ends(text, m.start(), e, m.end())), None)
+            if end is None:
+                to = m.start() + 1
+                continue
+            to = end
+            yield m.start(), end, kind, text[m.start() : end]
+            continue
+        elif kind == "ipv6" and not is_ipv6(m.group()):
+            to = m.start() + 1
+            continue
         elif kind == "phone" and m.group()[0] == "+":
             end = phone_end(text, m.start(), m.end())
             if end is None:
@@ -174,14 +226,53 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
         if kind != "name":
             yield at, at + len(value), kind, value
             continue
-        title = "f" if m.group("title") in FEMALE else "m"
-        parts = list(re.finditer(r"\S+", value))
-        parts = [p for p in parts if p.group()[0].isupper()]
-        if not parts or parts[0].start():
+        title = m.group("title")
+        parts = [p for p in re.finditer(r"\S+", value) if p.group()[0].isupper()]
+        if not parts or parts[0].start() or (title is None and len(parts) < 2):
+            # a title before a word in lower case, or a listed name alone
+            to = m.start() + len(value.split()[0]) if title is None else to
             continue
+        if len(parts) < 2 or parts[1].start() == 0:
+            to = at + parts[-1].end()
         for i, p in enumerate(parts):
-            given = len(parts) > 1 and i == 0
-            yield at + p.start(), at + p.end(), f"name-{title}" if given else "name-s", p.group()
+            gender = GENDER.get(p.group().lower())
+            if gender is None and len(parts) > 1 and i == 0:
+                gender = {None: "n", "Dr": "n", "Prof": "n"}.get(title, "f" if title in FEMALE else "m")
+            listed = gender is not None and (i == 0 or len(parts) == 1)
+            yield at + p.start(), at + p.end(), f"name-{gender}" if listed else "name-s", p.group()
+
+
+def _iban_ends(text: str, start: int, end: int, longest: int) -> bool:
+    """Whether a valid account number ends at ``end``: at the whole match, or
+    before a blank in it."""
+    if end != longest and text[end] != " ":
+        return False
+    value = text[start:end].replace(" ", "")
+    return 15 <= len(value) <= 34 and iban_check(value[:2], value[4:]) == value[2:4]
+
+
+def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """(start, end, type, value) of every entity of a text, in order.  Names
+    found by title or list are found wherever they stand in the text; a part
+    that is a given name once is one everywhere."""
+    found = list(_by_pattern(text))
+    names: dict[str, str] = {}
+    for _, _, kind, value in found:
+        if kind.startswith("name"):
+            names[value] = min(names.get(value, kind), kind)  # name-f, -m, -n before name-s
+    if not names:
+        yield from found
+        return
+    # a mention may be written in capitals
+    spelled_out = names | {v.upper(): k for v, k in names.items() if len(v) > 2}
+    mention = re.compile(r"(?<![\w'’])(?:" + "|".join(map(re.escape, sorted(spelled_out, key=len, reverse=True))) + r")(?!\w)")
+    at = 0
+    for start, end, kind, value in [*found, (len(text), len(text), "", "")]:
+        for m in mention.finditer(text, at, start):
+            yield m.start(), m.end(), spelled_out[m.group()], m.group()
+        if kind:
+            yield start, end, names.get(value, kind), value
+        at = end
 
 
 # --- the keyed permutation ---------------------------------------------------
@@ -253,6 +344,16 @@ def surrogate(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
         for i, s in zip(inner, permute([octets[i] - 1 for i in inner], [254] * len(inner), key, tweak)):
             octets[i] = s + 1
         return ".".join(map(str, octets))
+    if kind == "ipv6":
+        groups = [int(g, 16) for g in ipaddress.IPv6Address(entity).exploded.split(":")]
+        # zero groups stay, so that the address keeps its short form
+        inner = [i for i, g in enumerate(groups) if g]
+        for i, s in zip(inner, permute([groups[i] - 1 for i in inner], [65535] * len(inner), key, tweak)):
+            groups[i] = s + 1
+        return str(ipaddress.IPv6Address(":".join(f"{g:x}" for g in groups)))
+    if kind == "iban":
+        account = permute_text(entity[4:], key, tweak)
+        return entity[:2] + iban_check(entity[:2], account) + account
     if kind == "card":
         # the issuer's first digit stays, the last digit checks the rest
         body = entity[0] + permute_text(entity[1:-1], key, tweak)
@@ -260,19 +361,28 @@ def surrogate(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
     if kind == "key":
         head = 4
         return entity[:head] + permute_text(entity[head:], key, tweak)
-    if kind in ("name-f", "name-m", "name-s"):
+    if kind in ("name-f", "name-m"):
         script = unicodedata.name(entity[0], "LATIN").split()[0]
-        if kind != "name-s":
-            gender = GENDER.get(entity, kind[-1])
-            names = GIVEN.get((script, gender))
-            if names and attempt < 2 * len(names):
-                return names[(_number(key, kind, entity) + attempt) % len(names)].lower()
-        return permute_text(entity, key, tweak)
+        gender = GENDER.get(entity, kind[-1])
+        names = GIVEN.get((script, gender))
+        if names and attempt == 0:
+            return names[_number(key, kind, entity) % len(names)].lower()
+        if names and attempt < WIDEN_AT:
+            number, made = _number(key, kind, entity, attempt), ""
+            for _ in range(2 + attempt):
+                number, i = divmod(number, len(SYLLABLES[script]))
+                made += SYLLABLES[script][i]
+            return made + ENDINGS[script, gender]
     return permute_text(entity, key, tweak)
 
 
 def spelled(kind: str, value: str, new: str) -> str:
     """The canonical surrogate in the spelling of one mention."""
+    if kind == "iban" and len(value.replace(" ", "")) == len(new):
+        chars = iter(new)
+        return "".join(c if c == " " else next(chars) for c in value)
+    if kind == "ipv6":
+        return new.upper() if value.upper() == value and re.search("[A-F]", value) else new
     if kind in ("card", "phone", "ssn"):
         digits = iter(new)
         skip = max(0, sum(c.isdecimal() for c in value) - len(new))
@@ -292,15 +402,17 @@ def spelled(kind: str, value: str, new: str) -> str:
     return new
 
 
-def rewrite(text: str, key: bytes, attempts: dict[tuple[str, str], int], known: dict) -> str:
-    """``text`` with every entity replaced."""
+def rewrite(text: str, key: bytes, exceptions: dict[tuple[str, str], tuple[str, int]], known: dict) -> str:
+    """``text`` with every entity replaced; ``exceptions`` gives kind and
+    attempt of entities (by the kind of the mention) that are not as shown."""
     out, at = [], 0
     for start, end, kind, value in entities(text):
         entity = canonical(kind, value)
-        k = (kind, entity, attempts.get((kind, entity), 0))
+        as_kind, attempt = exceptions.get((kind, entity), (kind, 0))
+        k = (as_kind, entity, attempt)
         new = known.get(k)
         if new is None:
-            new = surrogate(kind, entity, key, k[2])
+            new = surrogate(as_kind, entity, key, attempt)
             if len(known) < 100_000:
                 known[k] = new
         out += [text[at:start], spelled(kind, value, new)]
@@ -325,35 +437,41 @@ def find_entities(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").filter(F.col("text").rlike(MAYBE)).mapInPandas(run, schema)
 
 
-def attempts_table(found: DataFrame, key: bytes) -> DataFrame:
-    """(kind, entity, attempt) of the entities that cannot use attempt 0."""
-    given = materialize(found.select("kind", "entity").distinct(), "pii-entities")
+def exceptions_table(found: DataFrame, key: bytes) -> DataFrame:
+    """(kind, entity, as_kind, attempt) of the mentions' entities that are not
+    simply attempt 0 of the kind shown."""
+    shown = materialize(found.select("kind", "entity").distinct(), "pii-shown")
+    # one kind a name in the whole corpus: name-f, name-m, name-n, name-s
+    kinds = shown.filter("kind LIKE 'name-%'").groupBy("entity").agg(F.min("kind").alias("as_kind"))
+    as_kind = F.when(F.col("kind").startswith("name-"), F.col("as_kind")).otherwise(F.col("kind"))
+    shown = shown.join(kinds, "entity", "left").select("kind", "entity", as_kind.alias("as_kind"))
+    shown = materialize(shown, "pii-kinds")
+    space = F.substring_index("as_kind", "-", 1).alias("space")
 
     @F.pandas_udf("string")
     def candidate(kind: pd.Series, entity: pd.Series, attempt: pd.Series) -> pd.Series:
         return pd.Series([surrogate(k, e, key, int(a)) for k, e, a in zip(kind, entity, attempt)], dtype="object")
 
-    def claims(df: DataFrame) -> DataFrame:
-        # names of all kinds share one space of surrogates
-        return df.withColumn("new", candidate("kind", "entity", "attempt")).withColumn("space", F.substring_index("kind", "-", 1))
-
-    current = materialize(claims(given.withColumn("attempt", F.lit(0))), "pii-claims")
-    real = given.select(F.substring_index("kind", "-", 1).alias("space"), F.col("entity").alias("new")).distinct()
+    # every round settles claims: of those for one surrogate the first by
+    # checksum, if it is neither an entity of the corpus nor settled before
+    claims = shown.select("as_kind", "entity", F.lit(0).alias("attempt")).distinct()
+    settled = shown.select(space, F.col("entity").alias("new")).distinct()
+    rounds = []
     while True:
-        shared = current.groupBy("space", "new").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("attempt", F.xxhash64("entity", "kind"), "entity", "kind")).alias("first")
-        )
-        # one name entity may appear as given name and surname; each keeps its claim
-        shared = shared.filter("n > 1").select("space", "new", F.col("first.entity").alias("e1"), F.col("first.kind").alias("k1"))
-        twice = current.join(shared, ["space", "new"]).filter("entity <> e1 OR kind <> k1").select("kind", "entity")
-        taken = current.join(real, ["space", "new"], "left_semi").select("kind", "entity")
-        again = materialize(twice.unionByName(taken).distinct().withColumn("_again", F.lit(1)), "pii-again")
-        if again.isEmpty():
+        claims = materialize(claims.withColumn("new", candidate("as_kind", "entity", "attempt")).withColumn("space", space), "pii-claims")
+        if claims.isEmpty():
             break
-        later = current.join(again, ["kind", "entity"]).select("kind", "entity", (F.col("attempt") + 1).alias("attempt"))
-        rest = current.join(again, ["kind", "entity"], "left_anti")
-        current = materialize(rest.unionByName(claims(later)), "pii-claims")
-    return current.filter("attempt > 0").select("kind", "entity", "attempt")
+        free = claims.join(settled, ["space", "new"], "left_anti")
+        winner = free.groupBy("space", "new").agg(F.min_by(F.struct("as_kind", "entity"), F.xxhash64("as_kind", "entity")).alias("w"))
+        winner = materialize(winner.select("space", "new", "w.as_kind", "w.entity"), "pii-settled")
+        rounds.append(claims.join(winner, ["space", "new", "as_kind", "entity"], "left_semi").select("as_kind", "entity", "attempt"))
+        settled = settled.unionByName(winner.select("space", "new"))
+        claims = claims.join(winner, ["space", "new", "as_kind", "entity"], "left_anti").select("as_kind", "entity", (F.col("attempt") + 1).alias("attempt"))
+    late = shown.filter("false").select("as_kind", "entity", F.lit(0).alias("attempt"))
+    for r in rounds[1:]:
+        late = late.unionByName(r)
+    out = shown.join(late, ["as_kind", "entity"], "left").withColumn("attempt", F.coalesce("attempt", F.lit(0)))
+    return out.filter("attempt > 0 OR kind <> as_kind").select("kind", "entity", "as_kind", "attempt")
 
 
 def replace_pii(docs: DataFrame, key: str) -> DataFrame:
@@ -362,25 +480,25 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     small_batches(docs.sparkSession)
     secret = key.encode()
     found = materialize(find_entities(docs), "pii-found")
-    late = attempts_table(found, secret)
+    late = materialize(exceptions_table(found, secret), "pii-late")
     per_doc = found.join(late, ["kind", "entity"]).groupBy("doc_id").agg(
-        F.collect_set(F.struct("kind", "entity", "attempt")).alias("attempts")
+        F.collect_set(F.struct("kind", "entity", "as_kind", "attempt")).alias("exceptions")
     )
-    per_doc = materialize(prefixed(per_doc, "_pii_"), "pii-exceptions")
+    per_doc = materialize(prefixed(per_doc, "pii_"), "pii-exceptions")
 
     @F.pandas_udf("string")
-    def rewritten(text: pd.Series, attempts: pd.Series) -> pd.Series:
+    def rewritten(text: pd.Series, exceptions: pd.Series) -> pd.Series:
         known: dict = {}
         out = []
-        for t, a in zip(text, attempts):
-            late_ones = {(x["kind"], x["entity"]): x["attempt"] for x in a} if a is not None else {}
+        for t, a in zip(text, exceptions):
+            late_ones = {(x["kind"], x["entity"]): (x["as_kind"], x["attempt"]) for x in a} if a is not None else {}
             out.append(rewrite(t, secret, late_ones, known) if t else t)
         return pd.Series(out, dtype="object")
 
-    d = docs.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_pii_doc_id")), "left")
+    d = prefixed(docs, "doc_").join(per_doc, F.col("doc_doc_id").eqNullSafe(F.col("pii_doc_id")), "left")
     # a Python function sees every row, so texts that need none go in as null
-    d = d.withColumn("_pii_text", F.when(F.col("text").rlike(MAYBE), F.col("text")))
-    d = d.withColumn("text", F.coalesce(rewritten("_pii_text", "_pii_attempts"), "text"))
+    d = d.withColumn("given", F.when(F.col("doc_text").rlike(MAYBE), F.col("doc_text")))
+    d = d.withColumn("doc_text", F.coalesce(rewritten("given", "pii_exceptions"), "doc_text"))
     if "n_chars" in docs.columns:
-        d = d.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return d.select(*docs.columns)
+        d = d.withColumn("doc_n_chars", F.length("doc_text").cast(docs.schema["n_chars"].dataType))
+    return d.select(*restored(docs.columns, "doc_"))

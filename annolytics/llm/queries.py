@@ -127,7 +127,7 @@ WITH d AS (
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
          CAST([5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS weight
-  FROM d GROUP BY source HAVING sum(size) > 0),
+  FROM d GROUP BY source),
 f AS (SELECT *, 3.0E0 * source_size / weight AS fill FROM s),
 l AS (
   SELECT *, (sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER b, 0))
@@ -135,7 +135,7 @@ l AS (
   FROM f WINDOW b AS (ORDER BY fill, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 t AS (
   SELECT source, weight, source_size,
-         least(3.0E0 * source_size, weight * (SELECT lev FROM l WHERE lev <= fill ORDER BY fill LIMIT 1)) AS target
+         least(3.0E0 * source_size, weight * (SELECT lev FROM l WHERE lev <= fill ORDER BY fill, source NULLS LAST LIMIT 1)) AS target
   FROM l),
 q AS (
   SELECT doc_id, source, sum(size) AS size,
@@ -207,14 +207,17 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- 4 personal data --------------------------------------------------------------
 
-#: Key of the surrogates; a deployment passes its own secret.
-SURROGATE_KEY = "annolytics surrogates"
+def surrogate_key(spark: SparkSession) -> str:
+    """Key of the surrogates: the session's ``annolytics.surrogate.key``.  A
+    deployment sets its own secret; without one the key is public, and the
+    surrogates can be computed back by whoever has this source."""
+    return spark.conf.get("annolytics.surrogate.key", "public test key")
 
 
 @query("op4_pii_surrogates")
 def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with personal data replaced by surrogates."""
-    return pii.replace_pii(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    return pii.replace_pii(table(spark, sf_dir, "documents"), surrogate_key(spark))
 
 
 # --- 7 toxicity ---------------------------------------------------------------------
