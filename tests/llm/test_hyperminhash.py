@@ -99,3 +99,31 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = spark.createDataFrame(chain + star + [(7, 7)], "a long, b long")
     got = {r[0]: r[1] for r in H.components(edges).collect()}
     assert got == {i: 0 for i in range(61)} | {i: 500 for i in range(500, 560)}
+
+
+def test_one_id_with_several_texts(docs_of):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (4, "alone here with five words"), (4, None), (5, a), (5, a), (None, b), (3, "")]
+    got = H.near_duplicates(docs_of([(i, t, "en", "s") for i, t in rows])).collect()
+    assert len(got) == len(rows)
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in got} == {
+        (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (5, 1, False), (None, None, True)
+    }
+    assert sorted(r["n_shingles"] for r in got if r["doc_id"] == 4) == [0, 1]
+
+
+def test_texts_of_candidates_only_leave_the_scan(spark, docs_of):
+    docs = docs_of([(i, f"text number {i} with some words", "en", "s") for i in range(50)])
+    pairs = spark.createDataFrame([(1, 2)], "a long, b long")
+    seen = []
+    original = H.materialize
+
+    def watch(df, name):
+        seen.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return original(df, name)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(H, "materialize", watch)
+        H._confirmed(pairs, docs, 5, 80).collect()
+    plan = dict(seen)["dup-texts"]
+    assert "BroadcastHashJoin" in plan and "SortAggregate" not in plan and "hashpartitioning" not in plan

@@ -67,3 +67,11 @@ def test_null_and_repeated_ids(docs_of):
 def test_empty(docs_of):
     assert plan(docs_of([])) == []
     assert [o[4] for o in plan(docs_of([(1, None, "en", None)]))] == [0]
+
+
+def test_sources_without_words_keep_their_place(docs_of):
+    """A, B (no words), C, D weigh 5, 2, 1, 5."""
+    rows = [(1, "w " * 100, "en", "A"), (2, None, "en", "B"), (3, "w " * 100, "en", "C"), (4, "w " * 100, "en", "D")]
+    got = {r["source"]: (r["weight"], r["target"]) for r in M.mix_plan(docs_of(rows)).collect()}
+    assert {s: w for s, (w, _) in got.items()} == {"A": 5.0, "B": 2.0, "C": 1.0, "D": 5.0}
+    assert got["B"][1] == 0 and abs(got["A"][1] - 1500 / 11) < 1e-9 and abs(got["C"][1] - 300 / 11) < 1e-9 and got["D"] == got["A"]

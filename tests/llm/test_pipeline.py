@@ -47,7 +47,7 @@ def test_one_id_with_different_texts(spark, sf_dir, docs_of):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
 
 
@@ -64,3 +64,14 @@ print(json.dumps(sorted(k for k in e.queries() if k.startswith("op") or k == "pi
 """
     out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True)
     assert json.loads(out.stdout.strip().splitlines()[-1]) == [], out.stderr
+
+
+def test_columns_of_any_name_come_back_unchanged(spark, sf_dir, docs_of):
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = docs_of([(1, text, "en", "s"), (2, text + " a@example.org", "en", "s"), (5, "other words " * 30, "en", "t"), (7, None, None, None)])
+    extra = [c for c in docs.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+    assert {"_p", "_source", "_id", "_row", "_pii_doc_id", "mix_size", "kept", "toxic", "tags"} <= set(extra)
+    for _, stage in P.STAGES[:-1]:
+        got = stage(spark, docs, sf_dir)
+        assert got.columns == docs.columns and got.count() > 0
+        assert {tuple(str(r[c]) for c in extra) for r in got.collect()} == {tuple(str(r[c]) for c in extra) for r in docs.collect()}

@@ -64,3 +64,58 @@ def test_without_two_classes_nothing_is_rejected(spark, docs_of, labels):
     out = X.detect(docs_of([(1, "vile", "en", "s"), (2, None, "en", "s")]), lab).collect()
     assert len(out) == 2 and all(r["kept"] for r in out)
     assert X.detect(docs_of([]), lab).count() == 0
+
+
+def plain_chain(rows, fold_of, n_tokens, min_rows, min_chi, l2, folds=5):
+    """The chain on (id, text, y) rows, without Spark: weights of the final
+    models and out-of-fold probabilities."""
+
+    def choose(some):
+        n, pos = len(some), sum(y for _, _, y in some)
+        seen = {}
+        for _, t, y in some:
+            for w in set(X.tokens(t)):
+                a, m = seen.get(w, (0, 0))
+                seen[w] = a + y, m + 1
+        chi = {w: (a - m * pos / n) ** 2 * n * n / (m * (n - m + 0.5) * pos * (n - pos) / n) for w, (a, m) in seen.items() if m >= min_rows}
+        best = sorted((w for w in chi if chi[w] >= min_chi), key=lambda w: (-chi[w], w))[:n_tokens]
+        return best, np.array([seen[w][0] > seen[w][1] * pos / n for w in best], dtype=bool)
+
+    fold = np.array([fold_of[i] for i, _, _ in rows])
+    y = np.array([float(v) for _, _, v in rows])
+    parts = [[r for r, f in zip(rows, fold) if f != k] for k in range(folds + 1)]
+    chosen = [choose(p) for p in parts]
+    tables = [X.counts([t for _, t, _ in rows], {w: i for i, w in enumerate(c[0])}) for c in chosen]
+    earlier, final = np.zeros((len(rows), 0)), []
+    for category in X.CATEGORIES:
+        p = np.zeros(len(rows))
+        for k in range(folds + 1):
+            x, n = tables[k]
+            keep = fold != k
+            label = X.categories(x, chosen[k][1], n, y)[category]
+            full = np.hstack([np.log1p(x), earlier])
+            w = X.fit_part(full[keep], label[keep], l2)
+            if k < folds:
+                p[~keep] = X.probability(full[~keep], w)
+            else:
+                final.append(w)
+        earlier = np.c_[earlier, p]
+    return chosen[folds][0], final, earlier
+
+
+def test_equals_a_plain_chain(spark, docs_of, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rows, labels = corpus(600, 4)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    docs = docs_of(rows)
+    seen = {}
+    original = X.materialize
+    monkeypatch.setattr(X, "materialize", lambda df, name: seen.setdefault(name, []).append(original(df, name)) or seen[name][-1])
+    chain = X.fit_chain(docs, lab, n_tokens=12, min_chi=5.0)
+    fold_of = {r["doc_id"]: r["fold"] for r in docs.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(5)).alias("fold")).collect()}
+    vocabulary, final, earlier = plain_chain([(i, t, labels[i][2]) for i, t, _, _ in rows], fold_of, 12, 5, 5.0, 0.3)
+    assert list(chain.vocabulary) == vocabulary and len(vocabulary) >= 4
+    assert all(np.allclose(a, b, atol=1e-6) for a, b in zip(chain.weights, final))
+    got = sorted(tuple(np.round(r["earlier"], 6)) for r in seen["toxicity-design"][-1].collect())
+    assert np.allclose(got, sorted(map(tuple, np.round(earlier, 6))), atol=2e-6)

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from annolytics.llm import url_filter as U
 
 
@@ -56,3 +58,27 @@ def test_repeated_rows_keep_their_number(spark):
     df = spark.createDataFrame([(1, "http://a/")] * 3, "page_id long, url string")
     rows = U.judge_urls(df, U.rules_frame(spark, [("allow", "a", "/"), ("block", "a", "/")])).collect()
     assert [r["verdict"] for r in rows] == ["block"] * 3
+
+
+def test_many_path_rules_on_one_host_stay_few_rows(spark, monkeypatch):
+    written = {}
+    original = U.materialize
+
+    def counted(df, name):
+        out = original(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(U, "materialize", counted)
+    rules = [("block" if i % 3 else "allow", "com", f"/p{i}/") for i in range(3000)] + [("allow", "h7.com", "/p7"), ("block", "com", "/")]
+    urls = [f"http://h{i}.com/p{i * 7 % 3100}/x?y" for i in range(2000)]
+    check(spark, urls, rules)
+    assert max(written.values()) <= len(rules) + 2 * len(urls)
+    cells = U.sweep(spark.createDataFrame([(f"com.h{i}.",) for i in range(2000)], "key string"), U.rules_frame(spark, rules[:50]).select(U.host_key(F.col("host")).alias("key")))
+    assert max(len(r["stack"]) for r in cells.collect()) == 1
+
+
+def test_nested_paths(spark):
+    rules = [("block", "com", "/a"), ("allow", "com", "/a/b"), ("block", "com", "/a/b/c"), ("allow", "x.com", "/a/"), ("block", "com", "/a/b/d/e"), ("block", "com", "")]
+    paths = ["", "/", "/a", "/a/", "/a/b", "/a/b/", "/a/b/c", "/a/b/cc/", "/a/b/d", "/a/b/d/e/f", "/a/c", "/ab", "/b", "/a/é", "/a\n/b"]
+    check(spark, [f"http://{h}{p}" for h in ("com", "x.com", "y.x.com", "org") for p in paths], rules, slices=4)
