@@ -11,77 +11,13 @@ whole; the tests hold each stage against a brute-force version.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from annolytics.llm import hyperminhash, mixing, pii, sentencepiece_codec, toxicity
-from annolytics.llm.queries import SURROGATE_KEY, piece_model, table
+from annolytics.llm.pipeline_stages import drop_near_duplicates, drop_toxic, encode_tokens, mix_sources, replace_personal_data
+from annolytics.llm.queries import table
 from annolytics.session import materialize
 
 ORACLE_SQL = None
 
-
-def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier chain does not reject."""
-    return toxicity.detect(docs, table(spark, sf_dir, "labels")).filter("kept").select(*docs.columns)
-
-
-def row_ids(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_row``, the id of a row's document: doc_id, or where
-    some id has several texts, a number in the order of (doc_id, digest of the
-    text).  Null ids stay null."""
-    known = docs.filter("doc_id IS NOT NULL")
-    twice = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(F.col("doc_id").alias("_id"))
-    twice = materialize(twice, "pipeline-repeated")
-    digest = F.coalesce(F.sha2("text", 256), F.lit(""))
-    texts = known.join(twice, known["doc_id"] == twice["_id"], "left_semi").groupBy("doc_id").agg(F.min(digest).alias("_a"), F.max(digest).alias("_b"))
-    if twice.isEmpty() or texts.filter("_a <> _b").isEmpty():
-        return docs.withColumn("_row", F.col("doc_id"))
-    keys = known.select(F.col("doc_id").alias("_id"), digest.alias("_of")).distinct().sort("_id", "_of")
-    keys = materialize(keys.withColumn("_row", F.monotonically_increasing_id()), "pipeline-row-ids")
-    numbered = docs.join(keys, (docs["doc_id"] == keys["_id"]) & (digest == keys["_of"]), "left")
-    return materialize(numbered.select(*docs.columns, "_row"), "pipeline-numbered")
-
-
-def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies (five words, 80 %): the one
-    with the smallest id.  Rows with one id and text are one document, of
-    which the first by the other columns stays; rows with one id and different
-    texts are different documents; rows without an id all stay."""
-    rows = row_ids(docs)
-    near = hyperminhash.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
-    judged = materialize(near.select("doc_id", "kept"), "pipeline-judged")
-    by_id = judged.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    special = materialize(by_id.filter("NOT kept OR n > 1").select(F.col("doc_id").alias("_id"), "kept"), "pipeline-special")
-    plain = rows.join(special, rows["_row"] == special["_id"], "left_anti").select(*docs.columns)
-    repeated = rows.join(special.filter("kept"), rows["_row"] == F.col("_id"), "left_semi")
-    first = repeated.groupBy("_row").agg(F.min(F.struct(*docs.columns)).alias("_first"))
-    return plain.unionByName(first.select("_first.*"))
-
-
-def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with surrogates for personal data."""
-    return pii.replace_pii(docs, SURROGATE_KEY)
-
-
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every copy of a document that the mix takes."""
-    return mixing.mix(docs)
-
-
-def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether they decode to its text."""
-    model = piece_model()
-    coded = sentencepiece_codec.encode_and_decode(docs, model, "text", "ids", "decoded")
-    return coded.select(
-        "doc_id",
-        "lang",
-        "source",
-        "ids",
-        F.size("ids").cast("long").alias("n_tokens"),
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"),
-    )
-
-
 STAGES = [
     ("toxicity", drop_toxic),
     ("near_duplicates", drop_near_duplicates),
