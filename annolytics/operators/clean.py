@@ -237,7 +237,7 @@ def duplicate_label_variation(df: DataFrame, k: int | None = 10, text: str = TEX
         "n_rows",
         "n_labels",
         F.round(F.try_divide(F.col("_s"), n), 6).alias("mean_label"),
-        F.round(F.sqrt(F.greatest(var, F.lit(0.0))), 6).alias("std_label"),
+        F.round(F.sqrt(F.when(var < 0, 0.0).otherwise(var)), 6).alias("std_label"),
         "min_label",
         "max_label",
         "n_annotators",

@@ -8,7 +8,6 @@ overrides a value that is already set.
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 import uuid
@@ -32,6 +31,9 @@ _DEFAULTS = {
 }
 
 
+#: Deletes a query's shuffle files at its end (Spark 4.1; else ignored).
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Folder of the tables that ``materialize`` writes, if a job has set one.
 SCRATCH: ContextVar[str | None] = ContextVar("annolytics_scratch", default=None)
 
@@ -99,19 +101,17 @@ def materialize(df, name: str):
     spark = df.sparkSession
     folder = SCRATCH.get() or f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables"
     path = f"{folder}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # what the plan exchanged is of no use once the table is written: its files
+    # go now instead of at some garbage collection of the driver
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished plans now.  Its cleaner
-    follows the driver's garbage collection, which a driver with little to do
-    runs rarely, so the files of one large step would still lie on the disks
-    beside those of the next."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def checked_broadcast(df, name: str, max_rows: int = 20_000):
     """``df`` written once, and hinted for broadcast if it has at most
     ``max_rows`` rows; a larger table is left to the join."""
