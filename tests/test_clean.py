@@ -105,3 +105,27 @@ def test_funnel_adds_up(spark, sf_dir):
     removed = sum(f[s].removed for s in ("holdout", "duplicates", "short_texts", "rushed_annotators"))
     assert f["holdout"].records_before - removed == f["final_train"].records_after
     assert f["final_train"].records_after + f["final_test"].records_after == f["final_total"].records_after
+
+
+def test_duplicate_resolution_keys_are_numbers(spark):
+    """No sort aggregate, and no text in the aggregations' exchanges."""
+    import re
+
+    plan = C.resolve_duplicates(rows(spark, DUPS))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    aggregated = [e for e in re.findall(r"hashpartitioning\(([^)]*)\)", plan)]
+    assert aggregated and not any("text" in e for e in aggregated)
+
+
+def test_duplicate_rows_with_one_text_and_key(spark):
+    twice = [(1, "A", "s", "t", "1-x", 1, 2.0), (1, "A", "s", "t", "2-x", 2, 2.0), (1, "A", "s", "t", "2-x", 2, 2.0), (2, "B", "s", "t", "2-x", 2, 1.0)]
+    got = C.resolve_duplicates(rows(spark, twice)).collect()
+    assert [r.annotation_id for r in got] == [1]
+    assert [tuple(r) for r in C.resolve_duplicates(rows(spark, twice[::-1])).collect()] == [tuple(r) for r in got]
+
+
+def test_label_variation_by_digest(spark):
+    got = {r.text: r for r in C.duplicate_label_variation(rows(spark, DUPS), k=None).collect()}
+    pair = got["nulllabel"]
+    assert (pair.n_rows, pair.n_labels, pair.mean_label, pair.std_label, pair.n_annotators) == (2, 0, None, None, 2)
+    assert set(got) == {"same", "diff", "three", "tie", "nulllead", "nulllabel", "allnull"}

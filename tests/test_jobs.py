@@ -1,17 +1,20 @@
 from annolytics.plans import training as P
 
 
-def test_training_job_cross_validates(spark, sf_dir, monkeypatch):
-    logistic = P._candidates()["logistic_regression"]
-    monkeypatch.setattr(P, "_candidates", lambda: {"logistic_regression": logistic})
+def test_training_job_as_registered(spark, sf_dir):
+    """All three classifiers with their real settings, and ridge."""
     rows = P.q_features_train_job(spark, sf_dir).collect()
+    classifiers = ("logistic_regression", "random_forest", "gradient_boosting")
     assert {(r["model"], r["split"]) for r in rows} == {
-        *((m, s) for m in ("logistic_regression", "ridge") for s in ("train", "test")),
-        ("logistic_regression", "cross_validation"),
+        *((m, s) for m in (*classifiers, "ridge") for s in ("train", "test")),
+        *((m, "cross_validation") for m in classifiers),
     }
-    cv = next(r for r in rows if r["split"] == "cross_validation")
-    assert 0 < cv["accuracy"] < 1 and cv["std_accuracy"] >= 0
-    assert cv["n"] == next(r["n"] for r in rows if r["split"] == "train")
+    for r in rows:
+        if r["split"] == "cross_validation":
+            assert 0 < r["accuracy"] < 1 and r["std_accuracy"] >= 0
+            assert r["n"] == next(x["n"] for x in rows if x["split"] == "train")
+    by = {(r["model"], r["split"]): r["accuracy"] for r in rows}
+    assert by["gradient_boosting", "train"] >= by["gradient_boosting", "cross_validation"]
 
 
 def test_score_job_has_all_metrics_on_both_splits(spark, sf_dir):

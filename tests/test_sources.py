@@ -198,3 +198,34 @@ def test_broken_large_files_are_quarantined(spark, tmp_path):
         assert tasks.count() == 30
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+# --- unreadable files in the incremental ingest -------------------------------------------
+
+
+def test_streaming_lists_unreadable_files_once(spark, tmp_path, monkeypatch):
+    from annolytics.streaming import ingest as I
+
+    root, out = tmp_path / "landing", str(tmp_path / "table")
+    (root / "AAA").mkdir(parents=True)
+    (root / "AAA" / "a.json").write_text(json.dumps([task(1, "one", [ann(11, "3-x")])]), encoding="utf-8")
+    (root / "AAA" / "bad.json").write_text('[{"id": 3, "data"', encoding="utf-8")
+    write = I._write
+    written = []
+
+    def lost_between(df, path):
+        if "_unreadable" in path and not written:
+            written.append(path)
+            raise RuntimeError("lost between the two writes")
+        write(df, path)
+
+    monkeypatch.setattr(I, "_write", lost_between)
+    with pytest.raises(Exception, match="lost between"):
+        I.ingest_new_exports(spark, str(root), out)
+    I.ingest_new_exports(spark, str(root), out)  # the batch is replayed
+    (root / "AAA" / "b.json").write_text(json.dumps(task(2, "two", [ann(21, "4-x")])), encoding="utf-8")
+    (root / "AAA" / "worse.json").write_text("nothing", encoding="utf-8")
+    I.ingest_new_exports(spark, str(root), out)
+    assert sorted(r.annotation_id for r in spark.read.parquet(out).collect()) == [11, 21]
+    bad = I.unreadable_files(spark, out).collect()
+    assert sorted((r.student_code, r.json_filename) for r in bad) == [("AAA", "bad.json"), ("AAA", "worse.json")]

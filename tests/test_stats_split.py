@@ -120,3 +120,20 @@ def test_capped_sample_takes_a_small_frame_whole(spark):
     large = spark.createDataFrame([(i, i % 5 + 1) for i in range(500)], "id long, label_numeric int")
     got = capped_class_sample(large, "id")
     assert got.columns == ["id", "label_numeric"] and got.count() == 32
+
+
+def test_resample_has_exactly_n_draws_within_binomial_bounds(spark):
+    df = spark.createDataFrame([(i, 1 if i % 10 else 2 + i % 3) for i in range(2000)] + [(9999, None)], "id long, label_numeric int")
+    classes = df.filter("label_numeric IS NOT NULL").select("label_numeric").distinct().count()
+    for n in (1, 37, 2000, 5000):
+        for seed in (1, 42):
+            got = balanced_resample(df, "id", n=n, seed=seed)
+            assert got.columns == df.columns and got.count() == n
+    counts = {r["label_numeric"]: r["count"] for r in balanced_resample(df, "id", n=5000).groupBy("label_numeric").count().collect()}
+    p = 1 / classes
+    # six standard deviations of a binomial count
+    assert all(abs(c - 5000 * p) < 6 * (5000 * p * (1 - p)) ** 0.5 for c in counts.values()) and len(counts) == classes
+    # inside a class every row has the same chance: no row of the large class comes too often
+    most = balanced_resample(df, "id", n=5000).filter("label_numeric = 1").groupBy("id").count().agg(F.max("count")).first()[0]
+    assert most <= 12
+    assert balanced_resample(df.filter("false"), "id").count() == 0
