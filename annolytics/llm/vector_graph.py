@@ -19,8 +19,11 @@ query itself), so that many are kept beside the index, and results are still
 those over all rows.
 
 Scale: a task holds one shard, or one shard and one block of queries, both of
-bounded size; each row of the index is a whole shard in binary form, written
-to the shared folder once and read by all query blocks.
+bounded size.  A row of the index is a whole shard in binary form (vectors in
+the width they came in, graph, entry points; what follows from them is
+computed on loading).  Rows of the index and blocks of queries are dealt by
+shard and sorted, the shard first: each shard moves and is loaded once, and
+the query blocks stream past it.
 
 Defined cases: vectors that are null, empty, all zero, or hold null or
 non-finite components take no part; only vectors of one length are compared;
@@ -36,7 +39,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annolytics.session import materialize
+from annolytics.session import checked_broadcast, materialize
 
 DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA, STRICT, ENTRIES = 32, 64, 112, 1.2, 0.8, 256
 SHARD_ROWS, BLOCK_ROWS = 8192, 1024
@@ -191,37 +194,79 @@ def _pack(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return pdf["id"].to_numpy(np.int64), np.vstack(pdf["v"]).astype(np.float64)
 
 
+def _narrow(vectors: np.ndarray) -> bytes:
+    """The vectors in single precision if that holds them exactly."""
+    single = vectors.astype(np.float32)
+    return (single if (single == vectors).all() else vectors).tobytes()
+
+
+def _wide(raw: bytes, rows: int, dim: int) -> np.ndarray:
+    """What ``_narrow`` stored, in double precision."""
+    kind = np.float32 if len(raw) == 4 * rows * dim else np.float64
+    return np.frombuffer(raw, kind).reshape(rows, dim).astype(np.float64)
+
+
+def _points(vectors: np.ndarray, top: float) -> np.ndarray:
+    """The vectors with the coordinate that turns products into distances."""
+    extra = np.sqrt(np.maximum(top - (vectors * vectors).sum(axis=1), 0))
+    return np.hstack([vectors, extra[:, None]]).astype(np.float32)
+
+
 def build_index(classes: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """One row per shard (ids, vectors, graph, entry points in binary form),
     from distinct vectors (id, v)."""
     sizes = classes.groupBy(F.size("v").alias("d")).agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda s, t: s + t * t)).alias("top")
+        F.count(F.lit(1)).alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda s, t: s + t.cast("double") * t.cast("double"))).alias("top")
     )
     sizes = sizes.select("d", F.ceil(F.col("n") / shard_rows).cast("int").alias("shards"), "top")
-    dealt = classes.join(F.broadcast(sizes), F.size("v") == F.col("d"))  # one row per vector length
+    dealt = classes.join(checked_broadcast(sizes, "ann-sizes"), F.size("v") == F.col("d"))  # one row per vector length
     dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")).cast("int"))
 
     def build(key, pdf):
         ids, vectors = _pack(pdf)
-        extra = np.sqrt(np.maximum(pdf["top"].iloc[0] - (vectors * vectors).sum(axis=1), 0))
-        x = np.hstack([vectors, extra[:, None]]).astype(np.float32)
-        graph, entries = build_graph(x)
+        top = float(pdf["top"].iloc[0])
+        graph, entries = build_graph(_points(vectors, top))
         return pd.DataFrame(
             {
                 "dim": [vectors.shape[1]],
                 "shard": [key[1]],
                 "shards": [int(pdf["shards"].iloc[0])],
+                "top": [top],
                 "ids": [ids.tobytes()],
-                "vectors": [vectors.tobytes()],
-                "points": [x.tobytes()],
+                "vectors": [_narrow(vectors)],
                 "graph": [graph.tobytes()],
                 "entries": [entries.tobytes()],
             }
         )
 
-    return dealt.groupBy("d", "shard").applyInPandas(
-        build, "dim int, shard int, shards int, ids binary, vectors binary, points binary, graph binary, entries binary"
-    )
+    return dealt.groupBy("d", "shard").applyInPandas(build, INDEX)
+
+
+#: Columns of the index.
+INDEX = "dim int, shard int, shards int, top double, ids binary, vectors binary, graph binary, entries binary"
+
+
+class _Shard:
+    """A loaded row of the index."""
+
+    def __init__(self, r):
+        self.ids = np.frombuffer(r.ids, np.int64)
+        self.vectors = _wide(r.vectors, len(self.ids), r.dim)
+        self.points = _points(self.vectors, r.top)
+        self.graph = np.frombuffer(r.graph, np.int32).reshape(len(self.ids), -1)
+        self.entries = np.frombuffer(r.entries, np.int32)
+
+    def best(self, ids: np.ndarray, queries: np.ndarray, k: int, beam: int):
+        """Frames of the best ``k`` rows for each query."""
+        for at in range(0, len(ids), 256):
+            part = queries[at : at + 256]
+            q = np.hstack([part, np.zeros((len(part), 1))]).astype(np.float32)
+            found, _ = beam_search(self.points, self.graph, self.entries, q, max(beam, k))
+            row, col = np.nonzero(found >= 0)
+            hit = found[row, col]
+            score = inner_products(part[row], self.vectors[hit])
+            out = pd.DataFrame({"query_id": ids[at + row], "id": self.ids[hit], "score": score})
+            yield out.sort_values(["query_id", "score", "id"], ascending=[True, False, True]).groupby("query_id", sort=False).head(k)
 
 
 def search(index: DataFrame, queries: DataFrame, k: int, block_rows: int = BLOCK_ROWS, beam: int = SEARCH_BEAM) -> DataFrame:
@@ -233,40 +278,29 @@ def search(index: DataFrame, queries: DataFrame, k: int, block_rows: int = BLOCK
 
     def pack(key, pdf):
         ids, vectors = _pack(pdf)
-        return pd.DataFrame({"qdim": [key[0]], "block": [key[1]], "qids": [ids.tobytes()], "qvectors": [vectors.tobytes()]})
+        return pd.DataFrame({"dim": [key[0]], "ids": [ids.tobytes()], "vectors": [_narrow(vectors)]})
 
-    blocks = queries.select(F.size("v").alias("qdim"), block.alias("block"), "id", "v").groupBy("qdim", "block").applyInPandas(
-        pack, "qdim int, block int, qids binary, qvectors binary"
+    blocks = queries.select(F.size("v").alias("d"), block.alias("block"), "id", "v").groupBy("d", "block").applyInPandas(
+        pack, "dim int, ids binary, vectors binary"
     )
     # the stated query set, in blocks, against every shard
-    asked = blocks.join(F.broadcast(sizes), F.col("qdim") == F.col("dim")).select(
-        "qdim", "qids", "qvectors", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("qshard")
+    asked = blocks.join(checked_broadcast(sizes, "ann-lengths"), "dim").select(
+        "dim", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.lit(1).alias("kind"), "ids", "vectors"
     )
-    tasks = asked.join(index, (F.col("qdim") == F.col("dim")) & (F.col("qshard") == F.col("shard")))
+    rows = index.drop("shards").withColumn("kind", F.lit(0)).unionByName(asked, allowMissingColumns=True)
+    dealt = rows.repartition("dim", "shard").sortWithinPartitions("dim", "shard", "kind")
 
     def run(frames):
+        shard = None
         for pdf in frames:
             for r in pdf.itertuples():
-                ids, d = np.frombuffer(r.ids, np.int64), r.dim
-                vectors = np.frombuffer(r.vectors).reshape(len(ids), d)
-                x = np.frombuffer(r.points, np.float32).reshape(len(ids), d + 1)
-                graph = np.frombuffer(r.graph, np.int32).reshape(len(ids), -1)
-                qids = np.frombuffer(r.qids, np.int64)
-                qv = np.frombuffer(r.qvectors).reshape(len(qids), d)
-                for at in range(0, len(qids), 256):
-                    part = qv[at : at + 256]
-                    q = np.hstack([part, np.zeros((len(part), 1))]).astype(np.float32)
-                    found, _ = beam_search(x, graph, np.frombuffer(r.entries, np.int32), q, max(beam, k))
-                    row, col = np.nonzero(found >= 0)
-                    hit = found[row, col]
-                    score = inner_products(part[row], vectors[hit])
-                    out = pd.DataFrame({"query_id": qids[at + row], "id": ids[hit], "score": score})
-                    out = out.sort_values(["query_id", "score", "id"], ascending=[True, False, True])
-                    yield out.groupby("query_id", sort=False).head(k)
-
-    return tasks.select("dim", "ids", "vectors", "points", "graph", "entries", "qids", "qvectors").mapInPandas(
-        run, "query_id long, id long, score double"
-    )
+                if r.kind == 0:
+                    shard = _Shard(r)
+                else:
+                    ids = np.frombuffer(r.ids, np.int64)
+                    yield from shard.best(ids, _wide(r.vectors, len(ids), r.dim), k, beam)
+
+    return dealt.mapInPandas(run, "query_id long, id long, score double")
 
 
 #: Parts into which the copies of one vector are dealt.
@@ -289,7 +323,9 @@ def smallest_ids(rows: DataFrame, n: int) -> DataFrame:
 def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest other rows found for
     each row of ``df`` that ``is_query`` selects."""
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), is_query.alias("q"))
+    # single precision stays so on the way; all arithmetic is in double
+    width = "array<float>" if df.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(width).alias("v"), is_query.alias("q"))
     rows = rows.filter(F.col("id").isNotNull() & usable(F.col("v")))
     # the k + 1 smallest ids of every class of equal vectors
     members = materialize(smallest_ids(rows, k + 1), "ann-members")
