@@ -25,18 +25,17 @@ def row_ids(docs: DataFrame) -> DataFrame:
     """``docs`` with its columns renamed to doc_... and ``row``, the id of a
     row's document: doc_id, or where some id has several texts, a number in
     the order of (doc_id, digest of the text).  Null ids stay null."""
-    rows = prefixed(docs, "doc_").withColumnRenamed("doc_doc_id", "doc_id")
-    known = rows.filter("doc_id IS NOT NULL")
-    digest = F.coalesce(F.sha2("doc_text", 256), F.lit(""))
-    twice = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
+    rows = prefixed(docs, "doc_")
+    known = rows.filter("doc_doc_id IS NOT NULL").select(F.col("doc_doc_id").alias("id"), F.coalesce(F.sha2("doc_text", 256), F.lit("")).alias("of"))
+    twice = known.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
     twice = materialize(twice, "pipeline-repeated")
-    texts = known.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(digest).alias("a"), F.max(digest).alias("b"))
+    texts = known.join(twice, "id", "left_semi").groupBy("id").agg(F.min("of").alias("a"), F.max("of").alias("b"))
     if twice.isEmpty() or texts.filter("a <> b").isEmpty():
-        return rows.withColumn("row", F.col("doc_id"))
-    keys = known.select(F.col("doc_id").alias("id"), digest.alias("of")).distinct().sort("id", "of")
+        return rows.withColumn("row", F.col("doc_doc_id"))
+    keys = known.distinct().sort("id", "of")
     keys = materialize(keys.withColumn("row", F.monotonically_increasing_id()), "pipeline-row-ids")
-    numbered = rows.join(keys, (rows["doc_id"] == keys["id"]) & (digest == keys["of"]), "left")
-    return materialize(numbered.select(*rows.columns, "row"), "pipeline-numbered")
+    same = (F.col("doc_doc_id") == F.col("id")) & (F.coalesce(F.sha2("doc_text", 256), F.lit("")) == F.col("of"))
+    return materialize(rows.join(keys, same, "left").drop("id", "of"), "pipeline-numbered")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,12 +49,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     judged = materialize(near.select("doc_id", "kept"), "pipeline-judged")
     by_id = judged.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
     special = materialize(by_id.filter("NOT kept OR n > 1").select(F.col("doc_id").alias("special"), "kept"), "pipeline-special")
-    plain = rows.join(special, rows["row"] == special["special"], "left_anti").select(*own)
-    repeated = rows.join(special.filter("kept"), rows["row"] == F.col("special"), "left_semi")
+    plain = rows.join(special, F.col("row") == F.col("special"), "left_anti").select(*own)
+    repeated = rows.join(special.filter("kept"), F.col("row") == F.col("special"), "left_semi")
     whole = F.struct(*own)
     first = repeated.groupBy("row").agg(F.min_by(whole, F.to_json(whole)).alias("first"))
-    out = plain.unionByName(first.select("first.*")).withColumnRenamed("doc_id", "doc_doc_id")
-    return out.select(*restored(docs.columns, "doc_"))
+    return plain.unionByName(first.select("first.*")).select(*restored(docs.columns, "doc_"))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
