@@ -86,7 +86,7 @@ PATTERNS = (
     ("card", r"(?<![\d\-])(?P<card>\d(?:[ \-]?\d){12,18})(?![\d\-])"),
     (
         "name",
-        rf"(?<!\w)(?:(?P<title>{TITLES})\.?[ \t]|(?=(?:{_NAMES})[ \t]))"
+        rf"(?<!\w)(?=[A-ZА-Я])(?:(?P<title>{TITLES})\.?[ \t]|(?=(?:{_NAMES})[ \t]))"
         r"(?P<name>[^\W\d_][\w'’\-]*(?:[ \t][^\W\d_][\w'’\-]*)?)",
     ),
 )
@@ -107,7 +107,7 @@ CARDS = [
 ]
 #: JVM-side test that a text may hold any entity at all: every text with an
 #: entity passes.  Unassigned characters may be digits of a later Unicode.
-MAYBE = rf"[\p{{Nd}}\p{{Cn}}@=:]|AKIA|ASIA|gh[pousr]_|({TITLES})\.?[ \t]|({_NAMES})[ \t]"
+MAYBE = rf"[\p{{Nd}}\p{{Cn}}@=:]|gh[pousr]_|(?=[A-ZА-Я])(?:AKIA|ASIA|(?:{TITLES})\.?[ \t]|(?:{_NAMES})[ \t])"
 FEMALE = {"Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа"}
 
 #: Attempt from which surrogates may be longer than the entity.
