@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from annolytics.functions.stats import grouped_stats, quantiles_sorted, ratio, running_sum_sorted
-from annolytics.operators.clean import ANNOTATOR, LABEL, LEAD, SOURCE, TEXT
+from annolytics.operators.clean import ANNOTATOR, LABEL, LEAD, SOURCE, TEXT, add_text_length, text_key
 from annolytics.session import checked_broadcast, materialize
 
 LENGTH_PERCENTILES = (1, 5, 10, 25, 50, 75, 90, 95, 99)
@@ -24,24 +24,24 @@ LEAD_PERCENTILES = (5, 10, 25, 50, 75, 90, 95, 99)
 
 
 def _text_length(df: DataFrame) -> DataFrame:
-    return df if "text_length" in df.columns else df.withColumn("text_length", F.length(TEXT))
+    return df if "text_length" in df.columns else add_text_length(df)
 
 
-def text_key(col: str = TEXT):
-    """Digest used to count distinct texts: shuffles 64 hex characters per
-    row instead of the text (collision odds ~n^2 / 2^257)."""
-    return F.sha2(F.col(col), 256)
+def _written(df: DataFrame, *columns) -> DataFrame:
+    """The columns of a profile, written once: its statistics read a narrow
+    table several times, not the plan behind it."""
+    return materialize(df.select(*columns), "profile-rows")
 
 
 def dataset_stats(df: DataFrame, split: str | None = None) -> DataFrame:
     """G1: rows, unique texts and annotators, mean/median length and lead."""
-    d = _text_length(df)
+    d = _written(_text_length(df), text_key(df), ANNOTATOR, "text_length", LEAD)
     out = grouped_stats(
         d,
         [],
         [
             F.count(F.lit(1)).alias("n_rows"),
-            F.countDistinct(text_key()).alias("n_unique_texts"),
+            F.countDistinct("_text").alias("n_unique_texts"),
             F.countDistinct(ANNOTATOR).alias("n_annotators"),
             F.avg("text_length").alias("mean_text_length"),
             F.avg(LEAD).alias("mean_lead_time"),
@@ -86,13 +86,13 @@ def cumulative_label_distribution(df: DataFrame, label: str = LABEL) -> DataFram
 
 def dataset_overview(df: DataFrame) -> DataFrame:
     """One row of headline numbers, easy = labels 4-5, hard = 1-2."""
-    d = _text_length(df)
+    d = _written(_text_length(df), text_key(df), ANNOTATOR, SOURCE, LABEL, "text_length", LEAD)
     out = grouped_stats(
         d,
         [],
         [
             F.count(F.lit(1)).alias("n_rows"),
-            F.countDistinct(text_key()).alias("n_unique_texts"),
+            F.countDistinct("_text").alias("n_unique_texts"),
             F.countDistinct(ANNOTATOR).alias("n_annotators"),
             F.countDistinct(SOURCE).alias("n_source_files"),
             F.avg("text_length").alias("mean_text_length"),
@@ -128,7 +128,7 @@ def records_per_annotator(df: DataFrame) -> DataFrame:
 
 def records_per_annotator_summary(df: DataFrame) -> DataFrame:
     """Mean / median / min / max / sample std of rows per annotator."""
-    per = df.groupBy(ANNOTATOR).agg(F.count(F.lit(1)).alias("n_rows"))
+    per = _written(df.groupBy(ANNOTATOR).agg(F.count(F.lit(1)).alias("n_rows")), "n_rows")
     aggs = [
         F.round(F.avg("n_rows"), 6).alias("mean_rows"),
         F.min("n_rows").alias("min_rows"),
@@ -142,7 +142,7 @@ def records_per_annotator_summary(df: DataFrame) -> DataFrame:
 def describe_numeric(df: DataFrame, columns: Sequence[str] = ("text_length", LEAD)) -> DataFrame:
     """Count, mean, sample std, min, quartiles, max per column — exact,
     unlike ``DataFrame.summary`` (approximate percentiles)."""
-    d = _text_length(df)
+    d = _written(_text_length(df), *columns)
     parts = []
     for c in columns:
         s = grouped_stats(
@@ -176,7 +176,7 @@ def percentile_table(
 ) -> DataFrame:
     """Exact interpolated percentiles per column, long form; lead time
     also in minutes."""
-    d = _text_length(df)
+    d = _written(_text_length(df), *[col for col, _ in specs])
     parts = []
     for col, pcts in specs:
         q = quantiles_sorted(d, col, [p / 100.0 for p in pcts])
@@ -197,7 +197,7 @@ def percentile_table(
 def lead_time_units(df: DataFrame, lead: str = LEAD) -> DataFrame:
     """Mean / median / min / max lead time in seconds and minutes."""
     s = grouped_stats(
-        df,
+        _written(df, lead),
         [],
         [F.avg(lead).alias("mean"), F.min(lead).alias("min"), F.max(lead).alias("max")],
         [(lead, 0.5, "median")],
@@ -211,7 +211,7 @@ def lead_time_units(df: DataFrame, lead: str = LEAD) -> DataFrame:
 def lead_time_by_label(df: DataFrame, lead: str = LEAD, label: str = LABEL) -> DataFrame:
     """Mean, median, sample std of lead time per label."""
     s = grouped_stats(
-        df.filter(F.col(label).isNotNull()),
+        _written(df.filter(F.col(label).isNotNull()), label, lead),
         [label],
         [F.avg(lead).alias("mean_lead_time"), F.stddev_samp(lead).alias("std_lead_time"), F.count(F.lit(1)).alias("n")],
         [(lead, 0.5, "median_lead_time")],
@@ -229,7 +229,7 @@ def annotator_lead_times(df: DataFrame, lead: str = LEAD) -> DataFrame:
     """G12 with the scalable median (see ``annolytics.operators.clean`` for the
     listing used inside the cleaning job)."""
     s = grouped_stats(
-        df,
+        _written(df, ANNOTATOR, lead),
         [ANNOTATOR],
         [F.avg(lead).alias("mean_lead_time"), F.count(lead).alias("n_lead_times"), F.count(F.lit(1)).alias("n_rows")],
         [(lead, 0.5, "median_lead_time")],
@@ -373,7 +373,7 @@ def ecdf(df: DataFrame, value: str = "text_length") -> DataFrame:
     values first (map-side combine); the running sum over them is range
     partitioned, so a continuous column with many distinct values is never
     ordered in one task."""
-    g = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+    g = materialize(df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n")), "value-counts")
     r = running_sum_sorted(g, value, "n", out="cum_n", total="_total")
     return r.select(value, "n", "cum_n", F.round(F.col("cum_n") * 100.0 / F.col("_total"), 6).alias("cum_pct"))
 
@@ -401,7 +401,7 @@ def correlation(df: DataFrame, x: str, y: str) -> DataFrame:
 def post_filter_stats(df: DataFrame, label: str = LABEL, k: int = 5) -> DataFrame:
     """After a filter: length min/max/mean/median, annotators, mean rows
     per annotator and label shares."""
-    d = _text_length(df)
+    d = _written(_text_length(df), ANNOTATOR, label, "text_length")
     aggs = [
         F.count(F.lit(1)).alias("n_rows"),
         F.min("text_length").alias("min_text_length"),

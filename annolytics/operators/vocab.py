@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from annolytics.functions.stats import grouped_stats
 from annolytics.functions.text import word_tokens
+from annolytics.session import materialize
 
 MAX_FEATURES = 500
 MIN_FREQ = 1
@@ -88,7 +89,8 @@ def token_length_stats(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.min("n_tokens").alias("min_tokens"),
         F.max("n_tokens").alias("max_tokens"),
     ]
-    s = grouped_stats(df, list(by), aggs, specs)
+    # counting tokens reads every text: once for all statistics
+    s = grouped_stats(materialize(df.select(*by, "n_tokens"), "token-counts"), list(by), aggs, specs)
     return s.select(
         *by, "n", "mean_tokens", "min_tokens", "max_tokens", *[F.round(a, 6).alias(a) for _, _, a in specs]
     )

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from annolytics.operators import clean as C
 from annolytics.operators import profile as P
 from annolytics.plans.cleaning import cleaned, working
 from annolytics.plans.oracle import ANN, CLEAN
 from annolytics.plans.registry import query
+from annolytics.session import cut_lineage
 from annolytics.sources.views import annotations_v
 
 
@@ -73,7 +75,7 @@ SELECT count(*) AS n_rows, count(DISTINCT text) AS n_unique_texts, count(DISTINC
 FROM working""",
 )
 def q_dataset_overview(spark, sf_dir):
-    return P.dataset_overview(working(spark, sf_dir))
+    return P.dataset_overview(working(spark, sf_dir, text=C.text_reference()))
 
 
 @query(
@@ -212,7 +214,7 @@ FROM grid g LEFT JOIN b ON b.measure = g.measure AND b.bin = g.bin
 GROUP BY g.measure, g.bin, lo, hi, bins""",
 )
 def q_histogram(spark, sf_dir):
-    t = cleaned(spark, sf_dir).train
+    t = cut_lineage(cleaned(spark, sf_dir).train.select("student_code", "text_length", "lead_time_seconds"))
     a = P.histogram(t, "text_length", 50).select(F.lit("text_length").alias("measure"), "*")
     b = P.histogram(t, "lead_time_seconds", 50, upper=120.0).select(F.lit("lead_time_seconds").alias("measure"), "*")
     per = P.records_per_annotator(t)

@@ -12,13 +12,15 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from annolytics.functions.labels import parse_label
+from annolytics.operators.clean import text_key
 from annolytics.session import materialize
 from annolytics.sources.json_ranges import json_records
 
@@ -224,10 +226,12 @@ def read_exports(spark: SparkSession, root: str, pattern: str = "*.json", exclud
 def ingest_summary(rows: DataFrame) -> DataFrame:
     """Total records, unique annotators, unique texts, then the count per
     label (NULL label left out of the listing), as (metric, label, value)."""
+    # exports are parsed once for all numbers
+    rows = materialize(rows.select("student_code", "label_numeric", text_key(rows)), "summary-rows")
     totals = rows.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.countDistinct("student_code").alias("unique_annotators"),
-        F.countDistinct(F.sha2(F.col("text"), 256)).alias("unique_texts"),
+        F.countDistinct("_text").alias("unique_texts"),
     )
     t = totals.select(
         F.stack(
@@ -271,22 +275,60 @@ def task_json(df: DataFrame) -> Column:
     return F.to_json(task)
 
 
-def write_exports(df: DataFrame, root: str, tasks_per_file: int = 1000) -> str:
+#: Characters from which an export file, or all that a task holds back for
+#: unfinished files, is passed on.
+FILE_CHARS, HELD_CHARS = 4 << 20, 32 << 20
+
+
+def _export_files(tasks_per_file: int):
+    """Map function: (annotator, task) rows to (annotator, file)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str | None, list[str]] = {}
+        size: dict[str | None, int] = {}
+
+        def file(code):
+            del size[code]
+            return pa.RecordBatch.from_arrays([pa.array([code], pa.string()), pa.array([f"[{','.join(held.pop(code))}]"], pa.string())], names=["student_code", "value"])
+
+        for batch in batches:
+            for code, task in zip(*(c.to_pylist() for c in batch.columns)):
+                held.setdefault(code, []).append(task)
+                size[code] = size.get(code, 0) + len(task)
+                if len(held[code]) >= tasks_per_file or size[code] >= FILE_CHARS:
+                    yield file(code)
+                elif sum(size.values()) >= HELD_CHARS:
+                    yield file(max(size, key=size.get))
+        for code in [*held]:
+            yield file(code)
+
+    return run
+
+
+def write_exports(df: DataFrame, root: str, tasks_per_file: int = 1000, compression: str = "none") -> str:
     """Write an annotation table in export layout: one folder per annotator,
-    files of JSON arrays of about ``tasks_per_file`` tasks.  Files are cut by
-    a hash bucket, so no annotator is collected into one task; each bucket
-    row becomes one file (``maxRecordsPerFile=1``)."""
-    n = df.count()
-    buckets = max(1, -(-n // tasks_per_file))
-    rows = df.select("student_code", task_json(df).alias("t"), F.pmod(F.xxhash64("annotation_id"), F.lit(buckets)).alias("b"))
-    files = rows.groupBy("student_code", "b").agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("t")), F.lit("]")).alias("value"))
-    (
-        files.select("student_code", "value")
-        .write.mode("overwrite")
-        .option("maxRecordsPerFile", 1)
-        .partitionBy("student_code")
-        .text(root)
-    )
+    files of JSON arrays of at most ``tasks_per_file`` tasks, plain or
+    compressed.  Files are cut where the rows are, so no text is shuffled; a
+    task holds back a bounded number of characters, and each of its rows
+    becomes one file (``maxRecordsPerFile=1``)."""
+    spark = df.sparkSession
+    rows = df.select("student_code", task_json(df).alias("t"))
+    files = rows.mapInArrow(_export_files(tasks_per_file), "student_code string, value string")
+    # files of several annotators are written side by side, not sorted first
+    writers = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(writers, "0")
+    spark.conf.set(writers, "64")
+    try:
+        (
+            files.write.mode("overwrite")
+            .option("maxRecordsPerFile", 1)
+            .option("compression", compression)
+            .option("zlib.compress.level", "BEST_SPEED")
+            .partitionBy("student_code")
+            .text(root)
+        )
+    finally:
+        spark.conf.set(writers, before)
     return root
 
 
