@@ -107,3 +107,32 @@ def test_word_tokens(spark):
     got = df.select(T.word_tokens("t").alias("x")).first()["x"]
     exp = [t for t in re.sub(r"[^\w\s]", " ", "Az ÁSZF-ben: a 12. pont_x és é!".lower()).split() if len(t) > 1]
     assert got == exp
+
+
+def test_words_and_sentence_lengths_are_split_without_a_regex_per_word(spark):
+    """Words as ``str.split`` finds them, around every white space; the plan
+    matches no token by regex."""
+    spaces = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isspace()]
+    texts = [f"Ab,{s}{s}c{s}\nd. {s}Efg!{s}hi{s}" for s in spaces] + ["", " ", "\n\n", ".\n.", "a​b"]
+    got = T.text_features(spark.createDataFrame([(t,) for t in texts], "text string"), keep_text=True)
+    assert "regexp_extract_all(text" not in got.drop("number_ratio", "uppercase_ratio")._jdf.queryExecution().analyzed().toString().split("AS _words")[0]
+    for r in got.collect():
+        words = r["text"].split()
+        parts = [len(p.split()) for p in re.split(r"[.!?]\s+|\n+", r["text"]) if p.strip()]
+        assert r["word_count"] == len(words) and r["max_word_length"] == max(map(len, words), default=0)
+        assert r["sentence_count"] == max(1, len(parts)) and r["max_sentence_length"] == max(parts, default=0)
+
+
+def test_features_are_computed_once_a_text(spark, monkeypatch):
+    from annolytics.operators import clean as C
+    from annolytics.plans import textual as X
+
+    docs = spark.createDataFrame([("one two. Three",), ("one two. Three",), ("four, five",), ("not asked for",), (None,)], "text string")
+    rows = spark.createDataFrame([(1, "one two. Three"), (2, "one two. Three"), (3, "four, five"), (4, "one two. Three"), (5, None)], "id long, text string")
+    given, features = [], T.text_features
+    monkeypatch.setattr(X, "read_table", lambda *a: docs)
+    monkeypatch.setattr(X.T, "text_features", lambda df: given.append(df.filter("text is not null").count()) or features(df))
+    got = {r["id"]: r for r in X._with_features(spark, "", rows.withColumn("text", C.text_reference())).collect()}
+    assert sum(given) == 2
+    want = {r["id"]: r for r in features(rows).collect()}
+    assert {k: r.asDict() for k, r in got.items()} == {k: r.asDict() for k, r in want.items()}
