@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from annolytics.functions.labels import parse_label
 from annolytics.operators.clean import text_key
-from annolytics.session import materialize
+from annolytics.session import materialize, shuffles_deleted
 from annolytics.sources.json_ranges import json_records
 
 log = logging.getLogger(__name__)
@@ -319,14 +319,15 @@ def write_exports(df: DataFrame, root: str, tasks_per_file: int = 1000, compress
     before = spark.conf.get(writers, "0")
     spark.conf.set(writers, "64")
     try:
-        (
-            files.write.mode("overwrite")
-            .option("maxRecordsPerFile", 1)
-            .option("compression", compression)
-            .option("zlib.compress.level", "BEST_SPEED")
-            .partitionBy("student_code")
-            .text(root)
-        )
+        with shuffles_deleted(spark):
+            (
+                files.write.mode("overwrite")
+                .option("maxRecordsPerFile", 1)
+                .option("compression", compression)
+                .option("zlib.compress.level", "BEST_SPEED")
+                .partitionBy("student_code")
+                .text(root)
+            )
     finally:
         spark.conf.set(writers, before)
     return root

@@ -109,3 +109,70 @@ def test_patterns_equal_the_plain_ones(spark):
     for row in df.select(*[f.alias(f"c{i}") for i, f in enumerate(found)]).collect():
         assert row[0::2] == row[1::2]
     assert df.filter(F.regexp_count("t", F.lit(T.suffix_pattern())) > 0).count() > 100
+
+
+def test_copies_of_a_text_lie_together_in_a_compressed_csv(spark, tmp_path):
+    import os
+    import random
+
+    r = random.Random(1)
+    texts = ["a" + "".join(r.choice("abcdefghijklmnop \n\",") for _ in range(2_000)) + "z" for _ in range(60)] + [None]
+    rows = [(i, texts[i % 61]) for i in range(61 * 20)]
+    df = spark.createDataFrame(rows, "annotation_id long, text string").repartition(8, "annotation_id")
+
+    def size(path):
+        return sum(os.path.getsize(f) for f in glob.glob(f"{path}/*.csv.gz"))
+
+    plain, together = str(tmp_path / "plain"), str(tmp_path / "together")
+    assert TB.write_annotations_csv(df, plain, compression="gzip")
+    assert TB.write_annotations_csv(df, together, compression="gzip", together=C.text_digest(df), files=3)
+    assert size(together) * 4 < size(plain)
+    back = TB.read_annotations_csv(spark, together, schema=df.schema)
+    assert back.columns == df.columns and {tuple(x) for x in back.collect()} == set(rows) and back.count() == len(rows)
+    assert not TB.write_annotations_csv(df.limit(0), str(tmp_path / "none"), together=C.text_digest(df))
+
+
+def test_ingest_job_writes_copies_together_and_lands_quick_files(spark, sf_dir, monkeypatch):
+    from annolytics.plans import ingest as I
+
+    seen, landed = [], []
+    write, exports = I.TB.write_annotations_csv, I.X.write_exports
+
+    def csv(df, path, **options):
+        seen.append(options)
+        return write(df, path, **options)
+
+    def land(df, root, **options):
+        out = exports(df, root, **options)
+        landed.append((len(glob.glob(f"{root}/*/*.lz4")), len(glob.glob(f"{root}/*/part-*"))))
+        return out
+
+    monkeypatch.setattr(I.TB, "write_annotations_csv", csv)
+    monkeypatch.setattr(I.X, "write_exports", land)
+    n = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    assert I.q_ingest_job(spark, sf_dir).filter("part = 'record'").count() == n
+    assert len(seen) == 1 and len(seen[0]["together"]) == 2
+    assert I.q_exclude_folders(spark, sf_dir).count() > 0
+    assert all(quick == files > 0 for quick, files in landed) and len(landed) == 2
+
+
+def test_written_exports_and_csv_leave_no_shuffle_files(spark, tmp_path, monkeypatch):
+    from annolytics import session
+    from annolytics.sources import exports as X
+
+    during = []
+    inner = session.shuffles_deleted
+
+    def watched(s):
+        during.append(True)
+        return inner(s)
+
+    monkeypatch.setattr(X, "shuffles_deleted", watched)
+    monkeypatch.setattr(TB, "shuffles_deleted", watched)
+    before = spark.conf.get(session._CLEANUP, "false")
+    a = spark.createDataFrame([(1, "U01", "s", "t", "1-x", 1, "2020", 1.0)], "annotation_id long, student_code string, source_file string, text string, label_text string, label_numeric int, annotation_created_at string, lead_time_seconds double")
+    X.write_exports(a, str(tmp_path / "x"), compression="lz4")
+    TB.write_annotations_csv(a, str(tmp_path / "c"))
+    with inner(spark):
+        assert spark.conf.get(session._CLEANUP) == "true"
+    assert len(during) == 2 and spark.conf.get(session._CLEANUP, "false") == before
